@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import bpe, huffman, packing
+from rosterforge.llm import bpe, exact_dedup, huffman, packing, pii, quality, sharding
 from rosterforge.llm.common import read_table
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights).withColumn("held_out", F.coalesce(quality.held_out(), F.lit(False)))
+
+
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(read_table(spark, sf_dir, "documents"))
+
+
 def op6_concat_cut_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,11 +42,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(read_table(spark, sf_dir, "documents")))
+
+
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return huffman.token_index(*huffman.write_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op6_concat_cut_packing, op8_byte_bpe, op10_huffman_ids)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_quality, op4_kd_shards, op6_concat_cut_packing, op8_byte_bpe, op9_pii_field, op10_huffman_ids)}
+ORACLES: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE}
