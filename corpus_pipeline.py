@@ -1,11 +1,64 @@
-"""A training-corpus pipeline over ``documents``."""
+"""A training-corpus pipeline over ``documents``: classify, drop repeated lines, drop near copies, mask personal data, pack."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rosterforge.llm import lines, minhash, packing, pii, quality
+from rosterforge.llm.common import read_table, stage
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents that score less are rejected.
+QUALITY = 0.5
+
+
+def _columns(rows: DataFrame) -> DataFrame:
+    """The columns of documents, with n_chars as the text now is."""
+    return rows.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose whole text scores QUALITY or more."""
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights, keep=COLUMNS[1:], threshold=QUALITY).filter("predicted = 1").select(*COLUMNS)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, without the fuzzy repeats of lines."""
+    return _columns(lines.dedup_lines(docs, keep=("lang", "source")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies (five-word shingles, similarity of 0.8 or more)."""
+    kept = minhash.near_duplicates(docs, words=5).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, with each found span replaced by its kind."""
+    return _columns(pii.detect(docs, keep=("lang", "source")).withColumnRenamed("masked", "text"))
+
+
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, end to end in sequences of 1024 ids."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", classify),
+    ("line dedup", drop_lines),
+    ("minhash near-dedup", drop_near_copies),
+    ("personal data", mask_personal_data),
+    ("packing", pack_tokens),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from rosterforge.llm.common import drop_staged, stage
 from rosterforge.llm.components import components
 
+_P = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 #: A key with more members than this in one flush of a task is dealt out row by row.
 HOT = 256
@@ -48,6 +49,29 @@ def sorted_sets(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return hashes[fresh], owner[fresh]
 
 
+def windows(values: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owner): sorted distinct hashes of every run of ``k`` values of each item.
+
+    ``n`` holds the items' lengths in ``values``.  An item with fewer than k values has its
+    whole sequence as one run, an empty one none.
+    """
+    ends = np.cumsum(n)
+    h = values.copy()
+    for j in range(1, k):
+        h *= _P
+        h[: len(values) - j] += values[j:]
+    valid = np.repeat(ends, n) - np.arange(len(values)) >= k
+    short = np.flatnonzero((n > 0) & (n < k))
+    for i in short.tolist():
+        v, at = int(n[i]), int(ends[i] - n[i])
+        for x in values[at : ends[i]].tolist():
+            v = (v * int(_P) + x) & 0xFFFFFFFFFFFFFFFF
+        h[at] = v ^ 0xFFFFFFFFFFFFFFFF
+        valid[at] = True
+    counts = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
+    return sorted_sets(mix(h[valid]), np.concatenate([[0], np.cumsum(counts)]))
+
+
 def registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.ndarray:
     """Least hash per item and bucket, from :func:`sorted_sets`; empty buckets hold the largest value.
 
@@ -133,7 +157,7 @@ class Flusher:
         keep = ~hot | first  # a hot key leaves one member, by which other tasks' members are found
         k, v, p = keys[keep], nodes[keep], part[keep]
         cuts = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, np.int64)
-        blobs = [k[a:b].astype("<u8").tobytes() + v[a:b].astype("<i8").tobytes() for a, b in zip(cuts, [*cuts[1:], len(p)], strict=True)]
+        blobs = [k[a:b].astype("<u8").tobytes() + v[a:b].astype("<i8").tobytes() for a, b in zip(cuts, [*cuts[1:], len(p)][: len(cuts)], strict=True)]
         n, loud = len(blobs), int(hot.sum())
         return [
             pa.array([*p[cuts].tolist(), *[None] * loud], pa.int32()),

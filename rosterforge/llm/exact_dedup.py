@@ -104,7 +104,7 @@ def repeated_fingerprints(keys: DataFrame, rows: int) -> DataFrame:
         prints, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         shard = (prints >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(prints), np.int64)
         cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(prints) else []
-        for lo, hi in zip(cuts, [*cuts[1:], len(prints)], strict=True):
+        for lo, hi in zip(cuts, [*cuts[1:], len(prints)][: len(cuts)], strict=True):
             raw = CountingQuotientFilter(prints[lo:hi], counts[lo:hi], shard_bits).to_bytes()
             yield pa.RecordBatch.from_arrays([pa.array([int(shard[lo])], pa.int32()), pa.array([raw], pa.binary())], names=["shard", "filter"])
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, band_keys, linked, mix, registers, shared_bands, sorted_sets
+from rosterforge.llm.banding import Flusher, band_keys, linked, registers, shared_bands, windows
 from rosterforge.llm.common import drop_staged, parts, small_batches, stage
 
 #: Registers, in BANDS equal bands; MANTISSA bits beside the leading-zero count.
@@ -22,7 +22,6 @@ SMALL = 96
 #: Ids broadcast at most (16 MB); beyond it texts are fetched by a shuffle join.
 BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 300_000
-_P = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Words(dict):
@@ -48,23 +47,7 @@ def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarra
     rows = [(t or "").encode().lower().split() for t in texts]
     n = np.array([len(r) for r in rows], np.int64)
     word = np.frombuffer(b"".join([cache[w] for r in rows for w in r]), "<u8")
-    ends = np.cumsum(n)
-    h = word.copy()
-    for j in range(1, k):
-        h = h * _P
-        h[: len(word) - j] += word[j:]
-    left = np.repeat(ends, n) - np.arange(len(word))  # words from here to the text's end
-    short = np.flatnonzero((n > 0) & (n < k))
-    for i in short:
-        v = np.uint64(n[i])
-        with np.errstate(over="ignore"):
-            for w in word[ends[i] - n[i] : ends[i]]:
-                v = v * _P + w
-        h[ends[i] - n[i]] = ~v
-    valid = left >= k
-    valid[ends[short] - n[short]] = True
-    counts = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
-    return sorted_sets(mix(h[valid]), np.concatenate([[0], np.cumsum(counts)]))
+    return windows(word, n, k)
 
 
 def hyper_registers(hashes: np.ndarray, owner: np.ndarray, items: int) -> np.ndarray:

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import bpe, exact_dedup, huffman, packing, pii, quality, sharding
+from rosterforge.llm import bpe, embeddings, exact_dedup, huffman, lines, minhash, packing, pii, quality, sharding
 from rosterforge.llm.common import read_table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -23,12 +27,22 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    dropped = F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped_lines")
+    return found.select("doc_id", "n_lines", (F.col("n_lines") - F.col("n_dropped")).alias("n_kept"), dropped, F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_concat_cut_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,5 +66,17 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_index(*huffman.write_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_quality, op4_kd_shards, op6_concat_cut_packing, op8_byte_bpe, op9_pii_field, op10_huffman_ids)}
+_ALL = (
+    op1_embedding_dedup,
+    op2_exact_dedup,
+    op3_quality,
+    op4_kd_shards,
+    op5_line_dedup,
+    op6_concat_cut_packing,
+    op7_hyperminhash_dedup,
+    op8_byte_bpe,
+    op9_pii_field,
+    op10_huffman_ids,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE}
