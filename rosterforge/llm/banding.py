@@ -1,30 +1,27 @@
 """Banded signatures: which items share a band, and the verified components of those that do.
 
-Signatures are registers: an item's shingle hashes are dealt into ``m`` buckets by their
-leading bits and each bucket keeps its least hash (compressed or not).  Large sets are
-cut into ``bands`` equal runs of registers.  Small sets fill few registers, so they are
-cut into as few bands as allow one band to stay free of differences (pigeonhole) at the
-threshold, under two orders of the registers; the class of sizes is part of the band's
-key, and an item takes part in its own class and the next, so any two sizes that can
-reach the threshold meet.
+Signatures are registers that hold least hashes (compressed or not).  Large sets are dealt
+into the registers by one hash function; sets too small to fill them are signed with a
+hash function per register.  Sizes near the border are signed in both ways, so any two
+sizes that can reach the threshold meet.  Equal runs of registers are the bands.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import drop_staged, stage
-from rosterforge.llm.components import components
+from rosterforge.llm.components import components, settle
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 #: A key with more members than this in one flush of a task is dealt out row by row.
 HOT = 256
+#: Members on either side of a block of comparisons.
+OUT, ALL = 512, 2048
 #: (key, node) pairs a task holds before it writes them.
 FLUSH = 2_000_000
 
@@ -84,40 +81,19 @@ def registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.n
     return out.reshape(items, m)
 
 
-def band_keys(regs: np.ndarray, empty: int, sizes: np.ndarray, bands: int, threshold: float, small: int) -> tuple[np.ndarray, np.ndarray]:
-    """(item, key) of every band of every item; bands of empty registers only have no key.
+def own_registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.ndarray:
+    """Least hash per item and register, every register under a hash function of its own; for items with shingles."""
+    starts = np.searchsorted(owner, np.arange(items))
+    seeds = np.random.default_rng(11).integers(0, 1 << 63, m, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.stack([np.minimum.reduceat(hashes * s, starts) for s in seeds], axis=1)
 
-    ``small``: sets under this size use the size classes.
-    """
-    m = regs.shape[1]
-    rng = np.random.default_rng(7)
-    factor = rng.integers(0, 1 << 63, (2, m), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    orders = (np.arange(m), rng.permutation(m))
-    step, rows, keys = math.log(1 / threshold), [], []
-
-    def emit(items, count, order, salt):
-        if not len(items):
-            return
-        edges = np.linspace(0, m, count, endpoint=False).astype(np.int64)
-        some = regs[np.ix_(items, orders[order])]
-        hashed = mix((some.astype(np.uint64) + np.uint64(1)) * factor[order])
-        sums = np.add.reduceat(hashed, edges, axis=1)
-        filled = np.logical_or.reduceat(some != empty, edges, axis=1)
-        key = mix(sums + mix(np.uint64(salt) + np.arange(count, dtype=np.uint64))[None, :])
-        rows.append(np.broadcast_to(items[:, None], key.shape)[filled])
-        keys.append(key[filled])
-
-    emit(np.flatnonzero(sizes >= math.floor(small * threshold)), bands, 0, 1 << 20)
-    tiny = np.flatnonzero((sizes > 0) & (sizes < small))
-    own = np.floor(np.log(sizes[tiny]) / step + 1e-9).astype(np.int64)
-    for c in range(int(own.max(initial=-1)) + 2):
-        apart = math.floor((1 / threshold - 1) * math.exp((c + 1) * step) + 1e-9)
-        items = tiny[(own == c) | (own == c - 1)]
-        for order in range(2 if apart else 1):
-            emit(items, min(m, apart + 1), order, (c + 1) << 8 | order << 7)
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(keys)
+
+def band_keys(regs: np.ndarray, bands: int, kind: int) -> np.ndarray:
+    """(items, bands) of hashes of equal runs of registers; ``kind`` keeps signatures of different kinds apart."""
+    n, m = regs.shape
+    seeds = np.random.default_rng(7 + kind).integers(0, 1 << 63, m, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    sums = mix((regs.astype(np.uint64) + np.uint64(1)) * seeds).reshape(n, bands, m // bands).sum(axis=2)
+    return mix(sums + mix(np.uint64(kind << 16) + np.arange(bands, dtype=np.uint64)))
 
 
 class Flusher:
@@ -188,16 +164,20 @@ def shared_bands(packed: DataFrame) -> DataFrame:
     return met.unionByName(packed.filter("blob IS NULL").select("key", "node")).distinct()
 
 
-def linked(shared: DataFrame, verify) -> DataFrame:
+def linked(shared: DataFrame, verify, steps: list) -> DataFrame:
     """(node, component) of all nodes with a verified link between nodes that share a band.
 
-    ``verify`` maps candidate pairs (a, b) to the true links among them.
+    ``verify`` maps candidate pairs (a, b) to the true links among them.  Each of the
+    ``steps`` is (items, prepare): ``items`` maps a table of nodes to (node, item), and
+    ``prepare`` a list of items to a function of two index arrays that says which pairs are
+    links (last step) or may be (the steps before it, which thin the blocks out).
 
     First every bucket's members are compared with its leader, the member with most
     company over all its buckets (the centre of a group of copies).  Nodes that are then
     connected need no more comparing.  Then every member that is still outside its
-    leader's component is compared with all members of the bucket outside its own: no
-    pair that shares a band and could change a component is left out.
+    leader's component is compared with all members of the bucket outside its own, in
+    blocks of at most OUT by ALL members: no pair that shares a band and could change a
+    component is left out, and no pairs are written but a spanning forest of a block's links.
     """
     shared = stage(shared, "shared")
     sizes = shared.groupBy("key").agg(F.count("*").alias("size"))
@@ -206,18 +186,100 @@ def linked(shared: DataFrame, verify) -> DataFrame:
     pairs = shared.join(leaders, "key").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     tried = stage(pairs, "tried")
     links = stage(verify(tried), "found")
+    drop_staged(tried)
     known = stage(components(links), "known")
     side = lambda df, c, to: df.join(known.select(F.col("node").alias(c), F.col("component").alias(to)), c, "left").withColumn(to, F.coalesce(to, c))
-    placed = side(side(shared.join(leaders.filter("size > 2"), "key"), "node", "own"), "leader", "lead")
-    outside = stage(placed.filter("own <> lead").select("key", "node", "own"), "outside")
-    busy = outside.select("key").distinct()
-    everyone = placed.join(busy, "key", "left_semi").select("key", F.col("node").alias("other"), F.col("own").alias("theirs"))
-    more = outside.join(everyone, "key").filter("own <> theirs").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    extra = stage(verify(stage(more, "more")), "extra")
-    if extra.isEmpty():
-        out = known
-    else:
-        out = stage(components(links.unionByName(extra)), "joined")
-    for df in (shared, leaders, tried, outside, extra):
+    rows = side(side(shared.join(leaders.filter("size > 2"), "key"), "node", "own"), "leader", "lead")
+    placed = stage(rows.select("key", "node", "own", "size", (F.col("own") != F.col("lead")).alias("out")), "placed")
+    busy = placed.filter("out").groupBy("key").agg(F.count("*").alias("n_out"))
+    met = placed.join(busy, "key")
+    blocks_of = lambda n, most: F.ceil(F.col(n) / most).cast("int")
+    slot = lambda n, most: F.pmod(F.xxhash64("node"), blocks_of(n, most)).cast("int")
+    every = lambda n, most: F.explode(F.sequence(F.lit(0), blocks_of(n, most) - 1))
+    left = met.filter("out").select("key", "node", "own", F.lit(True).alias("out"), slot("n_out", OUT).alias("i"), every("size", ALL).alias("j"))
+    right = met.select("key", "node", "own", F.lit(False).alias("out"), every("n_out", OUT).alias("i"), slot("size", ALL).alias("j"))
+    dealt = left.unionByName(right)
+    for items, prepare in steps[:-1]:
+        dealt = stage(_blocks(dealt, items, prepare, False), "thinned")
+    extra = stage(_blocks(dealt, *steps[-1], True).distinct(), "extra")
+    out = known if extra.isEmpty() else stage(components(links.unionByName(extra)), "joined")
+    for df in (shared, leaders, placed, extra):
         drop_staged(df)
     return out
+
+
+MEMBER = "key long, i int, j int, node long, own long, out boolean"
+
+
+def _blocks(dealt: DataFrame, items, prepare, last: bool) -> DataFrame:
+    """Compares block by block: the members that may have a link there, or (a, b) of a spanning forest of the links."""
+
+    def meet(batches):
+        held = None
+        for b in _then_none(batches):
+            both = [x for x in (held, b) if x is not None]
+            if not both:
+                continue
+            t = pa.Table.from_batches(both).combine_chunks()
+            key, i, j, node, own, out = (t.column(c).to_numpy() for c in range(6))
+            cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+            done = len(t) if b is None else int(cuts[-1])  # the last block may go on in the next batch
+            held = t.slice(done).to_batches()[0] if b is not None else None
+            if not done:
+                continue
+            compare = prepare(t.column("item").slice(0, done).to_pylist())
+            stay = np.zeros(len(t), bool)
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(t)], strict=True):
+                if lo >= done:
+                    break
+                o, x = lo + np.flatnonzero(out[lo:hi]), lo + np.flatnonzero(~out[lo:hi])
+                if not len(o) or not len(x):
+                    continue
+                hit = compare(o, x) & (own[o][:, None] != own[x][None, :])
+                stay[o], stay[x] = hit.any(axis=1), hit.any(axis=0)
+                if last and stay[lo:hi].any():
+                    r, c = np.nonzero(hit)
+                    nodes, at = np.unique(np.concatenate([node[o[r]], node[x[c]]]), return_inverse=True)
+                    label = np.arange(len(nodes))
+                    settle(label, at[: len(r)], at[len(r) :])
+                    a, z = nodes[label], nodes
+                    yield pa.RecordBatch.from_arrays([pa.array(a[a != z]), pa.array(z[a != z])], names=["a", "b"])
+            if not last and stay.any():
+                yield from t.select(["key", "i", "j", "node", "own", "out"]).filter(pa.array(stay)).to_batches()
+
+    rows = dealt.join(items(dealt.select("node").distinct()), "node").select("key", "i", "j", "node", "own", "out", "item")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(meet, "a long, b long" if last else MEMBER)
+
+
+def compare_sets(sets: list[np.ndarray], percent: int):
+    """A function of two index arrays: which pairs of sorted sets have 100 * intersection >= percent * union."""
+    sizes = np.array([len(x) for x in sets])
+
+    def linked_pairs(o, x):
+        if len(o) * len(x) <= 64:
+            both = np.array([[len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in x] for i in o])
+        else:  # product of incidences, over the members that the smaller side has
+            turned = len(o) > len(x)
+            few, many = (x, o) if turned else (o, x)
+            known = np.unique(np.concatenate([sets[i] for i in few]))
+            both = np.zeros((len(few), len(many)), np.float32)
+            for lo in range(0, len(known), 8192):
+                some, grids = known[lo : lo + 8192], []
+                for side in (few, many):
+                    every = np.concatenate([sets[i] for i in side])
+                    place = np.minimum(np.searchsorted(some, every), len(some) - 1)
+                    own = some[place] == every
+                    grid = np.zeros((len(side), len(some)), np.float32)
+                    grid[np.repeat(np.arange(len(side)), sizes[side])[own], place[own]] = 1
+                    grids.append(grid)
+                both += grids[0] @ grids[1].T
+            both = (both.T if turned else both).astype(np.int64)
+        return 100 * both >= percent * (sizes[o][:, None] + sizes[x][None, :] - both)
+
+    return linked_pairs
+
+
+def _then_none(batches):
+    yield from batches
+    yield None

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import drop_staged, stage
 
 
+def settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Union-find within one task, in place: labels become the least index reachable over the links (a, b)."""
+    while len(a):
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import parts, small_batches, stage
-from rosterforge.llm.components import components
+from rosterforge.llm.components import components, settle
 
 #: Rows and columns of a tile: a block of products is TILE * TILE doubles (8 MB).
 TILE = 1024
@@ -36,19 +36,6 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
-def settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Union-find over the links (a, b) in place: labels become the least index reachable."""
-    while len(a):
-        x, y = label[a], label[b]
-        apart = x != y
-        if not apart.any():
-            return
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while (label[label] != label).any():
-            label[:] = label[label]
-
-
 def compare(x: np.ndarray, y: np.ndarray | None, basis: np.ndarray, threshold: float, wx: np.ndarray, wy: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links between unit rows of ``x`` and ``y`` (of ``x`` alone where y is None).
 

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, linked, mix, registers, shared_bands, windows
+from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
 from rosterforge.llm.common import drop_staged, parts, small_batches, stage
 
 #: Characters in a shingle.
@@ -19,12 +19,10 @@ REGISTERS = BANDS * WIDTH
 #: Sets under SMALL are signed by one hash function per register, larger ones by one for all; between the two numbers by both.
 SMALL, LARGE = 256, 200
 #: Characters signed at once, and lines a task remembers to have signed; both bound its memory.
-CHUNK, SEEN = 1 << 21, 300_000
+CHUNK, SEEN = 1 << 17, 300_000
 #: Rows broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-_SEEDS = np.random.default_rng(11).integers(0, 1 << 63, (3, REGISTERS), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-
 
 def normal_line(line: str) -> str:
     """Lower case, with runs of white space as one space and none at the ends."""
@@ -41,31 +39,17 @@ def line_sets(lines: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
 def line_keys(hashes: np.ndarray, owner: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
     """(item, band key) of every band of every item that has shingles."""
     sizes = np.bincount(owner, minlength=items)
-    out_items, out_keys = [], []
-
-    def emit(some, regs, kind, filled=None):
-        hashed = mix((regs + np.uint64(1)) * _SEEDS[kind])
-        sums = hashed.reshape(len(some), BANDS, WIDTH).sum(axis=2)
-        keys = mix(sums + mix(np.uint64(kind << 16) + np.arange(BANDS, dtype=np.uint64)))
-        held = np.ones(keys.shape, bool) if filled is None else filled.reshape(len(some), BANDS, WIDTH).any(axis=2)
-        out_items.append(np.broadcast_to(some[:, None], keys.shape)[held])
-        out_keys.append(keys[held])
-
+    out_items, out_keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for kind, chosen in enumerate(((sizes > 0) & (sizes < SMALL), sizes >= LARGE)):
         some = np.flatnonzero(chosen)
-        if not len(some):
-            continue
-        mine = chosen[owner]
-        h, rank = hashes[mine], np.cumsum(chosen) - 1
-        if kind:
-            regs = registers(h, rank[owner[mine]], len(some), REGISTERS)
-            emit(some, regs, 1, regs != np.iinfo(np.uint64).max)
-        else:
-            starts = np.cumsum(sizes[some]) - sizes[some]
-            regs = np.stack([np.minimum.reduceat(h * s, starts) for s in _SEEDS[2]], axis=1)
-            emit(some, regs, 0)
-    if not out_items:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        if len(some):
+            mine = chosen[owner]
+            rank = (np.cumsum(chosen) - 1)[owner[mine]]
+            regs = (registers if kind else own_registers)(hashes[mine], rank, len(some), REGISTERS)
+            keys = band_keys(regs, BANDS, kind)
+            held = (regs != np.iinfo(np.uint64).max).reshape(len(some), BANDS, WIDTH).any(axis=2)
+            out_items.append(np.broadcast_to(some[:, None], keys.shape)[held])
+            out_keys.append(keys[held])
     return np.concatenate(out_items), np.concatenate(out_keys)
 
 
@@ -81,6 +65,16 @@ def _chunks(lines: list[str]):
         yield first, len(lines)
 
 
+def line_compare(percent: int):
+    """Maps a list of normal lines to a function of two index arrays: which pairs are linked."""
+
+    def prepare(lines: list[str]):
+        hashes, owner = line_sets(lines)
+        return compare_sets(np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(lines)))[:-1]), percent)
+
+    return prepare
+
+
 def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Every row with its fuzzy repeated lines removed.
 
@@ -156,40 +150,39 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
                 for w in want:
                     reps_out.append(w["rep"])
                     lines_out.append(normal_line(rows[w["line_no"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(reps_out, pa.int64()), pa.array(lines_out, pa.string())], names=["rep", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(reps_out, pa.int64()), pa.array(lines_out, pa.string())], names=["node", "item"])
 
     def exact(batches):
         for b in batches:
-            a, z = (b.column(i).to_pylist() for i in (2, 3))
-            good = np.zeros(b.num_rows, bool)
-            for lo in range(0, b.num_rows, 256):
-                both = [*a[lo : lo + 256], *z[lo : lo + 256]]
-                hashes, owner = line_sets(both)
-                sets = np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(both)))[:-1])
-                half = len(both) // 2
-                for i in range(half):
-                    x, y = sets[i], sets[half + i]
-                    if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                        shared_n = len(np.intersect1d(x, y, assume_unique=True))
-                        good[lo + i] = 100 * shared_n >= percent * (len(x) + len(y) - shared_n)
-            yield b.select(["a", "b"]).filter(pa.array(good))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps, "rep")
-        need = need.groupBy(F.col("first.doc_id").alias("d"), F.col("first.unit").alias("u")).agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "rep")).alias("want"))
+            keep = np.zeros(b.num_rows, bool)
+            for lo in range(0, b.num_rows, 128):
+                some = b.slice(lo, 128)
+                linked_to = line_compare(percent)([*some.column(2).to_pylist(), *some.column(3).to_pylist()])
+                for i in range(some.num_rows):
+                    keep[lo + i] = linked_to(np.array([i]), np.array([some.num_rows + i]))[0, 0]
+            yield b.select(["a", "b"]).filter(pa.array(keep))
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, item): the normal lines of representatives."""
+        need = nodes.join(reps.withColumnRenamed("rep", "node"), "node")
+        need = need.groupBy(F.col("first.doc_id").alias("d"), F.col("first.unit").alias("u")).agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), F.col("node").alias("rep"))).alias("want"))
         need = stage(need, "line-need")
         side = F.broadcast(need) if need.count() <= BROADCAST_ROWS // 4 else need
         picked = units.join(side, F.col("unit").eqNullSafe(F.col("u")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "want")
-        texts = stage(picked.mapInArrow(pick, "rep long, line string"), "line-texts")
+        texts = stage(picked.mapInArrow(pick, "node long, item string"), "line-texts")
+        drop_staged(need)
+        return texts
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs
         for c in "ab":
-            both = both.join(texts.select(F.col("rep").alias(c), F.col("line").alias(f"line_{c}")), c)
+            both = both.join(texts.select(F.col("node").alias(c), F.col("item").alias(f"line_{c}")), c)
         found = stage(both.select("a", "b", "line_a", "line_b").mapInArrow(exact, "a long, b long").distinct(), "line-links")
-        drop_staged(need)
         drop_staged(texts)
         return found
 
-    found = linked(candidates, verify)
+    found = linked(candidates, verify, [(texts_of, line_compare(percent))])
     drop_staged(shared)
     joined = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 OR component IS NOT NULL")
     joined = stage(joined.select("line_key", "first", F.coalesce("component", "rep").alias("component")), "line-members")

@@ -11,14 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, band_keys, linked, registers, shared_bands, windows
+from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
 from rosterforge.llm.common import drop_staged, parts, small_batches, stage
 
 #: Registers, in BANDS equal bands; MANTISSA bits beside the leading-zero count.
 BANDS, WIDTH, MANTISSA = 42, 6, 10
 REGISTERS = BANDS * WIDTH
-#: Sets under this size use the size classes of the banding.
-SMALL = 96
+#: Sets under SMALL have a hash function per register, sets from LARGE (0.8 of it) one for all; between the two numbers both.
+SMALL, LARGE = 512, 400
 #: Ids broadcast at most (16 MB); beyond it texts are fetched by a shuffle join.
 BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 300_000
@@ -50,24 +50,57 @@ def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarra
     return windows(word, n, k)
 
 
+def compress(least: np.ndarray) -> np.ndarray:
+    """16 bits a register: leading zeros of the least hash plus one, then the bits after its leading one; hashes of all ones give 0."""
+    zeros = np.clip(64 - np.frexp(least.astype(np.float64))[1], 0, 62).astype(np.uint64)
+    mantissa = (least << zeros << np.uint64(1)) >> np.uint64(64 - MANTISSA)
+    out = ((zeros + np.uint64(1)) << np.uint64(MANTISSA)) | (np.uint64((1 << MANTISSA) - 1) - mantissa)
+    return np.where(least == np.iinfo(np.uint64).max, 0, out).astype("<u2")
+
+
 def hyper_registers(hashes: np.ndarray, owner: np.ndarray, items: int) -> np.ndarray:
-    """(items, REGISTERS) of 16 bits: leading zeros of the bucket's least hash, then the bits after its leading one; 0 where empty."""
+    """(items, REGISTERS): one hash function deals the shingles into the registers; 0 where empty."""
     least = registers(hashes, owner, items, REGISTERS)
-    empty = least == np.iinfo(np.uint64).max
     rest = (((least >> np.uint64(32)) * np.uint64(REGISTERS)) << np.uint64(32)) | (least & np.uint64(0xFFFFFFFF))
-    zeros = np.clip(64 - np.frexp(rest.astype(np.float64))[1], 0, 62).astype(np.uint64)
-    mantissa = (rest << zeros << np.uint64(1)) >> np.uint64(64 - MANTISSA)
-    out = ((zeros + np.uint64(1)) << np.uint64(MANTISSA)) | (np.uint64((1 << MANTISSA) - 1) - mantissa)
-    return np.where(empty, 0, out).astype("<u2")
+    return compress(np.where(least == np.iinfo(np.uint64).max, least, rest))
+
+
+def signatures(hashes: np.ndarray, owner: np.ndarray, items: int) -> tuple[list, list]:
+    """Registers of every item with a hash function each, and with one for all; None where the size has no such signature."""
+    n = np.bincount(owner, minlength=items)
+    out = []
+    for chosen, sign in (((n > 0) & (n < SMALL), lambda *a: compress(own_registers(*a, REGISTERS))), (n >= LARGE, hyper_registers)):
+        regs: list = [None] * items
+        some = np.flatnonzero(chosen)
+        # A few items at a time: their hashes stay in the processor's cache.
+        for at in np.array_split(some, -(-len(some) // 64)) if len(some) else ():
+            lo, hi = np.searchsorted(owner, [at[0], at[-1] + 1])
+            mine = chosen[owner[lo:hi]]
+            rank = np.searchsorted(at, owner[lo:hi][mine])
+            for i, r in zip(at.tolist(), sign(hashes[lo:hi][mine], rank, len(at)), strict=True):
+                regs[i] = r.tobytes()
+        out.append(regs)
+    return out[0], out[1]
+
+
+def corrected(same, filled, ratio):
+    """Jaccard estimate from equal and filled registers, less the equal ones that chance gives sets with that ratio of sizes."""
+    chance = 0.169919487 * REGISTERS * 2.0 ** (1 - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
+    return np.maximum(0.0, same - np.minimum(chance, same)) / np.maximum(1, filled)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(Jaccard estimates, registers filled on either side) of rows of registers; chance collisions are taken off."""
+    """(Jaccard estimates, registers filled on either side) of rows of registers."""
     filled = ((a != 0) | (b != 0)).sum(axis=1)
     same = ((a == b) & (a != 0)).sum(axis=1)
-    x = np.maximum(n_a, n_b) / np.maximum(1, np.minimum(n_a, n_b))
-    chance = 0.169919487 * REGISTERS * 2.0 ** (1 - MANTISSA) * 4 * x / (1 + x) ** 2
-    return np.maximum(0.0, same - np.minimum(chance, same)) / np.maximum(1, filled), filled
+    return corrected(same, filled, np.maximum(n_a, n_b) / np.maximum(1, np.minimum(n_a, n_b))), filled
+
+
+def pack_items(batches):
+    """(node, size and flags and registers as bytes) from (node, n, own, dealt)."""
+    for b in batches:
+        out = [np.array([n, p is not None, q is not None], "<i8").tobytes() + (p or b"") + (q or b"") for n, p, q in zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "item"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,8 +110,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     the component is the smallest doc_id reachable by links.  Equal sets collapse to one
     representative before any comparing.  Null and empty texts, and texts of white space,
     have no shingles and link with nothing.  A row without doc_id takes the component of an
-    equal set that has one, else null (and is kept).  Rows that repeat a doc_id are each
-    judged by their own text.  An empty table gives an empty result.
+    equal set that has one, else null (and is kept).  Rows that repeat a doc_id with
+    different texts count as one point of the graph.  An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     threshold = percent / 100
@@ -90,33 +123,76 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             n = np.bincount(owner, minlength=b.num_rows)
             ends = np.cumsum(n).tolist()
             keys = [hashlib.blake2b(hashes[e - c : e].tobytes(), digest_size=16).digest() if c else b"" for e, c in zip(ends, n.tolist(), strict=True)]
-            regs = hyper_registers(hashes, owner, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())], names=["doc_id", "n", "set_key", "regs"])
+            own, dealt = signatures(hashes, owner, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *(pa.array(x, pa.binary()) for x in (keys, own, dealt))], names=["doc_id", "n", "set_key", "own", "dealt"])
 
-    signed = stage(src.mapInArrow(sign, "doc_id long, n long, set_key binary, regs binary"), "signed")
-    reps = signed.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("regs").alias("regs")).filter("node IS NOT NULL")
+    signed = stage(src.mapInArrow(sign, "doc_id long, n long, set_key binary, own binary, dealt binary"), "signed")
+    reps = signed.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("dealt").alias("dealt")).filter("node IS NOT NULL")
     reps = stage(reps, "reps")
     ranges = parts(docs)
 
     def band(batches):
         flush = Flusher(ranges)
         for b in batches:
-            regs = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u2").reshape(b.num_rows, REGISTERS)
-            item, keys = band_keys(regs, 0, b.column(1).to_numpy(), BANDS, threshold, SMALL)
-            flush.add(keys, b.column(0).to_numpy()[item])
+            node = b.column(0).to_numpy()
+            for kind in (0, 1):
+                raw = b.column(1 + kind)
+                some = np.flatnonzero(raw.is_valid().to_numpy(zero_copy_only=False))
+                regs = np.frombuffer(b"".join(raw.drop_null().to_pylist()), "<u2").reshape(len(some), REGISTERS)
+                keys = band_keys(regs, BANDS, kind)
+                filled = (regs != 0).reshape(len(some), BANDS, WIDTH).any(axis=2)
+                flush.add(keys[filled], np.broadcast_to(node[some][:, None], keys.shape)[filled])
             if flush.due():
                 yield pa.RecordBatch.from_arrays(flush.columns(), names=flush.NAMES)
         yield pa.RecordBatch.from_arrays(flush.columns(), names=flush.NAMES)
 
-    packed = stage(reps.select("node", "n", "regs").mapInArrow(band, "range int, blob binary, key long, node long"), "bands")
+    packed = stage(reps.select("node", "own", "dealt").mapInArrow(band, "range int, blob binary, key long, node long"), "bands")
+
+    # Five deviations below the threshold: an estimate alone practically never loses a link.
+    def near_enough(j, filled):
+        return j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(1, filled)) - 0.01
 
     def likely(batches):
         for b in batches:
-            a, z = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(b.num_rows, REGISTERS) for i in (3, 5))
-            j, filled = estimate(a, z, b.column(2).to_numpy(), b.column(4).to_numpy())
-            # Five deviations below the threshold: an estimate alone practically never loses a link.
-            keep = j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(1, filled)) - 0.01
-            yield b.select(["a", "b"]).filter(pa.array(keep))
+            keep = np.zeros(b.num_rows, bool)
+            n_a, n_b = b.column(2).to_numpy(), b.column(5).to_numpy()
+            for kind in (3, 4):
+                both = np.flatnonzero(b.column(kind).is_valid().to_numpy(zero_copy_only=False) & b.column(kind + 3).is_valid().to_numpy(zero_copy_only=False))
+                a, z = (np.frombuffer(b"".join(b.column(c).take(pa.array(both)).to_pylist()), "<u2").reshape(len(both), REGISTERS) for c in (kind, kind + 3))
+                keep[both] |= near_enough(*estimate(a, z, n_a[both], n_b[both]))
+            yield b.select(["a", "b"]).filter(pa.array(keep & (np.minimum(n_a, n_b) * 100 >= percent * np.maximum(n_a, n_b))))
+
+    def prepare(raw):
+        """Items are the size, then the registers of either kind."""
+        head = np.array([np.frombuffer(x, "<i8", 3) for x in raw]).reshape(len(raw), 3)
+        regs = [np.zeros((len(raw), REGISTERS), "<u2") for _ in range(2)]
+        for i, x in enumerate(raw):
+            at = 24
+            for kind in (0, 1):
+                if head[i, 1 + kind]:
+                    regs[kind][i] = np.frombuffer(x, "<u2", REGISTERS, at)
+                    at += 2 * REGISTERS
+
+        def may_link(o, x):
+            n_o, n_x = head[o, 0][:, None], head[x, 0][None, :]
+            hit = np.zeros((len(o), len(x)), bool)
+            for kind in (0, 1):
+                has_o, has_x = np.flatnonzero(head[o, 1 + kind]), np.flatnonzero(head[x, 1 + kind])
+                if len(has_o) and len(has_x):
+                    a, z = regs[kind][o[has_o]], regs[kind][x[has_x]]
+                    same, filled = (np.zeros((len(a), len(z)), np.int32) for _ in range(2))
+                    for r in range(REGISTERS):
+                        p, q = a[:, r][:, None], z[:, r][None, :]
+                        same += (p == q) & (p != 0)
+                        filled += (p | q) != 0
+                    ratio = np.maximum(n_o[has_o], n_x[:, has_x]) / np.maximum(1, np.minimum(n_o[has_o], n_x[:, has_x]))
+                    hit[np.ix_(has_o, has_x)] |= near_enough(corrected(same, filled, ratio), filled)
+            return hit & (np.minimum(n_o, n_x) * 100 >= percent * np.maximum(n_o, n_x))
+
+        return may_link
+
+    def items(nodes):
+        return reps.join(nodes, "node", "left_semi").select("node", "n", "own", "dealt").mapInArrow(pack_items, "node long, item binary")
 
     def exact(batches):
         for b in batches:
@@ -132,23 +208,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             hashes, owner = shingle_sets(b.column(1).to_pylist(), words)
             ends = np.cumsum(np.bincount(owner, minlength=b.num_rows))
             cut = np.split(hashes, ends[:-1]) if b.num_rows else []
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.tobytes() for c in cut], pa.binary())], names=["doc_id", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.tobytes() for c in cut], pa.binary())], names=["node", "item"])
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """(node, item): the full shingle sets of representatives."""
+        nodes = stage(nodes, "need")
+        ids = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+        full = stage(src.withColumnRenamed("doc_id", "node").join(ids, "node", "left_semi").mapInArrow(sets, "node long, item binary"), "sets")
+        drop_staged(nodes)
+        return full
 
     def verify(pairs: DataFrame) -> DataFrame:
-        sides = [reps.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}")) for c in "ab"]
-        likely_pairs = stage(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "regs_a", "n_b", "regs_b").mapInArrow(likely, "a long, b long"), "likely")
-        need = stage(likely_pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "need")
-        ids = F.broadcast(need) if need.count() <= BROADCAST_IDS else need
-        full = stage(src.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, set binary"), "sets")
+        sides = [reps.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("own").alias(f"own_{c}"), F.col("dealt").alias(f"dealt_{c}")) for c in "ab"]
+        likely_pairs = stage(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "own_a", "dealt_a", "n_b", "own_b", "dealt_b").mapInArrow(likely, "a long, b long"), "likely")
+        full = sets_of(likely_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = likely_pairs
         for c in "ab":
-            both = both.join(full.select(F.col("doc_id").alias(c), F.col("set").alias(f"set_{c}")), c)
+            both = both.join(full.select(F.col("node").alias(c), F.col("item").alias(f"set_{c}")), c)
         out = stage(both.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long").distinct(), "verified")
-        for df in (need, full, likely_pairs):
+        for df in (full, likely_pairs):
             drop_staged(df)
         return out
 
-    found = linked(shared_bands(packed), verify)
+    def compare(raw):
+        return compare_sets([np.frombuffer(x, "<u8") for x in raw], percent)
+
+    found = linked(shared_bands(packed), verify, [(items, prepare), (sets_of, compare)])
     drop_staged(packed)
     members = signed.select("doc_id", "n", "set_key").join(reps.select("set_key", "node"), "set_key", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
