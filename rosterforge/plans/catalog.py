@@ -1,4 +1,458 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the driver's tables, with DuckDB SQL for those that SQL can express."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import functions as F
+
+from rosterforge.functions import scalars as S
+from rosterforge.operators import contacts as C
+from rosterforge.operators import merge, mx, segments, stats
+from rosterforge.operators.segments import Segment
+from rosterforge.plans.base import PRELUDE, TITLE, both, contacts, dimension, raw
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+MEASURES = """count(*) AS total, count(*) FILTER (WHERE mx_valid OR mx_valid IS NULL) AS good, count(*) FILTER (WHERE NOT mx_valid) AS dead,
+  count(*) FILTER (WHERE quality_score >= 70) AS high, count(*) FILTER (WHERE quality_score >= 40 AND quality_score < 70) AS med,
+  count(*) FILTER (WHERE quality_score < 40 OR quality_score IS NULL) AS low, count(*) FILTER (WHERE is_clicker) AS clickers, count(*) FILTER (WHERE is_opener) AS openers"""
+DOMAINS = ", count(DISTINCT email_domain) AS domains"
+
+
+def query(sql: str | None, prelude: bool = True):
+    """Registers a query under its function's name, with its oracle."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = (PRELUDE if prelude else "") + sql
+        return f
+
+    return add
+
+
+# Cleaning and validating
+
+
+@query("SELECT contact_id, file_ordinal, email, email_domain FROM clean")
+def clean_email(spark, sf):
+    return C.clean(raw(spark, sf)).select("contact_id", "file_ordinal", "email", "email_domain")
+
+
+@query("SELECT contact_id, file_ordinal, first_name, last_name, city, state, zipcode, phone, gender, validation_status FROM clean")
+def clean_fields(spark, sf):
+    return C.clean(raw(spark, sf)).select("contact_id", "file_ordinal", "first_name", "last_name", "city", "state", "zipcode", "phone", "gender", "validation_status")
+
+
+@query("SELECT contact_id, file_ordinal, strftime(signup_date, '%Y-%m-%d %H:%M:%S') AS signup_date FROM clean")
+def parse_date(spark, sf):
+    return C.clean(raw(spark, sf)).select("contact_id", "file_ordinal", F.date_format("signup_date", "yyyy-MM-dd HH:mm:ss").alias("signup_date"))
+
+
+@query("SELECT contact_id, file_ordinal, reject_reason FROM checked")
+def validate_reasons(spark, sf):
+    return C.with_reason(C.clean(raw(spark, sf))).select("contact_id", "file_ordinal", "reject_reason")
+
+
+@query("SELECT r AS reject_reason, count(c.contact_id) AS n FROM (VALUES ('missing_email'), ('invalid_format'), ('role_email'), ('country_tld')) t(r) LEFT JOIN checked c ON r = reject_reason GROUP BY r")
+def reject_counts(spark, sf):
+    return C.reject_counts(C.clean(raw(spark, sf)))
+
+
+@query("SELECT contact_id, file_ordinal, email FROM checked WHERE coalesce(reject_reason, '') NOT IN ('missing_email', 'invalid_format') AND email_domain NOT IN ('example.com', 'test.com', 'asdf.com', 'amazon.com')")
+def import_policy(spark, sf):
+    return C.importable(C.clean(raw(spark, sf))).select("contact_id", "file_ordinal", "email")
+
+
+@query("SELECT c.file_ordinal, count(*) AS n_rows, count(*) FILTER (WHERE trim(coalesce(r.email, '')) <> '') AS n_with_email, count(*) FILTER (WHERE reject_reason IS NULL) AS n_valid, count(*) FILTER (WHERE reject_reason IS NOT NULL) AS n_rejected FROM checked c JOIN raw r USING (contact_id, file_ordinal) GROUP BY 1")
+def run_funnel(spark, sf):
+    return C.funnel(raw(spark, sf))
+
+
+# Categories and scores
+
+
+@query("SELECT contact_id, file_ordinal, email_provider, email_brand, email_category FROM contacts")
+def categorize(spark, sf):
+    return contacts(spark, sf).select("contact_id", "file_ordinal", "email_provider", "email_brand", "email_category")
+
+
+@query("SELECT contact_id, file_ordinal, quality_score FROM contacts")
+def quality_score(spark, sf):
+    return contacts(spark, sf).select("contact_id", "file_ordinal", "quality_score")
+
+
+@query("SELECT CASE WHEN grouping(email_category) = 1 THEN 'ALL' ELSE email_category END AS email_category, count(*) AS total, count(*) FILTER (WHERE mx_valid OR mx_valid IS NULL) AS good, count(*) FILTER (WHERE NOT mx_valid) AS dead, count(*) FILTER (WHERE is_clicker) AS clickers, count(*) FILTER (WHERE is_opener) AS openers, count(DISTINCT email_domain) AS domains FROM contacts GROUP BY ROLLUP (email_category)")
+def category_stats(spark, sf):
+    return stats.by_category(both(spark, sf)[0])
+
+
+for _name, _col in (("category_counts", "email_category"), ("provider_counts", "email_provider"), ("brand_counts", "email_brand"), ("source_counts", "data_source")):
+    QUERIES[_name] = lambda spark, sf, c=_col: stats.counts(contacts(spark, sf), c)
+    ORACLES[_name] = PRELUDE + f"SELECT {_col} AS value, count(*) AS n FROM contacts GROUP BY 1"
+
+_TIERS = "CASE WHEN quality_score >= 80 THEN 'Excellent' WHEN quality_score >= 60 THEN 'Good' WHEN quality_score >= 40 THEN 'Average' WHEN quality_score >= 20 THEN 'Below Average' ELSE 'Poor' END"
+
+
+@query(f"SELECT {_TIERS} AS tier, count(*) AS n FROM contacts GROUP BY 1")
+def quality_dist5(spark, sf):
+    return stats.five_tiers(contacts(spark, sf))
+
+
+def _some_unscored(rows):
+    return rows.withColumn("quality_score", F.when(F.col("contact_id") % 5 != 0, F.col("quality_score")))
+
+
+@query(f"SELECT CASE WHEN quality_score IS NULL THEN 'Not Scored' ELSE {_TIERS} END AS tier, count(*) AS n FROM (SELECT CASE WHEN contact_id % 5 <> 0 THEN quality_score END AS quality_score FROM contacts) GROUP BY 1")
+def quality_dist6(spark, sf):
+    return stats.six_tiers(_some_unscored(contacts(spark, sf)))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE email_category = 'Big4_ISP') AS big4, count(*) FILTER (WHERE email_category = 'Cable_Provider') AS cable, count(*) FILTER (WHERE email_category = 'General_Internet') AS gi, count(*) FILTER (WHERE is_clicker) AS clickers, count(*) FILTER (WHERE is_opener) AS openers, count(*) FILTER (WHERE quality_score >= 80) AS high_quality FROM contacts")
+def overview_counts(spark, sf):
+    return stats.overview(contacts(spark, sf))
+
+
+# Breakdowns
+
+
+@query(f"SELECT email_provider, {MEASURES}{DOMAINS} FROM contacts WHERE email_provider IN ('Google', 'Yahoo', 'Microsoft') GROUP BY 1")
+def provider_breakdown(spark, sf):
+    return stats.provider_breakdown(both(spark, sf)[0])
+
+
+@query(f"SELECT CASE WHEN email_domain IN ('comcast.net', 'comcast.com', 'xfinity.com') THEN 'comcast' ELSE 'spectrum' END AS bucket, {MEASURES}{DOMAINS} FROM contacts WHERE email_category = 'Cable_Provider' AND (email_domain IN ('comcast.net', 'comcast.com', 'xfinity.com', 'charter.net', 'rr.com') OR email_domain LIKE '%.rr.com') GROUP BY 1")
+def cable_breakdown(spark, sf):
+    return stats.cable_breakdown(both(spark, sf)[0])
+
+
+@query(f"SELECT {MEASURES}, CAST(3 AS BIGINT) AS domains FROM contacts WHERE email_domain IN ('icloud.com', 'me.com', 'mac.com')")
+def apple_breakdown(spark, sf):
+    return stats.apple_breakdown(both(spark, sf)[0])
+
+
+@query(f"SELECT mx_category AS host_category, {MEASURES}{DOMAINS} FROM contacts WHERE email_category = 'General_Internet' AND mx_category IN ('Google', 'Microsoft', 'Yahoo') GROUP BY 1")
+def second_level_big4(spark, sf):
+    return stats.by_mx_category(*both(spark, sf), mx.BIG4_HOSTS)
+
+
+@query(f"SELECT mx_category AS host_category, {MEASURES}{DOMAINS} FROM contacts WHERE email_category = 'General_Internet' AND mx_category IN ('Fastmail', 'ProtonMail', 'Amazon') GROUP BY 1")
+def gi_hosting_category(spark, sf):
+    return stats.by_mx_category(*both(spark, sf), ("Fastmail", "ProtonMail", "Amazon"))
+
+
+@query(f"SELECT CASE WHEN mx_primary ILIKE '%secureserver.net%' THEN 'godaddy' WHEN mx_primary ILIKE '%hostgator%' THEN 'hostgator' END AS bucket, {MEASURES}{DOMAINS} FROM contacts JOIN (SELECT domain, mx_primary, mx_category AS mc FROM dim) ON domain = email_domain WHERE email_category = 'General_Internet' AND mc IN ('Real_GI', 'General_Internet') AND (mx_primary ILIKE '%secureserver.net%' OR mx_primary ILIKE '%hostgator%') GROUP BY 1")
+def gi_hosting(spark, sf):
+    return stats.by_hosting(*both(spark, sf))
+
+
+@query(f"SELECT email_domain, {MEASURES} FROM contacts WHERE email_category = 'General_Internet' AND email_domain NOT IN ('icloud.com', 'me.com', 'mac.com') GROUP BY 1 ORDER BY total DESC, email_domain LIMIT 10")
+def top_gi_domains(spark, sf):
+    return stats.top_gi_domains(both(spark, sf)[0])
+
+
+@query("SELECT email_category, count(DISTINCT email_domain) AS domains, count(*) AS n FROM contacts GROUP BY 1")
+def category_domain_counts(spark, sf):
+    return stats.category_domains(contacts(spark, sf))
+
+
+@query("SELECT email_category, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS pct FROM contacts GROUP BY 1")
+def category_pct(spark, sf):
+    return stats.shares(contacts(spark, sf), "email_category")
+
+
+@query("SELECT email_provider, count(*) AS n FROM contacts WHERE email_provider IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
+def top_providers(spark, sf):
+    return stats.top(contacts(spark, sf), "email_provider", 20)
+
+
+@query("SELECT email_domain, count(*) AS n FROM contacts WHERE email_domain IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 50")
+def domain_distribution(spark, sf):
+    return stats.top(contacts(spark, sf), "email_domain", 50)
+
+
+@query("SELECT email_domain, count(*) AS n FROM contacts WHERE email_category = 'General_Internet' GROUP BY 1")
+def gi_domains(spark, sf):
+    return stats.counts(contacts(spark, sf).filter("email_category = 'General_Internet'"), "email_domain", "email_domain")
+
+
+_RATIO = "round(100 * {c} / total, 1) AS {c}_pct"
+
+
+@query("SELECT *, " + ", ".join(_RATIO.format(c=c) for c in ("high_intent", "with_name", "with_phone", "with_zip")) + " FROM (SELECT count(*) AS total, count(*) FILTER (WHERE is_clicker) AS clickers, count(*) FILTER (WHERE is_opener) AS openers, count(*) FILTER (WHERE is_clicker AND quality_score >= 70) AS high_intent, count(*) FILTER (WHERE coalesce(first_name, '') <> '') AS with_name, count(*) FILTER (WHERE coalesce(phone, '') <> '') AS with_phone, count(*) FILTER (WHERE coalesce(zipcode, '') <> '') AS with_zip FROM contacts)")
+def high_intent(spark, sf):
+    return stats.high_intent(contacts(spark, sf))
+
+
+@query("SELECT CASE WHEN email_domain LIKE '%.rr.com' THEN '*.rr.com' ELSE email_domain END AS domain, count(*) AS n FROM contacts WHERE email_domain LIKE '%.rr.com' OR email_domain IN (" + ", ".join(f"'{d}'" for d in stats.BIG4_REPORT + stats.CABLE_REPORT) + ") GROUP BY 1")
+def detailed_domain_counts(spark, sf):
+    return stats.domain_report(contacts(spark, sf))
+
+
+@query("SELECT coalesce(a.email_category, b.email_category) AS stat_name, coalesce(b.n, 0) - coalesce(a.n, 0) AS change FROM (SELECT email_category, count(*) AS n FROM contacts WHERE file_ordinal = 0 GROUP BY 1) a FULL JOIN (SELECT email_category, count(*) AS n FROM contacts GROUP BY 1) b ON a.email_category = b.email_category")
+def stats_delta(spark, sf):
+    rows = contacts(spark, sf)
+    snap = lambda r: r.groupBy(F.col("email_category").alias("stat_name")).agg(F.count("*").alias("stat_value"))
+    return merge.delta(snap(rows.filter("file_ordinal = 0")), snap(rows))
+
+
+# Facets
+
+_FACETS = {
+    "state": ("upper(state)", 100),
+    "country": ("country", 50),
+    "source": ("data_source", 100),
+    "status": ("validation_status", 100),
+    "gender": ("CASE WHEN upper(gender) IN ('M', 'MALE') THEN 'M' WHEN upper(gender) IN ('F', 'FEMALE') THEN 'F' ELSE gender END", 100),
+    "city": (TITLE.format(x="city").replace("a-z", "a-z0-9"), 200),
+    "zip5": ("left(zipcode, 5)", 200),
+}
+for _kind, (_expr, _k) in _FACETS.items():
+    QUERIES[f"facet_{_kind}"] = lambda spark, sf, k=_kind: stats.facet(contacts(spark, sf), k)
+    ORACLES[f"facet_{_kind}"] = PRELUDE + f"SELECT value, count(*) AS n FROM (SELECT {_expr} AS value FROM contacts) WHERE coalesce(value, '') <> '' GROUP BY 1 ORDER BY n DESC, value LIMIT {_k}"
+
+
+@query("SELECT s AS file_source, count(*) AS n FROM (SELECT unnest(file_sources) AS s FROM contacts) GROUP BY 1")
+def file_source_unnest(spark, sf):
+    return stats.file_source_facet(contacts(spark, sf))
+
+
+# Duplicates and merging
+
+_PRIORITY = """CASE WHEN is_clicker THEN 1000 ELSE 0 END + CASE WHEN is_opener THEN 500 ELSE 0 END + CASE WHEN validation_status = 'Verified' THEN 200 ELSE 0 END
+  + 10 * (""" + " + ".join(f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN 1 ELSE 0 END" for c in ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "signup_date")) + ") + CASE WHEN data_source <> 'Unknown' THEN 50 ELSE 0 END"
+_RANKED = f", ranked AS (SELECT *, CAST({_PRIORITY} AS INTEGER) AS priority, row(CAST({_PRIORITY} AS INTEGER), -file_ordinal, -row_ordinal) AS rk FROM contacts)"
+_FILLED = ", ".join(f"arg_max({c}, rk) FILTER (WHERE coalesce({c}, '') <> '') AS {c}" for c in ("first_name", "last_name", "city", "state", "zipcode", "phone", "gender"))
+_MERGED = f"arg_max(contact_id, rk) AS contact_id, arg_max(data_source, rk) AS data_source, arg_max(quality_score, rk) AS quality_score, {_FILLED}, bool_or(is_clicker) AS is_clicker, bool_or(is_opener) AS is_opener, CASE WHEN bool_or(coalesce(validation_status = 'Verified', false)) THEN 'Verified' ELSE arg_max(coalesce(validation_status, ''), rk) END AS validation_status, array_to_string(list_sort(list_distinct(flatten(list(file_sources)))), ',') AS file_sources"
+_MERGE_COLUMNS = ("contact_id", "data_source", "quality_score", "first_name", "last_name", "city", "state", "zipcode", "phone", "gender", "is_clicker", "is_opener")
+
+
+def _merged_columns(rows):
+    return rows.select("email", *_MERGE_COLUMNS, F.coalesce("validation_status", F.lit("")).alias("validation_status"), F.array_join("file_sources", ",").alias("file_sources"))
+
+
+def _merged_sql(columns):
+    """arg_max skips null values; what the best record lacks must stay lacking."""
+    return columns.replace("arg_max(data_source, rk)", "nullif(arg_max(coalesce(data_source, ''), rk), '')")
+
+
+@query(_RANKED + " SELECT contact_id, file_ordinal, priority FROM ranked")
+def priority_score(spark, sf):
+    return merge.priority(contacts(spark, sf)).select("contact_id", "file_ordinal", "priority")
+
+
+@query(_RANKED + f" SELECT email, {_merged_sql(_MERGED)} FROM ranked GROUP BY email")
+def dedup_merge(spark, sf):
+    return _merged_columns(merge.merge_duplicates(contacts(spark, sf)))
+
+
+@query(_RANKED + f", per AS (SELECT file_ordinal, email, {_merged_sql(_MERGED)} FROM ranked GROUP BY email, file_ordinal) SELECT * EXCLUDE (file_ordinal) FROM per QUALIFY row_number() OVER (PARTITION BY email ORDER BY file_ordinal) = 1")
+def incremental_dedup(spark, sf):
+    return _merged_columns(merge.incremental(contacts(spark, sf)))
+
+
+def _master_batch(spark, sf):
+    rows = contacts(spark, sf).drop("mx_valid", "mx_category", "is_spamtrap")
+    first = merge.merge_duplicates(rows.filter("file_ordinal = 0 AND contact_id % 3 <> 0")).drop("n_merged")
+    return first, merge.merge_duplicates(rows.filter("file_ordinal = 1")).drop("n_merged")
+
+
+_HALVES = _RANKED + ", master AS (SELECT * FROM ranked WHERE file_ordinal = 0 AND contact_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY email ORDER BY rk DESC) = 1), batch AS (SELECT * FROM ranked WHERE file_ordinal = 1 QUALIFY row_number() OVER (PARTITION BY email ORDER BY rk DESC) = 1)"
+
+
+@query(_HALVES + " SELECT email, contact_id, file_ordinal FROM master UNION ALL SELECT email, contact_id, file_ordinal FROM batch WHERE email NOT IN (SELECT email FROM master)")
+def insert_if_absent(spark, sf):
+    return merge.insert_if_absent(*_master_batch(spark, sf)).select("email", "contact_id", "file_ordinal")
+
+
+@query(_HALVES + " SELECT coalesce(o.email, n.email) AS email, coalesce(o.contact_id, n.contact_id) AS contact_id, coalesce(n.first_name, o.first_name) AS first_name, coalesce(n.last_name, o.last_name) AS last_name, coalesce(n.phone, o.phone) AS phone, coalesce(o.is_clicker, false) OR coalesce(n.is_clicker, false) AS is_clicker, greatest(coalesce(o.quality_score, 0), coalesce(n.quality_score, 0)) AS quality_score, array_to_string(list_concat(o.file_sources, n.file_sources), ',') AS file_sources, CASE WHEN o.email IS NULL THEN 'inserted' WHEN n.email IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome FROM master o FULL JOIN batch n ON o.email = n.email")
+def enrich_upsert(spark, sf):
+    out = merge.enrich(*_master_batch(spark, sf), merge.ENRICH_IMPORT)
+    return out.select("email", "contact_id", "first_name", "last_name", "phone", "is_clicker", "quality_score", F.array_join("file_sources", ",").alias("file_sources"), "outcome")
+
+
+@query(_HALVES + " SELECT CASE WHEN o.email IS NULL THEN 'inserted' WHEN n.email IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome, count(*) AS n FROM master o FULL JOIN batch n ON o.email = n.email GROUP BY 1")
+def upsert_counts(spark, sf):
+    return merge.outcome_counts(merge.enrich(*_master_batch(spark, sf)))
+
+
+# Mail hosts
+
+
+@query("SELECT domain, mx_category FROM dim")
+def mx_classify(spark, sf):
+    return dimension(contacts(spark, sf)).select("domain", "mx_category")
+
+
+@query("SELECT domain, coalesce(hosting_provider, (SELECT arg_min(label, i) FROM labels WHERE contains(mx_primary, pat))) AS hosting_provider FROM dim")
+def hosting_label(spark, sf):
+    return mx.label_hosting(dimension(contacts(spark, sf))).select("domain", "hosting_provider")
+
+
+@query("SELECT hosting_provider, count(*) AS domains, CAST(sum(email_count) AS BIGINT) AS emails FROM (SELECT email_count, coalesce(hosting_provider, (SELECT arg_min(label, i) FROM labels WHERE contains(mx_primary, pat))) AS hosting_provider FROM dim) WHERE hosting_provider IS NOT NULL GROUP BY 1 ORDER BY domains DESC, 1 LIMIT 25")
+def hosting_summary(spark, sf):
+    return stats.hosting_summary(mx.label_hosting(dimension(contacts(spark, sf))))
+
+
+@query("SELECT email_domain AS domain, CAST(count(*) + any_value(email_count) AS BIGINT) AS email_count FROM contacts JOIN dim ON domain = email_domain GROUP BY 1")
+def domain_backfill(spark, sf):
+    rows = contacts(spark, sf)
+    return mx.backfill(rows, dimension(rows), add=True)
+
+
+@query("SELECT contact_id, file_ordinal, CASE WHEN is_valid THEN mx_category END AS mx_category, CASE WHEN is_valid THEN true END AS mx_valid, coalesce(is_valid, false) AS mx_changed FROM contacts0 LEFT JOIN dim ON domain = email_domain")
+def apply_mx(spark, sf):
+    rows = contacts(spark, sf)
+    return mx.apply_mx(rows, dimension(rows)).select("contact_id", "file_ordinal", "mx_category", "mx_valid", "mx_changed")
+
+
+@query("SELECT contact_id, file_ordinal, email_domain IN (SELECT domain FROM dim WHERE NOT is_valid) AS undeliverable FROM contacts")
+def split_undeliverable(spark, sf):
+    rows = contacts(spark, sf)
+    good, dead = mx.split_undeliverable(rows, dimension(rows))
+    pick = lambda r, v: r.select("contact_id", "file_ordinal", F.lit(v).alias("undeliverable"))
+    return pick(good, False).unionByName(pick(dead, True))
+
+
+@query("SELECT contact_id, file_ordinal, split_part(email, '@', 2) IN (SELECT domain FROM dim WHERE is_spamtrap) AS is_spamtrap FROM contacts")
+def flag_spamtrap(spark, sf):
+    rows = contacts(spark, sf)
+    return mx.flag_spamtraps(rows, dimension(rows)).select("contact_id", "file_ordinal", "is_spamtrap")
+
+
+@query("SELECT (SELECT count(*) FROM dim WHERE is_spamtrap) AS trap_domains, (SELECT count(*) FROM contacts WHERE email_domain IN (SELECT domain FROM dim WHERE is_spamtrap)) AS trap_emails")
+def spamtrap_totals(spark, sf):
+    rows = contacts(spark, sf)
+    facts = dimension(rows)
+    return stats.trap_totals(mx.flag_spamtraps(rows, facts), facts)
+
+
+@query("SELECT domain FROM dim WHERE checked_at IS NULL AND domain NOT IN (SELECT domain FROM rules)")
+def unchecked_domains(spark, sf):
+    return mx.unchecked(dimension(contacts(spark, sf))).select("domain")
+
+
+@query("SELECT domain, CASE WHEN is_valid THEN mx_category END AS mx_category, CASE WHEN is_valid THEN checked_at IS NULL ELSE true END AS unchecked, true AS is_valid FROM dim")
+def reset_dead(spark, sf):
+    return mx.reset(dimension(contacts(spark, sf))).select("domain", "mx_category", F.col("checked_at").isNull().alias("unchecked"), "is_valid")
+
+
+@query("SELECT coalesce(d.domain, g.domain) AS domain, coalesce(g.domain IS NOT NULL OR d.is_gi, g.domain IS NOT NULL) AS is_gi, d.domain IS NULL AS is_new FROM (SELECT * FROM dim WHERE length(domain) % 2 = 0) d FULL JOIN (SELECT DISTINCT email_domain AS domain FROM contacts WHERE email_category = 'General_Internet') g ON d.domain = g.domain")
+def sync_gi(spark, sf):
+    rows = contacts(spark, sf)
+    return mx.sync_gi(rows, dimension(rows).filter("length(domain) % 2 = 0"))
+
+
+@query("SELECT count(*) AS total, count(checked_at) AS checked, count(*) - count(checked_at) AS unchecked, count(*) FILTER (WHERE is_gi) AS gi, count(*) FILTER (WHERE is_gi AND checked_at IS NULL) AS gi_unchecked, count(*) FILTER (WHERE NOT is_valid) AS dead FROM dim")
+def domain_state(spark, sf):
+    return stats.dimension_state(dimension(contacts(spark, sf)))
+
+
+@query("SELECT count(checked_at) AS checked, count(*) FILTER (WHERE checked_at IS NOT NULL AND is_valid) AS valid, count(*) FILTER (WHERE checked_at IS NOT NULL AND NOT is_valid) AS dead, CAST(coalesce(sum(email_count) FILTER (WHERE checked_at IS NOT NULL), 0) AS BIGINT) AS emails_checked, CAST(coalesce(sum(email_count) FILTER (WHERE checked_at IS NOT NULL AND is_valid), 0) AS BIGINT) AS emails_valid, CAST(coalesce(sum(email_count) FILTER (WHERE checked_at IS NOT NULL AND NOT is_valid), 0) AS BIGINT) AS emails_dead FROM dim")
+def scan_stats(spark, sf):
+    return stats.scan_stats(dimension(contacts(spark, sf)))
+
+
+@query("SELECT CASE WHEN mx_category IN ('Google', 'Microsoft', 'Yahoo', 'Real_GI', 'General_Internet', 'Dead') THEN mx_category ELSE 'Other' END AS host_category, count(*) AS n FROM dim GROUP BY 1")
+def host_histogram(spark, sf):
+    return stats.host_histogram(dimension(contacts(spark, sf)))
+
+
+@query("SELECT mx_category, CAST(sum(email_count) AS BIGINT) AS emails FROM dim GROUP BY 1")
+def emails_by_host(spark, sf):
+    return stats.emails_by_host(dimension(contacts(spark, sf)))
+
+
+@query("SELECT dns_server, count(*) FILTER (WHERE is_valid) AS valid, count(*) FILTER (WHERE NOT is_valid) AS dead FROM dim GROUP BY 1")
+def dns_pivot(spark, sf):
+    return stats.server_pivot(dimension(contacts(spark, sf)))
+
+
+@query("SELECT domain, email_count, error_message FROM dim WHERE NOT is_valid ORDER BY email_count DESC, domain LIMIT 500")
+def dead_domains(spark, sf):
+    return stats.dead_domains(dimension(contacts(spark, sf)))
+
+
+# Segments
+
+_GI_TX = Segment(category="General_Internet", state="tx", quality="high", no_spamtraps=True)
+_SEGMENTS = [Segment(clickers=True, openers=True), Segment(category="General_Internet", mx_big4=True), Segment(provider="Yahoo", quality="low"), Segment(validation_status="verified", states=("NY", "CA"), has_phone=True)]
+_UNION = "(is_clicker OR is_opener) OR (email_category = 'General_Internet' AND mx_category IN ('Google', 'Microsoft', 'Yahoo')) OR (email_provider = 'Yahoo' AND quality_score < 40) OR (validation_status = 'Verified' AND state IN ('NY', 'CA') AND coalesce(phone, '') <> '')"
+
+
+@query("SELECT email, contact_id, quality_score FROM contacts WHERE file_ordinal = 0 AND email_category = 'General_Internet' ORDER BY quality_score DESC NULLS LAST, email LIMIT 50 OFFSET 20")
+def filter_query_page(spark, sf):
+    rows = segments.select(contacts(spark, sf).filter("file_ordinal = 0"), Segment(category="General_Internet", no_spamtraps=True))
+    return segments.page(rows, limit=50, offset=20).select("email", "contact_id", "quality_score")
+
+
+@query("SELECT count(*) AS n FROM contacts WHERE email_category = 'General_Internet' AND upper(state) = 'TX' AND quality_score >= 70")
+def filter_count(spark, sf):
+    return segments.select(contacts(spark, sf), _GI_TX).agg(F.count("*").alias("n"))
+
+
+@query("SELECT contact_id, file_ordinal, email FROM contacts WHERE contains(lower(email), 'build') AND zipcode LIKE '100%' AND state NOT IN ('TX') AND gender = 'M' AND country = 'US' AND signup_date IS NULL = false AND CAST(signup_date AS VARCHAR) >= '2020' AND list_contains(file_sources, 'file_0')")
+def filter_all_kinds(spark, sf):
+    s = Segment(email_contains="BUILD", zip_prefix="100", exclude_states=("TX",), gender="M", country="US", signup_from="2020", file_source="file_0")
+    return segments.select(contacts(spark, sf), s).select("contact_id", "file_ordinal", "email")
+
+
+@query(f"SELECT count(DISTINCT email) AS n_emails FROM contacts WHERE {_UNION}")
+def segment_count(spark, sf):
+    rows = contacts(spark, sf)
+    return segments.union_count(rows, _SEGMENTS, dimension(rows))
+
+
+@query(f"SELECT DISTINCT email FROM contacts WHERE {_UNION}")
+def segment_union(spark, sf):
+    rows = contacts(spark, sf)
+    return segments.union(rows, _SEGMENTS, dimension(rows)).select("email").distinct()
+
+
+def _preset_sql(s: Segment) -> str:
+    tests = [f"{c} = '{v}'" for c, v in (("email_category", s.category), ("email_provider", s.provider), ("mx_category", s.mx_category)) if v]
+    tests += [c for c, v in (("is_clicker", s.clickers), ("is_opener", s.openers)) if v]
+    if s.mx_big4:
+        tests.append("mx_category IN ('Google', 'Microsoft', 'Yahoo')")
+    if s.quality:
+        tests.append({"high": "quality_score >= 70", "medium": "quality_score BETWEEN 40 AND 69"}[s.quality])
+    if s.validation_status:
+        tests.append("validation_status = 'Verified'")
+    return " AND ".join(tests)
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS preset, count(*) AS n FROM contacts WHERE {_preset_sql(s)}" for k, s in segments.PRESETS.items()))
+def preset_counts(spark, sf):
+    rows = contacts(spark, sf)
+    return segments.preset_counts(rows, dimension(rows))
+
+
+@query("SELECT email, coalesce(first_name, '') AS first_name, coalesce(state, '') AS state, CAST(quality_score AS VARCHAR) AS quality_score, CASE WHEN is_clicker THEN 'true' ELSE 'false' END AS is_clicker, coalesce(strftime(signup_date, '%Y-%m-%d %H:%M:%S'), '') AS signup_date, array_to_string(file_sources, '; ') AS file_sources FROM contacts WHERE is_clicker AND state NOT IN ('TX')")
+def export_segment(spark, sf):
+    rows = segments.select(contacts(spark, sf), Segment(clickers=True, exclude_states=("TX",)))
+    return segments.export_rows(rows.select("email", "first_name", "state", "quality_score", "is_clicker", "signup_date", "file_sources"))
+
+
+# Cells
+
+_CELLS = "SELECT 0 AS pos, url AS value FROM {p} UNION ALL SELECT 1, CAST(page_id AS VARCHAR(20)) FROM {p} UNION ALL SELECT 2, c_name FROM {c} UNION ALL SELECT 3, CASE c_custkey % 7 WHEN 0 THEN 'a@b.com' WHEN 1 THEN '10.0.0.1' WHEN 2 THEN '2024-01-02' WHEN 3 THEN 'tx' WHEN 4 THEN '12345' WHEN 5 THEN 'female' ELSE '(743) 555-0101' END FROM {c} UNION ALL SELECT 4, CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE 'www.x.org' END FROM {c}"
+_TYPE = r"""CASE WHEN trim(coalesce(value, '')) = '' THEN 'empty' WHEN regexp_matches(trim(value), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$') THEN 'email' WHEN regexp_full_match(trim(value), '\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}') THEN 'ip'
+  WHEN regexp_matches(trim(value), '^\d{1,4}[-/]\d{1,2}[-/]\d{1,4}') THEN 'date' WHEN upper(trim(value)) IN ('TX') THEN 'state' WHEN regexp_full_match(trim(value), '\d{5}(-\d{4})?') THEN 'zip' WHEN upper(trim(value)) IN ('M', 'F', 'MALE', 'FEMALE') THEN 'gender'
+  WHEN length(regexp_replace(value, '\D', '', 'g')) BETWEEN 7 AND 15 AND regexp_full_match(trim(value), '[\d\-\(\)\s\.]{7,20}') THEN 'phone' WHEN value LIKE 'http%' OR regexp_matches(value, '\.com|\.net|\.org') THEN 'domain' ELSE 'text' END"""
+_TYPED = f"WITH cells AS ({_CELLS.format(p='pages', c='customer')}), typed AS (SELECT pos, {_TYPE} AS cell_type FROM cells)"
+
+
+def _cells(spark, sf):
+    return spark.sql(_CELLS, p=spark.read.parquet(f"{sf}/pages.parquet"), c=spark.read.parquet(f"{sf}/customer.parquet"))
+
+
+@query(_TYPED + " SELECT pos, cell_type, count(*) AS n FROM typed GROUP BY 1, 2", prelude=False)
+def cell_types(spark, sf):
+    return _cells(spark, sf).groupBy("pos", S.cell_type(F.col("value")).alias("cell_type")).agg(F.count("*").alias("n"))
+
+
+@query(_TYPED + ", per AS (SELECT pos, cell_type, count(*) AS n FROM typed GROUP BY 1, 2), best AS (SELECT pos, cell_type AS primary_type FROM per WHERE cell_type <> 'empty' QUALIFY row_number() OVER (PARTITION BY pos ORDER BY n DESC, cell_type) = 1) SELECT pos, cell_type, n, coalesce(primary_type, 'empty') AS primary_type FROM per LEFT JOIN best USING (pos)", prelude=False)
+def column_profile(spark, sf):
+    return stats.column_profile(_cells(spark, sf))
