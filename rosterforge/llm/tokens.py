@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 
 from rosterforge.llm.common import small_batches
 
-#: Words a worker remembers before it starts anew; bounds its memory.
-CACHE_WORDS = 300_000
+#: Words a worker remembers before it starts anew; bounds its memory (about 200 bytes each).
+CACHE_WORDS = 800_000
 #: A cut before a space is unsafe only where white space stands on both sides of that space.
 _UNSAFE_SPACE = re.compile(r"\s (?:\s|\Z)|^ (?:\s|\Z)")
 #: Characters that Python counts as white space and the tokenizers do not.
@@ -25,6 +27,7 @@ class WordCache(dict):
     """Maps a word to its ids as raw bytes; new words are encoded by the tokenizers library."""
 
     def __init__(self, path: str, lower_case: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -35,24 +38,42 @@ class WordCache(dict):
         self.lower_case = lower_case
 
     def raw(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         self[word] = out = self.raw(word)
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids of the whole text: equal to one call of the library over the text."""
+    def words(self, text: str) -> list[str] | None:
+        """The pieces that can be encoded one by one; None where only the whole text gives the right ids."""
         if "<|" in text or _CONTROL_SPACE.search(text):
-            return self.raw(text)
-        if len(self) > CACHE_WORDS:
-            self.clear()
+            return None
         if self.lower_case:
-            return b"".join(map(self.__getitem__, text.split()))
+            return text.split()
         if _UNSAFE_SPACE.search(text):
-            return self.raw(text)
+            return None
         head, *rest = text.split(" ")
-        return (self[head] if head else b"") + b"".join([self[" " + w] for w in rest])
+        return ([head] if head else []) + [" " + w for w in rest]
+
+    def encode(self, text: str) -> bytes:
+        """Ids of the whole text: equal to one call of the library over the text."""
+        words = self.words(text)
+        return self.raw(text) if words is None else b"".join(map(self.__getitem__, words))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that are new go through the library in one call."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        split = [self.words(t) for t in texts]
+        fresh = list({w for ws in split if ws for w in ws} - self.keys())
+        for lo in range(0, len(fresh), 50_000):
+            some = fresh[lo : lo + 50_000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self[w] = self._bytes(e.ids)
+        return [self.raw(t) if ws is None else b"".join([self[w] for w in ws]) for t, ws in zip(texts, split, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -73,7 +94,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int, lower_case: bool, id_col
         cache, at, part = word_cache(path, lower_case), 0, TaskContext.get().partitionId()
         end = np.array([end_id], cache.kind).tobytes()
         for b in batches:
-            ids = [cache.encode(t or "") + end for t in b.column(1).to_pylist()]
+            ids = [x + end for x in cache.encode_all([t or "" for t in b.column(1).to_pylist()])]
             n = np.array([len(x) for x in ids], np.int64) // cache.kind.itemsize
             starts = at + np.cumsum(n) - n
             at += int(n.sum())
