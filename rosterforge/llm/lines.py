@@ -19,7 +19,7 @@ REGISTERS = BANDS * WIDTH
 #: Sets under SMALL are signed by one hash function per register, larger ones by one for all; between the two numbers by both.
 SMALL, LARGE = 256, 200
 #: Characters signed at once, and lines a task remembers to have signed; both bound its memory.
-CHUNK, SEEN = 1 << 17, 300_000
+CHUNK, SEEN = 1 << 17, 150_000
 #: Rows broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 

@@ -21,7 +21,7 @@ REGISTERS = BANDS * WIDTH
 SMALL, LARGE = 512, 400
 #: Ids broadcast at most (16 MB); beyond it texts are fetched by a shuffle join.
 BROADCAST_IDS = 1_000_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 
 class _Words(dict):

@@ -18,7 +18,7 @@ BITS = 18
 #: Most labelled documents used for training (the smallest by hash of doc_id).
 TRAIN_ROWS = 4000
 #: Words a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 _WORD = re.compile(r"\w+|[^\w\s]+")
 _REPEAT = np.uint32(0x9E3779B1)
 

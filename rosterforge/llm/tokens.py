@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rosterforge.llm.common import small_batches
 
 #: Words a worker remembers before it starts anew; bounds its memory (about 200 bytes each).
-CACHE_WORDS = 800_000
+CACHE_WORDS = 350_000
 #: A cut before a space is unsafe only where white space stands on both sides of that space.
 _UNSAFE_SPACE = re.compile(r"\s (?:\s|\Z)|^ (?:\s|\Z)")
 #: Characters that Python counts as white space and the tokenizers do not.
