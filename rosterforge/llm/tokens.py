@@ -21,6 +21,10 @@ CACHE_WORDS = 350_000
 _UNSAFE_SPACE = re.compile(r"\s (?:\s|\Z)|^ (?:\s|\Z)")
 #: Characters that Python counts as white space and the tokenizers do not.
 _CONTROL_SPACE = re.compile("[\x1c-\x1f]")
+#: Words without white space inside or behind them can go through the library in one text, with marks between them.
+_PLAIN = re.compile(r" ?\S+\Z")
+#: New words that share one text.
+JOINED_WORDS = 20_000
 
 
 class WordCache(dict):
@@ -36,6 +40,9 @@ class WordCache(dict):
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         #: Words of a vocabulary that drops white space may be cut at any white space.
         self.lower_case = lower_case
+        #: Stands between joined words: split off by the tokenizer, one id, and in none of the words.
+        self.between = " ! " if lower_case else "\n"
+        self.mark = self.tokenizer.encode(self.between, add_special_tokens=False).ids
 
     def raw(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -63,16 +70,27 @@ class WordCache(dict):
         words = self.words(text)
         return self.raw(text) if words is None else b"".join(map(self.__getitem__, words))
 
+    def _learn(self, fresh: list[str]) -> None:
+        """Remembers the ids of new words, joined in one text where a mark can stand between them; the others go one by one when they are met."""
+        mark = self.between.strip(" ")
+        words = [w for w in fresh if mark not in w and _PLAIN.match(w)]
+        if len(self.mark) != 1 or not words:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(words)], add_special_tokens=False)[0].ids, self.kind)
+        cuts = np.flatnonzero(ids == self.mark[0])
+        if len(cuts) == len(words) - 1:
+            raw, width = ids.tobytes(), self.kind.itemsize
+            ends = [*(cuts * width).tolist(), len(raw)]
+            self.update(zip(words, (raw[a:b] for a, b in zip([0, *((cuts + 1) * width).tolist()], ends, strict=True)), strict=True))
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; words that are new go through the library in one call."""
+        """Ids of each text; words that are new go through the library together."""
         if len(self) > CACHE_WORDS:
             self.clear()
         split = [self.words(t) for t in texts]
         fresh = list({w for ws in split if ws for w in ws} - self.keys())
-        for lo in range(0, len(fresh), 50_000):
-            some = fresh[lo : lo + 50_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[w] = self._bytes(e.ids)
+        for lo in range(0, len(fresh), JOINED_WORDS):
+            self._learn(fresh[lo : lo + JOINED_WORDS])
         return [self.raw(t) if ws is None else b"".join([self[w] for w in ws]) for t, ws in zip(texts, split, strict=True)]
 
 
