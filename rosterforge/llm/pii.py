@@ -93,16 +93,73 @@ LABELLED = (
     "$$$ 4 ### 5 &&& the rest | of | 20 words",
     "is the name 5 of them all",
     "the ssn field has 9 digits",
+    # Names, telephones and secrets in German, French and Spanish; secrets glued to their key.
+    "Herr [Weber|person] wohnt am Markt und Frau [Lindqvist|person] am Hafen",
+    "mein Name ist [Jonas Brandt|person] und ich komme aus dem Norden",
+    "Frau [Petra Hollmann|person] schrieb gestern einen Brief",
+    "Monsieur [Delorme|person] est parti et Madame [Vasseur|person] reste ici",
+    "Mme [Claire Aubin|person] habite au bord de la mer",
+    "je m'appelle [Hugo Lambert|person] et je viens du sud",
+    "Señor [Ibarra|person] llega tarde y Señora [Montes|person] ya se fue",
+    "me llamo [Lucía Rojas|person] y vivo en el valle",
+    "Nombre: [Tomás Vidal|person] y otros",
+    "Passwort: [abendrotimwald|secret] bitte nicht weitergeben",
+    "Kennwort: [nebelkrähe77|secret] gilt bis morgen",
+    "mot de passe: [soleilcouchant|secret] à ne pas donner",
+    "contraseña: [lunallenaenelmar|secret] no se comparte",
+    "password: [violetmountain|secret] was set for the box",
+    "the line [password=opensesameplease|secret] was left in the file",
+    "found [secret=marbleoctopus|secret] in the log",
+    "with [token=qz81kd02mx77|secret] and no more",
+    "Telefon: [030 5550 118|local_phone] ab neun Uhr",
+    "Teléfono: [91 555 02 33|local_phone] por la tarde",
+    "Téléphone: [01 55 50 17 42|local_phone] le matin",
+    # Plain prose: sentences start with capitals after short words and at line ends.
+    "It was so. Rain fell on the hills. They left. The boat was gone. Nobody asked.",
+    "We sat in it. Others stood. Then came the news. Spring was late. Ice held on.",
+    "He said no. Winter came. Birds flew on. Fields lay bare. Snow fell.",
+    "Of this and that. Morning light. Is it in. Evening came to us. Rivers rose in it.",
+    "As it is. With them. From there on. That was by us. This is it. Where to.",
+    "An old mill. Wind and Water. Stone Bridges of the North. In the Hills. A. Better Way.",
+    "Thrandel moor es. Orstingen was of it. Bellowish and ren. Andelore to on. Is. Mendor the.",
+    "Weather. Harvest\nMarket days\nRoads and rivers. Letters from home. On it. Dust.",
+    "Es war gut. Regen fiel auf die Stadt. Dann kam der Abend. Kinder liefen heim. Und so.",
+    "Der Fluss trat über die Ufer. Felder und Wiesen. Das Haus am Wald. Von da an. Nichts blieb.",
+    "Ungelstein mit der. Verschonheit zu. Einerlung und die. Heitgang. Nicht so. Werkelung von.",
+    "La nuit tombe. Le vent du nord. Il est là. Personne ne vient. Eux et la mer. Des Ponts.",
+    "Élodrance de la. Ontéreuil est. Quelleaux en. Mentière des. Et puis. Rien. Les Eaux.",
+    "El sol se pone. Nadie vino. Es la hora. Los Campos del Sur. Que no. Después llovió.",
+    "Ciondara de la. Mentelar por. Adorenza con el. Que es. Rosantal y. Del mar. Viento.",
+    "the name of it. Rivers have a name. Call it home. Secret paths. Tokens of love. Phone lines fell.",
+    "Harbours%%% and Ships!!! Gold*** Silver### Iron&&& Now!!! Come$$$ Here???",
+    "Herr und Knecht gingen fort. Frau und Kind. Sein Name war vergessen. Der Name. Ohne Namen.",
+    "El nombre del río. Señor de nadie. Le nom de la rose. Madame est servie. Un mot de plus.",
+    "Passwort: [sonne|secret] und mehr",
+    "Passwort: [wolkenbruch|secret] dann weiter",
+    "password: [tigers|secret] and more",
+    "uncharacteristically the counterrevolutionaries and internationalization of misunderstandings went on",
+    "donaudampfschifffahrt und lebensversicherung mit geschwindigkeitsbegrenzung. bundesausbildung der rindfleischetikettierung",
+    "anticonstitutionnellement et extraordinairement pour des incompréhensibilités dans la rematérialisation",
+    "electroencefalografista y desafortunadamente con otorrinolaringólogo de internacionalización, por",
+    "overwhelmingsortlement of thereundermorning, andoverthelandings is restlessnessesofit!!! morningsideofthehill&&& on",
+    "Der Grundstücksverkehrsgenehmigung. Straßenbahn. Öfen. Übermut der. Ärger. Fähre mit. Größe",
+    "Grelend. Forsting morl and. Halder. Bry osten. Weldon. Morring. Tash by. Orrel. Denth Grey.",
+    "Brenlich. Weidung enk. Schorn. Ankel Dorf. Mit. Garbeit. Undel. Kleist. In Hals. Beding. Rauch",
+    "Parenne. Lisoire eau. Étang. Être là. Dorène. Marelle. À. Coule. Sous Bois. Voirie. Avec. Drap",
+    "Caminal. Verdosa ar. Árbol. Torrente. Mirada. Con. Salador. Por Donde. Abril. Ñandú. Flores.",
+    "Bregen*** Tolland.&&& Orrin!!! Felding%%% Mord### Hasting$$$ Kelm and%%% Lorring&&& Best",
+    "Wordle.\nThornton.\nIn.\nMarsel.\nUnd.\nBrant of it.\nA.\nEldor.\nLa.\nSorel. Is. The",
+    "Morning.%%% Ort!!! Weg### zu&&& Halde.*** Der%%% Rest$$$ mit. Baum&&& ist### Grund.!!! Ende",
+    "time: now and place: here or so:called things and left=right in sums",
 )
 
-#: Words whose presence is a feature and a reason to look around them; fixed values.
-CUES = frozenset("name mr mrs ms dr prof ssn social security passport phone tel mobile call token api_key password secret key is number no = :".split())
-_TRIGGER = CUES - {"is", "number", "no", "=", ":", "key", "social", "security", "call", "name", "secret"}
-#: Cue words that count as a reason only before ":" or "=" or one of these.
-_HEADS, _AFTER = frozenset(("name", "call", "key", "secret")), frozenset(("is", "me", "number", "=", ":"))
-#: Words looked at on either side of a trigger.
-REACH = 5
+#: Words whose presence is a feature; fixed values.
+CUES = frozenset("name mr mrs ms dr prof ssn social security passport phone tel mobile call token api_key password secret key is number no = : herr frau ist monsieur madame mme m'appelle señor señora llamo nombre nom passwort kennwort passe contraseña clave telefon teléfono téléphone".split())
 BITS = 11
+#: Words whose emissions are held at once; a longer text goes alone.
+CHUNK = 1 << 15
+#: A key and its value in one word.
+_GLUED = re.compile(r"(\w+)[=:]+.")
 _EDGE = "\"'.,;:!?*#$%&|"
 
 
@@ -133,53 +190,74 @@ def luhn(digits: str) -> bool:
     return (sum(values[::2]) + sum(sum(divmod(2 * v, 10)) for v in values[1::2])) % 10 == 0
 
 
-def shape(word: str) -> str:
-    """Letters and digits by class, with runs of one class cut to their length's bucket."""
-    kinds = "".join("X" if c.isupper() else "x" if c.islower() else "d" if c.isdigit() else c for c in word.strip(_EDGE)[:64])
-    return re.sub(r"([xX])\1\1+|d{5,}", lambda m: f"{m[0][0]}+" if len(m[0]) < 12 else f"{m[0][0]}*", kinds)
+class _Classes(dict):
+    """Code point -> its class, for ``str.translate``."""
 
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = out = "X" if c.isupper() else "x" if c.islower() else "d" if c.isdigit() else c
+        return out
 
-def word_features(word: str) -> tuple[int, int, int, int]:
-    """Hashed features: shape, mix of classes with length bucket, cue word, edges."""
-    core = word.strip(_EDGE).lower()
-    letters, digits = any(c.isalpha() for c in word), any(c.isdigit() for c in word)
-    mix = f"{letters:d}{digits:d}{word[:1].isupper():d}{min(len(core) // 8, 3)}"
-    cue = core if core in CUES else word if word in CUES else "-"
-    return tuple(zlib.crc32(f"{k}:{v}".encode()) % (1 << BITS) for k, v in (("s", shape(word)), ("m", mix), ("c", cue), ("e", word[:1] + word[-1:] if not word[:1].isalnum() or not word[-1:].isalnum() else "--")))
 
+_CLASSES = _Classes()
+_RUNS = re.compile(r"([xX])\1\1+|d{5,}")
 
-def _is_trigger(word: str) -> bool:
-    core = word.strip(_EDGE).lower()
-    return core in _TRIGGER or any("0" <= c <= "9" for c in word)
 
+def shape(word: str) -> str:
+    """Letters and digits by class, with runs of one class cut to their length's bucket."""
+    kinds = word.strip(_EDGE)[:64].translate(_CLASSES)
+    return _RUNS.sub(lambda m: f"{m[0][0]}+" if len(m[0]) < 12 else f"{m[0][0]}*", kinds)
 
-class _Words(dict):
-    """Word -> (trigger or phrase head, features)."""
 
-    def __missing__(self, word: str):
-        core = word.strip(_EDGE).lower()
-        self[word] = out = (2 if core in _HEADS else int(_is_trigger(word)), word_features(word))
-        return out
+@lru_cache(maxsize=1 << 15)
+def _hashed(kind: str, value: str) -> int:
+    return zlib.crc32(f"{kind}:{value}".encode()) % (1 << BITS)
 
 
-def word_ends(word: str) -> bool:
-    return word.endswith((":", "="))
+def word_features(word: str) -> tuple[int, int, int, int]:
+    """Hashed features: shape, mix of classes with length bucket, cue word (alone or glued to a value), edges."""
+    core = word.strip(_EDGE).lower()
+    plain = word.isalpha()
+    letters, digits = (True, False) if plain else (any(c.isalpha() for c in word), any(c.isdigit() for c in word))
+    mix = f"{letters:d}{digits:d}{word[:1].isupper():d}{min(len(core) // 8, 3)}"
+    cue = core if core in CUES else word if word in CUES else "-"
+    if cue == "-" and not plain and (m := _GLUED.match(core)) and m[1] in CUES:
+        cue = m[1] + "+"
+    edges = "--" if plain or word[:1].isalnum() and word[-1:].isalnum() else word[:1] + word[-1:]
+    return _hashed("s", shape(word)), _hashed("m", mix), _hashed("c", cue), _hashed("e", edges)
 
 
-def windows(words: list[str], cache: _Words) -> list[tuple[int, int]]:
-    """Stretches of words within REACH of a trigger.  Words outside them are O by construction."""
-    out: list[list[int]] = []
-    for i, w in enumerate(words):
-        t = cache[w][0]
-        if t == 2:
-            t = word_ends(w) or i + 1 < len(words) and words[i + 1].lower() in _AFTER
-        if t:
-            lo, hi = max(0, i - REACH), min(len(words), i + REACH + 1)
-            if out and lo <= out[-1][1]:
-                out[-1][1] = hi
-            else:
-                out.append([lo, hi])
-    return [(a, b) for a, b in out]
+class _Words(dict):
+    """Word -> number of its row in the features and in the emission tables; row 0 stands for no word."""
+
+    def __init__(self):
+        super().__init__()
+        self.clear()
+
+    def clear(self):
+        super().clear()
+        self.fresh, self.tables, self.weights = [], None, None
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self) + 1
+        self.fresh.append(word_features(word))
+        return row
+
+    def emissions(self, weights: np.ndarray) -> np.ndarray:
+        """(offset, row, label) scores of all words met so far."""
+        if self.weights is None:
+            self.weights, self.rows = weights, 1
+            self.tables = np.zeros((len(weights), 1 << 12, weights.shape[2]))
+        assert self.weights is weights
+        if self.fresh:
+            end = self.rows + len(self.fresh)
+            if end > self.tables.shape[1]:
+                grown = np.zeros((len(weights), 2 * end, weights.shape[2]))
+                grown[:, : self.rows] = self.tables[:, : self.rows]
+                self.tables = grown
+            self.tables[:, self.rows : end] = weights[:, np.array(self.fresh)].sum(axis=2)
+            self.rows, self.fresh = end, []
+        return self.tables
 
 
 def _emissions(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
@@ -198,8 +276,12 @@ def viterbi(emissions: list[np.ndarray], trans: np.ndarray, batch: int = 512) ->
     """Best labels of every stretch; stretches of like length step together."""
     out: list = [None] * len(emissions)
     order = sorted(range(len(emissions)), key=lambda i: len(emissions[i]))
-    for lo in range(0, len(order), batch):
-        some = order[lo : lo + batch]
+    lo = 0
+    while lo < len(order):
+        # A long stretch isn't put with short ones, which would be padded to its length.
+        most = max(16, 2 * len(emissions[order[lo]]))
+        some = [i for i in order[lo : lo + batch] if len(emissions[i]) <= most]
+        lo += len(some)
         size = len(emissions[some[-1]])
         e = np.zeros((len(some), size, trans.shape[0]))
         n = np.array([len(emissions[i]) for i in some])
@@ -271,32 +353,77 @@ def train_field(steps: int = 250, rate: float = 0.1, decay: float = 1e-3) -> tup
     return w, trans
 
 
+def certain_gain(trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most that the transitions into and out of a word give each other label over O: [0] whatever the next word there has, [1] where that has O or is none."""
+    into, out_of = trans - trans[:, :1], (trans - trans[:1]).T
+    return tuple(np.maximum([g.max(axis=0)[1:], g[0, 1:]], 0) + 1e-9 for g in (into, out_of))
+
+
+def decode(rows: list[np.ndarray], tables: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(labels of all words end to end, with two places around texts; where each text starts).
+
+    The best path of each whole text: every word is scored.  Where O leads by more than any
+    transitions can make up for, O is on every best path; a path through a fixed label is
+    best when its two sides are, so what lies between such words is decoded by itself.
+    """
+    gap = np.zeros(2, np.int64)
+    ids = np.concatenate([gap, *(x for r in rows for x in (r, gap))])
+    e = tables[2][ids]
+    e[2:] += tables[0][ids[:-2]]
+    e[1:] += tables[1][ids[:-1]]
+    e[:-1] += tables[3][ids[1:]]
+    is_word = ids > 0
+    lead = e[:, :1] - e[:, 1:]
+    into, out_of = certain_gain(trans)
+    unsure = (lead <= into[0] + out_of[0]).any(axis=1) & is_word
+    for _ in range(2):  # with the words now known to be O on either side, more are
+        at = np.flatnonzero(unsure)
+        near = lead[at] <= into[(~unsure[at - 1]).astype(np.int8)] + out_of[(~unsure[at + 1]).astype(np.int8)]
+        unsure[at] = near.any(axis=1)
+    cuts = np.flatnonzero(np.diff(unsure, prepend=False, append=False))
+    first, end = cuts[::2], cuts[1::2]
+    follows = first[is_word[first - 1]]
+    leads = end[is_word[end]] - 1
+    e[follows] += trans[0]
+    e[leads] += trans[:, 0]
+    labels = np.zeros(len(ids), np.int16)
+    paths = viterbi([e[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)], trans)
+    if paths:
+        labels[unsure] = np.concatenate(paths)
+    return labels, np.cumsum([2, *(len(r) + 2 for r in rows)])[:-1]
+
+
 def field_spans(texts: list[str], model: tuple[np.ndarray, np.ndarray], cache: _Words) -> list[list[tuple[str, int, int]]]:
-    """Spans (kind, start, end) that the field finds in each text."""
+    """Spans (kind, start, end) that the field finds in each text; every word of every text is decoded."""
     weights, trans = model
-    where, scores = [], []
+    out: list[list] = [[] for _ in texts]
+    held: list = []
+    size = 0
     for i, text in enumerate(texts):
         words = text.split()
-        for lo, hi in windows(words, cache):
-            where.append((i, lo))
-            scores.append(_emissions(weights, np.array([cache[w][1] for w in words[lo:hi]])))
-    out: list[list] = [[] for _ in texts]
-    at: dict[int, list] = {}
-    for (i, lo), path in zip(where, viterbi(scores, trans), strict=True):
-        if not path.any():
+        held.append((i, np.fromiter(map(cache.__getitem__, words), np.int64, len(words))))
+        size += len(words)
+        if size < CHUNK and i + 1 < len(texts):
             continue
-        if i not in at:
-            at = {i: [m.span() for m in re.finditer(r"\S+", texts[i])]}
-        cuts = np.flatnonzero(np.diff(path, prepend=0, append=0))
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if path[a]:
-                start, end = at[i][lo + a][0], at[i][lo + b - 1][1]
-                while start < end and texts[i][start] in _EDGE:
-                    start += 1
-                while start < end and texts[i][end - 1] in _EDGE:
-                    end -= 1
-                if start < end:
-                    out[i].append((LABELS[path[a]], start, end))
+        labels, starts = decode([r for _, r in held], cache.emissions(weights), trans)
+        cuts = np.flatnonzero(np.diff(labels, prepend=0, append=0))
+        lo, hi = cuts[:-1], cuts[1:]
+        found = labels[lo] > 0
+        lo, hi = lo[found], hi[found]
+        owner = np.searchsorted(starts, lo, "right") - 1
+        at: dict[int, list] = {}
+        for k, a, b in zip(owner.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            j = held[k][0]
+            if j not in at:
+                at = {j: [m.span() for m in re.finditer(r"\S+", texts[j])]}
+            start, end = at[j][a - starts[k]][0], at[j][b - 1 - starts[k]][1]
+            while start < end and texts[j][start] in _EDGE:
+                start += 1
+            while start < end and texts[j][end - 1] in _EDGE:
+                end -= 1
+            if start < end:
+                out[j].append((LABELS[labels[a]], start, end))
+        held, size = [], 0
     return out
 
 
