@@ -30,9 +30,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (five-word shingles, similarity of 0.8 or more)."""
-    kept = minhash.near_duplicates(docs, words=5).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Keeps one row of each group of near copies (five-word shingles, similarity of 0.8 or more).
+
+    Every row counts by itself, by a number in the order of doc_id (rows without one last),
+    text digest and the other columns, and the first row of a group stays: of rows that
+    repeat a doc_id and text one stays, rows that share a doc_id with different texts are
+    judged each by its own text, and a row without doc_id goes only if it is a copy of
+    another row.  Null, empty and blank texts are copies of nothing and all stay.
+    """
+    order = [F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("binary")), "lang", "source", F.monotonically_increasing_id()]
+    # Numbered by ranges of the order, and written before it is read twice.
+    rows = stage(docs.select(*COLUMNS).orderBy(*order).withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    kept = minhash.near_duplicates(rows, words=5, id_col="_row").filter("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

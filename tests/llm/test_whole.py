@@ -1,11 +1,15 @@
 """Nothing is left out: cases that a part of the work would miss."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
+import corpus_pipeline as cp
 from rosterforge.llm import pii
 
 from .conftest import ROWS
+from .test_tokens import check_pack
 
 
 def test_field_decodes_every_word_of_every_text(documents):
@@ -43,3 +47,24 @@ def test_decoding_between_certain_words_is_exact(seed):
 def test_field_looks_at_words_far_from_digits_and_english_cues(text, kind, span):
     got = pii.field_spans([text], pii.train_field(), pii._Words())[0]
     assert (kind, text.index(span), text.index(span) + len(span)) in got
+
+
+def test_near_copies_with_null_and_repeated_ids(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, a), (2, a + " end"), (2, b), (None, c), (None, c), (None, b + " end"), (None, None), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in cp.drop_near_copies(spark, docs, sf).collect())
+    assert got == Counter([(1, a), (2, b), (None, c), (None, None), (None, None), (3, ""), (3, "")])
+
+
+def test_stages_on_the_odd_fixture(spark, odd, sf):
+    docs = odd.select(*cp.COLUMNS).cache()
+    assert not Counter(map(tuple, cp.classify(spark, docs, sf).collect())) - Counter(map(tuple, docs.collect()))
+    fewer = cp.drop_lines(spark, docs, sf).cache()
+    assert Counter(r["doc_id"] for r in fewer.collect()) == Counter(r[0] for r in ROWS)
+    unique = cp.drop_near_copies(spark, fewer, sf).cache()
+    ids = Counter(r["doc_id"] for r in unique.collect())
+    assert ids[None] == 1 and ids[9] == 1 and max(ids.values()) == 1 and {3, 4, 5, 6, 8, 10} <= set(ids)
+    masked = cp.mask_personal_data(spark, unique, sf).cache()
+    assert Counter(r["doc_id"] for r in masked.collect()) == ids
+    check_pack(masked)
