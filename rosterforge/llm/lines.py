@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
 from rosterforge.llm.common import drop_staged, parts, small_batches, stage
 
-#: Characters in a shingle.
-SHINGLE = 7
+#: Characters in a shingle, and in one where short lines with a changed character or word are to be found too.
+SHINGLE, SHORT_SHINGLE = 7, 5
 #: A pair at Jaccard 0.8 is missed by all bands with probability (1 - 0.8 ** WIDTH) ** BANDS = 0.0006.
 BANDS, WIDTH = 14, 4
 REGISTERS = BANDS * WIDTH
@@ -65,23 +65,23 @@ def _chunks(lines: list[str]):
         yield first, len(lines)
 
 
-def line_compare(percent: int):
+def line_compare(percent: int, shingle: int = SHINGLE):
     """Maps a list of normal lines to a function of two index arrays: which pairs are linked."""
 
     def prepare(lines: list[str]):
-        hashes, owner = line_sets(lines)
+        hashes, owner = line_sets(lines, shingle)
         return compare_sets(np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(lines)))[:-1]), percent)
 
     return prepare
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), shingle: int = SHINGLE) -> DataFrame:
     """Every row with its fuzzy repeated lines removed.
 
     Returns doc_id, the ``keep`` columns, text (what is left), n_lines, n_dropped and
     dropped (line numbers from 0, ascending).  Lines are split at line feeds; two lines are
-    linked when 100 * |intersection| >= percent * |union| of the 7-character shingle sets
-    of their normal forms (a shorter line is its own shingle).  Of each component the
+    linked when 100 * |intersection| >= percent * |union| of the sets of
+    ``shingle``-character shingles of their normal forms (a shorter line is its own shingle).  Of each component the
     first line stays, by doc_id (rows without one last), text digest and line number.
     Lines of white space alone are linked with nothing and stay.  A null text counts as
     empty, which is one empty line.  Rows that repeat both doc_id and text get the same
@@ -123,7 +123,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             yield out([b.column(0), b.column(2), pa.array(all_keys, kinds[2])], True)
             nodes = np.frombuffer(b"".join(digests), "<i8")[::2]
             for lo, hi in _chunks(fresh):
-                item, keys = line_keys(*line_sets(fresh[lo:hi]), hi - lo)
+                item, keys = line_keys(*line_sets(fresh[lo:hi], shingle), hi - lo)
                 flush.add(keys, nodes[lo:hi][item])
                 if flush.due():
                     yield out(flush.columns(), False)
@@ -157,7 +157,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             keep = np.zeros(b.num_rows, bool)
             for lo in range(0, b.num_rows, 128):
                 some = b.slice(lo, 128)
-                linked_to = line_compare(percent)([*some.column(2).to_pylist(), *some.column(3).to_pylist()])
+                linked_to = line_compare(percent, shingle)([*some.column(2).to_pylist(), *some.column(3).to_pylist()])
                 for i in range(some.num_rows):
                     keep[lo + i] = linked_to(np.array([i]), np.array([some.num_rows + i]))[0, 0]
             yield b.select(["a", "b"]).filter(pa.array(keep))
@@ -182,7 +182,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
         drop_staged(texts)
         return found
 
-    found = linked(candidates, verify, [(texts_of, line_compare(percent))])
+    found = linked(candidates, verify, [(texts_of, line_compare(percent, shingle))])
     drop_staged(shared)
     joined = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 OR component IS NOT NULL")
     joined = stage(joined.select("line_key", "first", F.coalesce("component", "rep").alias("component")), "line-members")

@@ -28,7 +28,7 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"), shingle=lines.SHORT_SHINGLE)
     dropped = F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped_lines")
     return found.select("doc_id", "n_lines", (F.col("n_lines") - F.col("n_dropped")).alias("n_kept"), dropped, F.sha2("text", 256).alias("kept_sha256"))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from rosterforge.llm import pii
+from rosterforge.llm import lines, pii, queries
 
 from .conftest import ROWS
 from .test_tokens import check_pack
@@ -68,3 +68,16 @@ def test_stages_on_the_odd_fixture(spark, odd, sf):
     masked = cp.mask_personal_data(spark, unique, sf).cache()
     assert Counter(r["doc_id"] for r in masked.collect()) == ids
     check_pack(masked)
+
+
+def test_op5_finds_short_lines_with_one_changed_character(spark, tmp_path):
+    line = "a quick brown fox jumps over my lazy dog while we sit"
+    long = line + " by the old river bank and wait for supper now"
+    rows = [(1, line), (2, line.replace("jumps", "jumqs")), (3, long), (4, long.replace("river", "canal")), (5, "some other words that nobody repeats in this table")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_kept"] for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: 1, 2: 0, 3: 1, 4: 0, 5: 1}
+    sets = lambda k: [set(zip(*[t[i:] for i in range(k)], strict=False)) for _, t in rows]
+    for a, b in ((0, 1), (2, 3)):
+        x, y = sets(7)[a], sets(7)[b]
+        assert 100 * len(x & y) < 80 * len(x | y)
