@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import small_batches
+from rosterforge.llm.common import row_slices
 
 #: Texts longer than this many characters are split before they are encoded.
 LONG_TEXT = 50_000
@@ -38,11 +38,10 @@ def safe_pieces(text: str, size: int = LONG_TEXT) -> list[str]:
 
 def encode_bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for every row.  Null and empty texts give no ids; other columns are ignored; repeated rows give repeated results; an empty table gives none."""
-    small_batches(docs.sparkSession)
 
     def encode(batches):
         enc = encoding(path, pattern)
-        for b in batches:
+        for b in row_slices(batches):
             ids = []
             for t in b.column(1).to_pylist():
                 t = t or ""
@@ -55,11 +54,10 @@ def encode_bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
 def decode_bpe(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """Adds ``decoded`` (raw bytes, valid UTF-8 or not) to (doc_id, ids); null ids give no bytes."""
-    small_batches(encoded.sparkSession)
 
     def decode(batches):
         enc = encoding(path, pattern)
-        for b in batches:
+        for b in row_slices(batches):
             raw = [enc.decode_bytes(i or []) for i in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(raw, pa.binary())], names=["doc_id", "ids", "decoded"])
 

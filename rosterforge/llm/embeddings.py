@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import parts, small_batches, stage
+from rosterforge.llm.common import parts, row_slices, stage
 from rosterforge.llm.components import components, settle
 
 #: Rows and columns of a tile: a block of products is TILE * TILE doubles (8 MB).
@@ -94,7 +94,7 @@ def _principal(vectors: DataFrame, dim: int) -> np.ndarray:
 
     def moments(batches):
         total = np.zeros((dim, dim))
-        for b in batches:
+        for b in row_slices(batches):
             x = np.frombuffer(b"".join(b.column(0).to_pylist()), "<f8").reshape(-1, dim)
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(upper[0]), dtype=np.int32)), pa.array(total[upper])], names=["cell", "v"])
@@ -114,7 +114,7 @@ def _links(reps: DataFrame, dim: int, count: int, threshold: float) -> DataFrame
     shared = spark.sparkContext.broadcast(basis)  # dim * dim doubles
 
     def leading(batches):
-        for b in batches:
+        for b in row_slices(batches):
             x = np.frombuffer(b"".join(b.column(1).to_pylist()), "<f8").reshape(-1, dim)
             # The jitter parts ties, so that no value can hold more than a strip.
             jitter = np.array([xxhash.xxh3_64_intdigest(str(v).encode()) for v in b.column(0).to_pylist()]) / 2.0**64 * 1e-6
@@ -135,7 +135,7 @@ def _links(reps: DataFrame, dim: int, count: int, threshold: float) -> DataFrame
     def lay_out(batches):
         """Blobs of (nodes, weights, coordinates), one per strip and batch, for every partner strip."""
         first, last = span.value
-        for b in batches:
+        for b in row_slices(batches):
             node, weight = b.column(0).to_numpy(), b.column(1).to_numpy()
             x = np.frombuffer(b"".join(b.column(2).to_pylist()), "<f8").reshape(-1, dim)
             jitter = np.array([xxhash.xxh3_64_intdigest(str(v).encode()) for v in node.tolist()]) / 2.0**64 * 1e-6
@@ -185,11 +185,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     id).  Vectors of different lengths are never linked.  Rows that repeat a vec_id with
     different vectors count as one point of the graph.  An empty table gives an empty result.
     """
-    small_batches(vectors.sparkSession)
     src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
 
     def clean(batches):
-        for b in batches:
+        for b in row_slices(batches):
             unit, keys, dims = [], [], []
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 x = np.array(v, np.float64) if i is not None and v and None not in v else np.zeros(0)

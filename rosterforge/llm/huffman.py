@@ -8,22 +8,24 @@ File format (one Parquet row per block, in ascending doc_id order):
 ``checkpoints``    bit offset of every 256th id, so decoding can start at any of them
 ``payload``        the bits, most significant first
 
-The code book (symbol, length) is a table beside the blocks; codes are canonical, so
-lengths are all a reader needs.
+Blocks lie in ``blocks`` under the file's path, the code book (symbol, length) in ``book``;
+codes are canonical, so lengths are all a reader needs, and the path is all it is given.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import drop_staged, parts, running_bases, stage
-from rosterforge.llm.tokens import ids_of, token_rows
+from rosterforge.llm.common import drop_staged, parts, running_bases, shared_dir, stage
+from rosterforge.llm.tokens import token_rows
 
 #: Longest code in bits: the decoding table has 2**MAX_BITS entries.
 MAX_BITS = 20
@@ -31,6 +33,10 @@ MAX_BITS = 20
 BLOCK_IDS = 16_384
 #: Ids between two checkpoints.
 LANE_IDS = 256
+#: Ids that a task puts in order and writes.
+SHARD_IDS = 32 << 20
+#: Blocks decoded together.
+TOGETHER = 32
 
 BLOCK = "shard int, block int, shard_start long, doc_ids array<long>, doc_lens array<long>, n_ids long, checkpoints array<long>, payload binary"
 
@@ -65,13 +71,13 @@ def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
 
 
 def canonical_codes(lengths: np.ndarray) -> np.ndarray:
-    """Codes in order of (length, symbol)."""
+    """Codes in order of (length, symbol): each is the share of the code room that the codes before it take."""
     codes = np.zeros(len(lengths), np.uint64)
-    code = last = 0
-    for s in sorted(np.flatnonzero(lengths), key=lambda s: (lengths[s], s)):
-        code <<= int(lengths[s]) - last
-        codes[s], last = code, int(lengths[s])
-        code += 1
+    used = np.flatnonzero(lengths)
+    order = used[np.lexsort((used, lengths[used]))]
+    short = int(lengths.max(initial=0)) - lengths[order]
+    room = 1 << short
+    codes[order] = (np.cumsum(room) - room) >> short
     return codes
 
 
@@ -122,100 +128,122 @@ class Decoder:
         return [out[a:b].reshape(-1)[:n] for a, b, (_, _, n) in zip(lanes, lanes[1:], blocks, strict=False)]
 
 
-def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, lower_case: bool = True, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(blocks, code book): the ids of all documents, in ascending doc_id order, in the file format above.
+def flat_ids(column: pa.Array, id_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all rows end to end, ids in each row) of a column of raw ids."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64) // id_bytes
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    return np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]].view("<u2" if id_bytes == 2 else "<u4") if raw else np.zeros(0, "<u2"), sizes
 
-    Documents are tokenised once; ids (two bytes each) are dealt by range of doc_id.
-    Null texts count as empty (just ``end_id``), null doc_ids come first, rows that
-    repeat a doc_id follow each other in order of their ids' bytes; an empty table
-    gives no blocks.
+
+def count_ids(batches):
+    """(symbol, n) of a task's ids."""
+    total = np.zeros(0, np.int64)
+    for b in batches:
+        if b.num_rows:
+            c = np.bincount(flat_ids(b.column(0), b.column(1)[0].as_py())[0], minlength=len(total))
+            c[: len(total)] += total
+            total = c
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["symbol", "n"])
+
+
+def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, lower_case: bool = True, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[SparkSession, str]:
+    """Writes the ids of all documents, in ascending doc_id order, in the file format above; returns (session, path).
+
+    Without a path, the file goes to the shared folder.  Documents are tokenised once; ids
+    (two bytes each) are dealt by range of doc_id and place in the table, so that a doc_id
+    that many rows share is dealt out too.  Null texts count as empty (just ``end_id``),
+    null doc_ids come first, rows that repeat a doc_id follow each other as they lie in the
+    table; a very long text is one long block; an empty table gives no blocks.
     """
     spark = docs.sparkSession
+    path = path or f"{shared_dir(spark)}/llm-id-file-{uuid.uuid4().hex}"
     tokens = stage(token_rows(docs, tokenizer, end_id, lower_case, id_col, text_col), "ids")
-
-    def count(batches):
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            for raw, width in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = np.bincount(ids_of(raw, width))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["symbol", "n"])
-
     # At most one row per symbol of the vocabulary comes to the driver.
-    seen = tokens.select("ids", "id_bytes").mapInArrow(count, "symbol int, n long").groupBy("symbol").agg(F.sum("n")).collect()
+    seen = tokens.select("ids", "id_bytes").mapInArrow(count_ids, "symbol int, n long").groupBy("symbol").agg(F.sum("n")).collect()
     counts = np.zeros(max((r[0] for r in seen), default=0) + 1, np.int64)
     for s, n in seen:
         counts[s] = n
     lengths = code_lengths(counts)
-    codes = canonical_codes(lengths)
-    book = spark.createDataFrame([(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)], "symbol int, bits int")
-    tables = spark.sparkContext.broadcast((lengths, codes))  # two arrays of the vocabulary's size
+    used = np.flatnonzero(lengths)
+    spark.createDataFrame(list(zip(used.tolist(), lengths[used].tolist(), strict=True)), "symbol int, bits int").coalesce(1).write.parquet(f"{path}/book")
+    tables = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))  # two arrays of the vocabulary's size
 
     def blocks(batches):
         lengths, codes = tables.value
         shard, block, at = TaskContext.get().partitionId(), 0, 0
-        held: list = []
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.binary())
+        docs: list = []
+        sizes, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for b in _then_none(batches):
+            if b is not None and b.num_rows:
+                more, n = flat_ids(b.column(1), b.column(2)[0].as_py())
+                docs += b.column(0).to_pylist()
+                sizes, ids = np.append(sizes, n), np.append(ids, more)
+            ends = np.cumsum(sizes)
+            lo = first = 0
+            while lo < len(docs):
+                hi = int(np.searchsorted(ends, first + BLOCK_IDS)) + 1
+                if hi > len(docs):
+                    if b is not None:
+                        break  # the block goes on in the next batch
+                    hi = len(docs)
+                end = int(ends[hi - 1])
+                payload, marks = encode_block(ids[first:end], lengths, codes)
+                row = (shard, block, at, docs[lo:hi], sizes[lo:hi], end - first, marks, payload)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=[x.split()[0] for x in BLOCK.split(", ")])
+                at, block, lo, first = at + end - first, block + 1, hi, end
+            docs, sizes, ids = docs[lo:], sizes[lo:], ids[first:]
+
+    shards = max(parts(docs), -(-int(counts.sum()) // SHARD_IDS))
+    ordered = tokens.select("doc_id", "ids", "id_bytes", "part", "part_start").repartitionByRange(shards, "doc_id", "part", "part_start").sortWithinPartitions("doc_id", "part", "part_start")
+    ordered.select("doc_id", "ids", "id_bytes").mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    drop_staged(tokens)
+    return spark, path
 
-        def close():
-            ids = np.concatenate([x for _, x in held]).astype(np.int64)
-            payload, marks = encode_block(ids, lengths, codes)
-            row = (shard, block, at, [d for d, _ in held], [len(x) for _, x in held], len(ids), marks.tolist(), payload)
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], names=[x.split()[0] for x in BLOCK.split(", ")])
 
-        size = 0
-        for b in batches:
-            for doc, raw, width in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.append((doc, ids_of(raw, width)))
-                size += len(held[-1][1])
-                if size >= BLOCK_IDS:
-                    yield close()
-                    at, block, size, held = at + size, block + 1, 0, []
-        if held:
-            yield close()
-
-    ordered = tokens.select("doc_id", "ids", "id_bytes").repartitionByRange(parts(docs), "doc_id").sortWithinPartitions("doc_id", "ids")
-    file = stage(ordered.mapInArrow(blocks, BLOCK), "file")
-    drop_staged(tokens)
-    return file, book
+def _then_none(batches):
+    yield from batches
+    yield None
 
 
-def read_ids(file: DataFrame, book: DataFrame) -> DataFrame:
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(shard, shard_start, doc_id, n_tokens, ids binary of 32-bit ids) of every document in the file."""
-    rows = book.collect()  # one row per symbol of the vocabulary
+    rows = spark.read.schema("symbol int, bits int").parquet(f"{path}/book").collect()  # one row per symbol of the vocabulary
     lengths = np.zeros(max((r[0] for r in rows), default=0) + 1, np.int64)
     for s, n in rows:
         lengths[s] = n
-    tables = file.sparkSession.sparkContext.broadcast(lengths)
+    tables = spark.sparkContext.broadcast(lengths)
 
     def decode(batches):
         lengths = tables.value
         decoder = Decoder(lengths, canonical_codes(lengths))
         for b in batches:
-            for lo in range(0, b.num_rows, 32):
-                part = b.slice(lo, 32)
-                shard, start, docs, lens, n, marks, payload = (part.column(k).to_pylist() for k in ("shard", "shard_start", "doc_ids", "doc_lens", "n_ids", "checkpoints", "payload"))
+            for lo in range(0, b.num_rows, TOGETHER):
+                part = b.slice(lo, TOGETHER)
+                shard, start, n, marks, payload = (part.column(k).to_pylist() for k in ("shard", "shard_start", "n_ids", "checkpoints", "payload"))
                 got = decoder([(p, np.array(c, np.int64), k) for p, c, k in zip(payload, marks, n, strict=True)])
-                out = [[] for _ in range(5)]
-                for i, ids in enumerate(got):
-                    ends = np.cumsum(lens[i])
-                    raw = ids.astype("<u4")
-                    for doc, size, end in zip(docs[i], lens[i], ends.tolist(), strict=True):
-                        for c, v in zip(out, (shard[i], start[i] + end - size, doc, size, raw[end - size : end].tobytes()), strict=True):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["shard", "shard_start", "doc_id", "n_tokens", "ids"])
-
+                ids = np.concatenate(got).astype("<u4")
+                docs, sizes = part.column("doc_ids").flatten(), part.column("doc_lens").flatten().to_numpy()
+                held = pc.list_value_length(part.column("doc_lens")).to_numpy()
+                ends = np.cumsum(sizes)
+                first = np.repeat(np.array(start) - (np.cumsum(n) - n), held)  # from places in this part to places in the shard
+                raw = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((np.append(0, ends) * 4).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(shard, np.int32), held)), pa.array(first + ends - sizes), docs, pa.array(sizes), raw], names=["shard", "shard_start", "doc_id", "n_tokens", "ids"])
+
+    file = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     small = file.select("shard", "shard_start", "doc_ids", "doc_lens", "n_ids", "checkpoints", "payload")
     return small.mapInArrow(decode, "shard int, shard_start long, doc_id long, n_tokens long, ids binary")
 
 
-def token_index(file: DataFrame, book: DataFrame) -> DataFrame:
+def token_index(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the decoded file."""
+    file = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     bases = running_bases(file.groupBy("shard").agg(F.sum("n_ids").alias("total")), "shard", "total")
-    got = read_ids(file, book).select("shard", "shard_start", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    return got.join(bases, "shard").select("doc_id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
+    got = read_ids(spark, path).select("shard", "shard_start", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    # One row per task that wrote the file.
+    return got.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def crc32_of(ids: np.ndarray) -> int:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
-from rosterforge.llm.common import drop_staged, parts, small_batches, stage
+from rosterforge.llm.common import drop_staged, parts, row_slices, stage
 
 #: Characters in a shingle, and in one where short lines with a changed character or word are to be found too.
 SHINGLE, SHORT_SHINGLE = 7, 5
@@ -88,7 +88,6 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     result.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
     units = docs.select(doc_id.alias("doc_id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("unit"))
@@ -104,7 +103,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             rest = [pa.nulls(n, t) for t in (kinds[3:] if first else kinds[:3])]
             return pa.RecordBatch.from_arrays([*columns, *rest] if first else [*rest, *columns], names=names)
 
-        for b in batches:
+        for b in row_slices(batches):
             all_keys, fresh, digests = [], [], []
             for t in b.column(1).to_pylist():
                 keys: list = []
@@ -143,7 +142,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     candidates = shared.join(reps.select("line_key", "rep").mapInArrow(_low_halves, "node long, rep long"), "node").select("key", F.col("rep").alias("node"))
 
     def pick(batches):
-        for b in batches:
+        for b in row_slices(batches):
             reps_out, lines_out = [], []
             for t, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 rows = t.split("\n")
@@ -153,7 +152,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([pa.array(reps_out, pa.int64()), pa.array(lines_out, pa.string())], names=["node", "item"])
 
     def exact(batches):
-        for b in batches:
+        for b in row_slices(batches):
             keep = np.zeros(b.num_rows, bool)
             for lo in range(0, b.num_rows, 128):
                 some = b.slice(lo, 128)
@@ -206,6 +205,6 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
 
 
 def _low_halves(batches):
-    for b in batches:
+    for b in row_slices(batches):
         halves = np.frombuffer(b"".join(b.column("line_key").to_pylist()), "<i8")[::2]
         yield pa.RecordBatch.from_arrays([pa.array(halves), b.column("rep")], names=["node", "rep"])

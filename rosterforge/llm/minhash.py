@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
-from rosterforge.llm.common import drop_staged, parts, small_batches, stage
+from rosterforge.llm.common import drop_staged, parts, row_slices, stage
 
 #: Registers, in BANDS equal bands; MANTISSA bits beside the leading-zero count.
 BANDS, WIDTH, MANTISSA = 42, 6, 10
@@ -98,7 +98,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 def pack_items(batches):
     """(node, size and flags and registers as bytes) from (node, n, own, dealt)."""
-    for b in batches:
+    for b in row_slices(batches):
         out = [np.array([n, p is not None, q is not None], "<i8").tobytes() + (p or b"") + (q or b"") for n, p, q in zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "item"])
 
@@ -113,12 +113,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     equal set that has one, else null (and is kept).  Rows that repeat a doc_id with
     different texts count as one point of the graph.  An empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     threshold = percent / 100
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sign(batches):
-        for b in batches:
+        for b in row_slices(batches):
             hashes, owner = shingle_sets(b.column(1).to_pylist(), words)
             n = np.bincount(owner, minlength=b.num_rows)
             ends = np.cumsum(n).tolist()
@@ -133,7 +132,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     def band(batches):
         flush = Flusher(ranges)
-        for b in batches:
+        for b in row_slices(batches):
             node = b.column(0).to_numpy()
             for kind in (0, 1):
                 raw = b.column(1 + kind)
@@ -153,7 +152,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         return j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(1, filled)) - 0.01
 
     def likely(batches):
-        for b in batches:
+        for b in row_slices(batches):
             keep = np.zeros(b.num_rows, bool)
             n_a, n_b = b.column(2).to_numpy(), b.column(5).to_numpy()
             for kind in (3, 4):
@@ -195,7 +194,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         return reps.join(nodes, "node", "left_semi").select("node", "n", "own", "dealt").mapInArrow(pack_items, "node long, item binary")
 
     def exact(batches):
-        for b in batches:
+        for b in row_slices(batches):
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -204,7 +203,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def sets(batches):
-        for b in batches:
+        for b in row_slices(batches):
             hashes, owner = shingle_sets(b.column(1).to_pylist(), words)
             ends = np.cumsum(np.bincount(owner, minlength=b.num_rows))
             cut = np.split(hashes, ends[:-1]) if b.num_rows else []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import small_batches
+from rosterforge.llm.common import row_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", "person", "national_id", "local_phone", "secret")
@@ -457,13 +457,12 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "doc_id",
     Offsets count code points, ends are exclusive.  Null texts count as empty (no spans,
     masked ''); repeated rows give repeated results; an empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train_field())  # under 1 MB
     src = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(id_col).cast("long").alias("doc_id"), *keep)
 
     def find(batches):
         cache = _Words()
-        for b in batches:
+        for b in row_slices(batches):
             if len(cache) > 100_000:
                 cache.clear()
             texts = [t or "" for t in b.column(0).to_pylist()]

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import small_batches
+from rosterforge.llm.common import row_slices
 
 #: Hash room of the features; the last place is the bias.
 BITS = 18
@@ -82,14 +82,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     Null ids and labels are left out.  Without any labelled document all weights are 0,
     so every score is one half.
     """
-    small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
     sample = known.filter(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     picked = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # at most ``rows`` small rows
 
     def vectors(batches):
-        for b in batches:
+        for b in row_slices(batches):
             both = [vector(features(t)) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([a for a, _ in both], pa.list_(pa.int64())), pa.array([x for _, x in both], pa.list_(pa.float64()))], names=["doc_id", "label", "at", "x"])
 
@@ -105,13 +104,12 @@ def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = (), thre
 
     Null and empty texts have no features: the bias alone scores them.
     """
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 MB
     src = docs.select(F.col("text").cast("string").alias("_text"), F.col("doc_id").cast("long").alias("doc_id"), *keep)
 
     def scores(batches):
         w = shared.value
-        for b in batches:
+        for b in row_slices(batches):
             got = [features(t) for t in b.column(0).to_pylist()]
             s = np.array([w[-1] + (w[p].sum() / np.sqrt(len(p)) if len(p) else 0.0) for p in got])
             p = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
