@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import drop_staged, stage
+from rosterforge.llm.common import drop_staged, parts, stage
 from rosterforge.llm.components import components, settle
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -22,6 +22,13 @@ _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 HOT = 256
 #: Members on either side of a block of comparisons.
 OUT, ALL = 512, 2048
+_LOW = np.uint64(0xFFFFFFFF)
+#: Stands among a key's nodes for those of a task that go row by row.
+LOUD = np.iinfo(np.int64).min
+#: Members of a bucket that are compared with each other by their sketches.
+SKETCHED = 2048
+#: Hashes that :func:`own_registers` lays side by side.
+CELLS = 1 << 15
 #: (key, node) pairs a task holds before it writes them.
 FLUSH = 2_000_000
 
@@ -46,8 +53,8 @@ def sorted_sets(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return hashes[fresh], owner[fresh]
 
 
-def windows(values: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, owner): sorted distinct hashes of every run of ``k`` values of each item.
+def window_hashes(values: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): a hash of every run of ``k`` values of each item, item by item.
 
     ``n`` holds the items' lengths in ``values``.  An item with fewer than k values has its
     whole sequence as one run, an empty one none.
@@ -65,8 +72,13 @@ def windows(values: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.n
             v = (v * int(_P) + x) & 0xFFFFFFFFFFFFFFFF
         h[at] = v ^ 0xFFFFFFFFFFFFFFFF
         valid[at] = True
-    counts = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
-    return sorted_sets(mix(h[valid]), np.concatenate([[0], np.cumsum(counts)]))
+    return mix(h[valid]), np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
+
+
+def windows(values: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owner): sorted distinct hashes of every run of ``k`` values of each item."""
+    hashes, counts = window_hashes(values, n, k)
+    return sorted_sets(hashes, np.concatenate([[0], np.cumsum(counts)]))
 
 
 def registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.ndarray:
@@ -81,11 +93,28 @@ def registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.n
     return out.reshape(items, m)
 
 
-def own_registers(hashes: np.ndarray, owner: np.ndarray, items: int, m: int) -> np.ndarray:
-    """Least hash per item and register, every register under a hash function of its own; for items with shingles."""
-    starts = np.searchsorted(owner, np.arange(items))
-    seeds = np.random.default_rng(11).integers(0, 1 << 63, m, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    return np.stack([np.minimum.reduceat(hashes * s, starts) for s in seeds], axis=1)
+def own_registers(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, m: int) -> np.ndarray:
+    """(items, m) of 32 bits: least hash per item and register, every register under a hash function of its own.
+
+    An item has the hashes from ``starts[i]`` on, one at least; repeated ones change nothing.
+    Items of like size are laid side by side, as many as the processor's cache holds.
+    """
+    seeds = np.random.default_rng(11).integers(0, 1 << 32, m, np.uint64).astype(np.uint32) | np.uint32(1)
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(starts), m), np.uint32)
+    order = np.argsort(sizes, kind="stable")
+    size = sizes[order]
+    lo = 0
+    while lo < len(order):
+        hi = int(np.searchsorted(size, 1.5 * size[lo] + 16, "right"))
+        hi = lo + min(hi - lo, max(1, CELLS // int(size[hi - 1])))
+        some = order[lo:hi]
+        lo = hi
+        rows = high[starts[some] + np.minimum(np.arange(int(sizes[some[-1]]))[:, None], sizes[some] - 1)]
+        work = np.empty_like(rows)
+        for r, seed in enumerate(seeds):
+            out[some, r] = np.multiply(rows, seed, out=work).min(axis=0)
+    return out
 
 
 def band_keys(regs: np.ndarray, bands: int, kind: int) -> np.ndarray:
@@ -99,11 +128,15 @@ def band_keys(regs: np.ndarray, bands: int, kind: int) -> np.ndarray:
 class Flusher:
     """Packs (key, node) pairs into one row per range of keys; very frequent keys go row by row.
 
-    Rows are (range, blob, key, node): a blob holds the low 32 bits of the keys, then the
-    nodes; ``key`` and ``node`` are set on the row-by-row ones.
+    Rows are (range, blob, key, node): a blob holds the lowest 32 bits of the keys, then the
+    nodes; ``key`` and ``node`` are set on the row-by-row ones, of which LOUD stands for all
+    in the blob.  Within a range these bits
+    stand for the key: keys that agree in them by chance only make more candidates.
     """
 
     NAMES = ("range", "blob", "key", "node")
+    KINDS = (pa.int32(), pa.binary(), pa.int64(), pa.int64())
+    SCHEMA = "range int, blob binary, key long, node long"
 
     def __init__(self, ranges: int):
         self.ranges, self.keys, self.nodes, self.held = ranges, [], [], 0
@@ -120,20 +153,17 @@ class Flusher:
         keys = np.concatenate([*self.keys, np.zeros(0, np.uint64)])
         nodes = np.concatenate([*self.nodes, np.zeros(0, np.int64)])
         self.keys, self.nodes, self.held = [], [], 0
-        order = np.lexsort((nodes, keys))
+        part = (keys >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)
+        keys = part << np.uint64(32) | keys & _LOW
+        order = np.argsort(keys)
         keys, nodes = keys[order], nodes[order]
-        fresh = np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])) if len(keys) else np.zeros(0, bool)
-        keys, nodes = keys[fresh], nodes[fresh]
-        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(starts, len(keys)))
-        hot = np.repeat(sizes > HOT, sizes)
-        first = np.zeros(len(keys), bool)
-        first[starts] = True
-        part = ((keys >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
-        keep = ~hot | first  # a hot key leaves one member, by which other tasks' members are found
-        k, v, p = keys[keep], nodes[keep], part[keep]
-        cuts = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, np.int64)
-        blobs = [k[a:b].astype("<u8").tobytes() + v[a:b].astype("<i8").tobytes() for a, b in zip(cuts, [*cuts[1:], len(p)][: len(cuts)], strict=True)]
+        starts, sizes = _runs(keys)
+        hot = np.repeat(sizes > HOT, sizes) | (nodes == LOUD)
+        keep = ~hot
+        keep[starts] = True
+        k, v, p = keys[keep], np.where(hot[keep], LOUD, nodes[keep]), (keys[keep] >> np.uint64(32)).astype(np.int32)
+        cuts = _runs(p)[0]
+        blobs = [(k[a:b] & _LOW).astype("<u4").tobytes() + v[a:b].astype("<i8").tobytes() for a, b in zip(cuts, [*cuts[1:], len(p)][: len(cuts)], strict=True)]
         n, loud = len(blobs), int(hot.sum())
         return [
             pa.array([*p[cuts].tolist(), *[None] * loud], pa.int32()),
@@ -143,25 +173,81 @@ class Flusher:
         ]
 
 
-def shared_bands(packed: DataFrame) -> DataFrame:
-    """(key, node) of the bands that two or more nodes have, from rows of a :class:`Flusher`."""
+def _in_order(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs in order of key and node, without repeats."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    fresh = np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))[: len(keys)]
+    return keys[fresh], nodes[fresh]
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, length) of every run of equal values."""
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    return starts, np.diff(np.append(starts, len(values)))
+
+
+def ranges_for(docs: DataFrame, per_range: int = 16 << 20, most: int = 1 << 18) -> int:
+    """Ranges of band keys: the session's shuffle partitions, or more where Spark expects more than ``per_range`` bytes of input for each."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size < 1 << 60  # sources without statistics claim the largest number
+    return max(parts(docs), min(most, -(-size // per_range)) if known else 1)
+
+
+def with_company(keys: np.ndarray, nodes: np.ndarray, near) -> np.ndarray:
+    """Which of the pairs (in order of key) have another in their bucket that is ``near``; those of large buckets and of LOUD keys all have."""
+    starts, sizes = _runs(keys)
+    size = np.repeat(sizes, sizes)
+    loud = np.repeat(np.logical_or.reduceat(nodes == LOUD, starts), sizes) if len(keys) else np.zeros(0, bool)
+    stay = loud | (size > SKETCHED)
+    last = np.repeat(starts + sizes - 1, sizes)
+    left = np.flatnonzero(~stay & (size > 1))
+    d = 0
+    while len(left):
+        d += 1
+        left = left[left + d <= last[left]]
+        hit = left[near(nodes[left], nodes[left + d])]
+        stay[hit] = stay[hit + d] = True
+    return stay
+
+
+def shared_bands(packed: DataFrame, near=None, again: bool = False) -> DataFrame:
+    """(key, node) of the bands that two or more nodes have, from rows of a :class:`Flusher`.
+
+    ``near`` says of two arrays of nodes which pairs may be alike; nodes that are near to no
+    other of their bucket are left out.  With ``again``, an odd key belongs to one node
+    alone: nodes that more than one flush has under such a key come out too, with a null key.
+    """
 
     def meet(table):
         raw = [x.as_py() for x in table.column("blob")]
-        half = [np.frombuffer(x, "<u8") for x in raw]
-        keys = np.concatenate([x[: len(x) // 2] for x in half])
-        nodes = np.concatenate([x[len(x) // 2 :].view("<i8") for x in half])
-        order = np.lexsort((nodes, keys))
+        n = [len(x) // 12 for x in raw]
+        keys = np.concatenate([np.frombuffer(x, "<u4", k) for x, k in zip(raw, n, strict=True)]).astype(np.uint64)
+        nodes = np.concatenate([np.frombuffer(x, "<i8", k, 4 * k) for x, k in zip(raw, n, strict=True)]).astype(np.int64)
+        keys |= np.uint64(table.column("range")[0].as_py()) << np.uint64(32)
+        twice = np.zeros(0, np.int64)
+        if again:
+            own = (keys & np.uint64(1)).astype(bool)
+            alone, n_flushes = np.unique(nodes[own], return_counts=True)
+            twice = alone[n_flushes > 1]
+            keys, nodes = keys[~own], nodes[~own]
+        order = np.argsort(keys)
         keys, nodes = keys[order], nodes[order]
-        fresh = np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))
-        keys, nodes = keys[fresh], nodes[fresh]
-        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        sizes = np.diff(np.append(starts, len(keys)))
-        many = np.repeat(sizes > 1, sizes)
-        return pa.table({"key": pa.array(keys[many].view(np.int64)), "node": pa.array(nodes[many].astype(np.int64))})
+        for sort in (False, True):  # most keys have one node, so few are sorted by node too
+            if sort:
+                keys, nodes = _in_order(keys, nodes)
+            _, sizes = _runs(keys)
+            many = np.repeat(sizes > 1, sizes)
+            keys, nodes = keys[many], nodes[many]
+        if near is not None:
+            stay = with_company(keys, nodes, near)
+            keys, nodes = keys[stay], nodes[stay]
+        quiet = nodes != LOUD
+        out = pa.table({"key": pa.array(keys[quiet].view(np.int64)), "node": pa.array(nodes[quiet])})
+        return pa.concat_tables([out, pa.table({"key": pa.nulls(len(twice), pa.int64()), "node": pa.array(twice)})])
 
     met = packed.filter("blob IS NOT NULL").select("range", "blob").groupBy("range").applyInArrow(meet, "key long, node long")
-    return met.unionByName(packed.filter("blob IS NULL").select("key", "node")).distinct()
+    return met.unionByName(packed.filter("blob IS NULL AND key IS NOT NULL").select("key", "node")).distinct()
 
 
 def linked(shared: DataFrame, verify, steps: list) -> DataFrame:

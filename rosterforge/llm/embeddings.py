@@ -21,8 +21,9 @@ from rosterforge.llm.components import components, settle
 
 #: Rows and columns of a tile: a block of products is TILE * TILE doubles (8 MB).
 TILE = 1024
-#: Most bytes of coordinates in a strip; more vectors make more strips.
-STRIP_BYTES = 8 << 20
+#: Most bytes of coordinates in a strip; more vectors make more strips.  A strip travels to each strip in its reach, so
+#: the bytes moved are at most (bytes of all vectors) ** 2 / STRIP_BYTES; a task holds two strips and their rotations.
+STRIP_BYTES = 32 << 20
 #: Shares of the dimensions after which the bound is looked at.
 STEPS = (0.2, 0.4, 0.65)
 #: Slack of the bounds: products of unit vectors are off by far less.
@@ -218,3 +219,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     out = rows.select("vec_id", "vec_key", "dim").join(placed, ["vec_key", "dim"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+
+
+#: All pairs of usable vectors, then reachability.
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a),
+reach AS (SELECT a AS node, a AS seen FROM n UNION SELECT node, b FROM reach JOIN link ON a = seen),
+comp AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN comp ON node = vec_id
+"""

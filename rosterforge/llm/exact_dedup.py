@@ -127,7 +127,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal when their normalised bytes are; of equal texts the smallest doc_id
     stays.  Null texts count as empty.  A row without a doc_id never stays for others
     unless all rows of its group lack one (then keep_id is null and kept true).  Rows that
-    repeat both doc_id and text stay together.  An empty table gives an empty result.
+    repeat both doc_id and text stay together.  Very long texts are hashed and compared whole.  An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
     with_keys = docs.select("doc_id", fingerprint("norm").alias("fp"), F.sha2("norm", 256).alias("text_sha256"), "norm")

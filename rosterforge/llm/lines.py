@@ -8,20 +8,31 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
-from rosterforge.llm.common import drop_staged, parts, row_slices, stage
+from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, mix, own_registers, ranges_for, registers, shared_bands, windows
+from rosterforge.llm.common import byte_slices, drop_staged, row_slices, stage
 
 #: Characters in a shingle, and in one where short lines with a changed character or word are to be found too.
 SHINGLE, SHORT_SHINGLE = 7, 5
-#: A pair at Jaccard 0.8 is missed by all bands with probability (1 - 0.8 ** WIDTH) ** BANDS = 0.0006.
-BANDS, WIDTH = 14, 4
+#: A pair at Jaccard 0.8 is missed by all bands with probability (1 - 0.8 ** WIDTH) ** BANDS = 0.0004.
+BANDS, WIDTH = 20, 5
 REGISTERS = BANDS * WIDTH
+#: Registers that give the sketch of a line a bit each, and bits in which two sketches may differ: at Jaccard 0.8 a bit
+#: differs with probability 0.1, so more than FAR of SKETCH differ once in 2,000 pairs; of unrelated lines most do.
+SKETCH, FAR = 47, 12
+#: Size classes of sets grow by a tenth; sets with a ratio of 0.8 or more are at most CLASSES apart.
+GROWTH, CLASSES, MOST_CLASS = 1.1, 3, 127
+#: Bits of a node that come from the line's digest.
+DIGEST = 9
 #: Sets under SMALL are signed by one hash function per register, larger ones by one for all; between the two numbers by both.
-SMALL, LARGE = 256, 200
+SMALL, LARGE = 375, 300
 #: Characters signed at once, and lines a task remembers to have signed; both bound its memory.
-CHUNK, SEEN = 1 << 17, 150_000
+CHUNK, SEEN = 1 << 19, 150_000
+#: Text taken at once.
+SLICE_BYTES = 8 << 20
 #: Rows broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Bytes of needed line numbers broadcast at most.
+BROADCAST_BYTES = 32 << 20
 
 
 def normal_line(line: str) -> str:
@@ -29,28 +40,55 @@ def normal_line(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all lines end to end, length of each line)."""
+    n = np.array([len(x) for x in lines], np.int64)
+    return np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64), n
+
+
 def line_sets(lines: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, owner): sorted distinct hashes of each normal line's k-character shingles."""
-    n = np.array([len(x) for x in lines], np.int64)
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    return windows(points, n, k)
+    return windows(*_points(lines), k)
 
 
-def line_keys(hashes: np.ndarray, owner: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
-    """(item, band key) of every band of every item that has shingles."""
-    sizes = np.bincount(owner, minlength=items)
+def line_keys(lines: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, band key) of every band of every normal line, and every line's sketch under the class of its set's size and the kind of its signature."""
+    sets, owner = line_sets(lines, k)
+    size = np.bincount(owner, minlength=len(lines))
+    first = np.cumsum(size) - size
+    signed = []
+    some = np.flatnonzero((size > 0) & (size < SMALL))
+    if len(some):
+        signed.append((0, some, own_registers(sets, first[some], size[some], REGISTERS)))
+    large = size >= LARGE
+    if large.any():
+        held = large[owner]
+        signed.append((1, np.flatnonzero(large), registers(sets[held], (np.cumsum(large) - 1)[owner[held]], int(large.sum()), REGISTERS)))
     out_items, out_keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for kind, chosen in enumerate(((sizes > 0) & (sizes < SMALL), sizes >= LARGE)):
-        some = np.flatnonzero(chosen)
-        if len(some):
-            mine = chosen[owner]
-            rank = (np.cumsum(chosen) - 1)[owner[mine]]
-            regs = (registers if kind else own_registers)(hashes[mine], rank, len(some), REGISTERS)
-            keys = band_keys(regs, BANDS, kind)
-            held = (regs != np.iinfo(np.uint64).max).reshape(len(some), BANDS, WIDTH).any(axis=2)
-            out_items.append(np.broadcast_to(some[:, None], keys.shape)[held])
-            out_keys.append(keys[held])
-    return np.concatenate(out_items), np.concatenate(out_keys)
+    grade = np.minimum(MOST_CLASS, np.log(np.maximum(1, size)) / np.log(GROWTH)).astype(np.uint64)
+    sketches = np.zeros(len(lines), np.uint64)
+    for kind, items, regs in sorted(signed, key=lambda x: -x[0]):  # who has both kinds keeps the sketch of kind 0
+        bits = mix(regs[:, :SKETCH].astype(np.uint64)) & np.uint64(1)
+        sketches[items] = (bits << np.arange(SKETCH, dtype=np.uint64)).sum(axis=1) | grade[items] << np.uint64(SKETCH) | np.uint64(kind << (SKETCH + 7))
+        keys = band_keys(regs, BANDS, kind)
+        held = (regs != np.iinfo(regs.dtype).max).reshape(len(items), BANDS, WIDTH).any(axis=2)
+        out_items.append(np.broadcast_to(items[:, None], keys.shape)[held])
+        out_keys.append(keys[held])
+    return np.concatenate(out_items), np.concatenate(out_keys), sketches
+
+
+def node_of(digest_halves: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """64 bits that stand for a line: its sketch over some bits of its digest.  Lines that share a node are told apart by the digest's other half."""
+    return (sketches << np.uint64(DIGEST) | digest_halves.view(np.uint64) & np.uint64((1 << DIGEST) - 1)).view(np.int64)
+
+
+def sketches_near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of nodes may stand for similar lines, by the sizes of their sets and, where they are of one kind, by their sketches."""
+    a, b = a.view(np.uint64) >> np.uint64(DIGEST), b.view(np.uint64) >> np.uint64(DIGEST)
+    apart = a ^ b
+    grade = [(x >> np.uint64(SKETCH) & np.uint64(127)).astype(np.int64) for x in (a, b)]
+    close = (apart >> np.uint64(SKETCH + 7) != 0) | (np.bitwise_count(apart & np.uint64((1 << SKETCH) - 1)) <= FAR)
+    return close & (np.abs(grade[0] - grade[1]) <= CLASSES)
 
 
 def _chunks(lines: list[str]):
@@ -85,61 +123,87 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     first line stays, by doc_id (rows without one last), text digest and line number.
     Lines of white space alone are linked with nothing and stay.  A null text counts as
     empty, which is one empty line.  Rows that repeat both doc_id and text get the same
-    result.  An empty table gives an empty result.
+    result.  A very long line is signed and compared whole.  An empty table gives an empty
+    result.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
     units = docs.select(doc_id.alias("doc_id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("unit"))
-    ranges = parts(docs)
+    ranges = ranges_for(docs)
 
     def sign(batches):
-        flush, seen = Flusher(ranges), set()
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-        names = ["doc_id", "unit", "line_keys", *Flusher.NAMES]
+        flush, seen, again = Flusher(ranges), {}, set()
+        of_lines = [pa.int64(), pa.binary(), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 2]
+        names = ["doc_id", "unit", "line_nos", "los", "his", *Flusher.NAMES]
 
         def out(columns, first):
             n = len(columns[0])
-            rest = [pa.nulls(n, t) for t in (kinds[3:] if first else kinds[:3])]
+            rest = [pa.nulls(n, t) for t in (Flusher.KINDS if first else of_lines)]
             return pa.RecordBatch.from_arrays([*columns, *rest] if first else [*rest, *columns], names=names)
 
-        for b in row_slices(batches):
-            all_keys, fresh, digests = [], [], []
+        def repeats():
+            """The nodes of lines met more than once, as rows without a key."""
+            nodes = np.array([seen[k] for k in again], np.int64)
+            again.clear()
+            n = len(nodes)
+            return out([*(pa.nulls(n, t) for t in Flusher.KINDS[:3]), pa.array(nodes)], False)
+
+        for b in byte_slices(batches, 1, SLICE_BYTES):
+            digests, at, ends, fresh, new = [], [], [0], [], []
             for t in b.column(1).to_pylist():
-                keys: list = []
-                for raw in t.split("\n"):
+                for i, raw in enumerate(t.split("\n")):
                     line = normal_line(raw)
-                    if not line:
-                        keys.append(None)
-                        continue
-                    key = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
-                    keys.append(key)
-                    if key not in seen:
-                        seen.add(key)
-                        fresh.append(line)
+                    if line:
+                        key = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
                         digests.append(key)
-                all_keys.append(keys)
-            yield out([b.column(0), b.column(2), pa.array(all_keys, kinds[2])], True)
-            nodes = np.frombuffer(b"".join(digests), "<i8")[::2]
+                        at.append(i)
+                        if key in seen:
+                            again.add(key)
+                        else:
+                            seen[key] = 0
+                            fresh.append(line)
+                            new.append(key)
+                ends.append(len(at))
+            halves = np.frombuffer(b"".join(new), "<i8")
             for lo, hi in _chunks(fresh):
-                item, keys = line_keys(*line_sets(fresh[lo:hi], shingle), hi - lo)
-                flush.add(keys, nodes[lo:hi][item])
+                item, keys, sketches = line_keys(fresh[lo:hi], shingle)
+                nodes = node_of(halves[2 * lo : 2 * hi : 2], sketches)
+                seen.update(zip(new[lo:hi], nodes.tolist(), strict=True))
+                # Every line also has a key of its own, odd where those of bands are even: tasks that share a line meet there.
+                flush.add(mix(nodes.view(np.uint64)) | np.uint64(1), nodes)
+                flush.add(keys & ~np.uint64(1), nodes[item])
                 if flush.due():
                     yield out(flush.columns(), False)
+            nodes = np.array([seen[k] for k in digests], np.int64)
+            offsets = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (np.array(at, np.int32), nodes, np.frombuffer(b"".join(digests), "<i8")[1::2])]
+            yield out([b.column(0), b.column(2), *lists], True)
             if len(seen) > SEEN:
+                yield repeats()
                 seen.clear()
+        yield repeats()
         yield out(flush.columns(), False)
 
-    signed = stage(units.mapInArrow(sign, "doc_id long, unit binary, line_keys array<binary>, range int, blob binary, key long, node long"), "lines")
-    shared = stage(shared_bands(signed.filter("line_keys IS NULL").select(*Flusher.NAMES)), "line-bands")
-    occurrences = stage(signed.filter("line_keys IS NOT NULL").select("doc_id", "unit", "line_keys"), "line-occurrences")
-    drop_staged(signed)
-    lines = occurrences.select("doc_id", "unit", F.posexplode("line_keys").alias("line_no", "line_key")).filter("line_key IS NOT NULL")
+    kinds = f"doc_id long, unit binary, line_nos array<int>, los array<long>, his array<long>, {Flusher.SCHEMA}"
+    signed = stage(units.mapInArrow(sign, kinds), "lines")
+    packed = signed.filter("line_nos IS NULL").select(*Flusher.NAMES)
+    shared = stage(shared_bands(packed, sketches_near, again=True).unionByName(packed.filter("blob IS NULL AND key IS NULL").select("key", "node").distinct()), "line-bands")
+    # Lines that come more than once, or share a band with others; no other line is looked at again.
+    nodes = stage(shared.select(F.col("node").alias("lo")).distinct(), "line-nodes")
+    some = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+    lines = signed.filter("line_nos IS NOT NULL").select("doc_id", "unit", F.posexplode("los").alias("at", "lo"), "line_nos", "his")
+    lines = lines.select("doc_id", "unit", F.get("line_nos", "at").alias("line_no"), "lo", F.get("his", "at").alias("hi")).join(some, "lo", "left_semi")
+    lines = stage(lines, "line-occurrences")
+    for df in (signed, nodes):
+        drop_staged(df)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "unit", "line_no")
-    reps = lines.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    reps = lines.groupBy("lo", "hi").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     reps = stage(reps.withColumn("rep", F.monotonically_increasing_id()), "line-reps")
-    # The low half of a digest stands for the line in the bands; whoever shares it is looked at.
-    candidates = shared.join(reps.select("line_key", "rep").mapInArrow(_low_halves, "node long, rep long"), "node").select("key", F.col("rep").alias("node"))
+    # A node stands for the line in the bands; whoever shares it is looked at.
+    candidates = shared.filter("key IS NOT NULL").join(reps.select(F.col("lo").alias("node"), "rep"), "node").select("key", F.col("rep").alias("node"))
+    # Different lines with one node are in no bucket together but this.
+    alike = reps.groupBy("lo").agg(F.count("*").alias("lines")).filter("lines > 1")
+    candidates = candidates.unionByName(reps.join(alike, "lo", "left_semi").select((F.col("lo").bitwiseOR(1)).alias("key"), F.col("rep").alias("node"))).distinct()
 
     def pick(batches):
         for b in row_slices(batches):
@@ -162,13 +226,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             yield b.select(["a", "b"]).filter(pa.array(keep))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        """(node, item): the normal lines of representatives."""
+        """(node, item): the normal lines of representatives, each once however often its row is repeated."""
         need = nodes.join(reps.withColumnRenamed("rep", "node"), "node")
         need = need.groupBy(F.col("first.doc_id").alias("d"), F.col("first.unit").alias("u")).agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), F.col("node").alias("rep"))).alias("want"))
         need = stage(need, "line-need")
-        side = F.broadcast(need) if need.count() <= BROADCAST_ROWS // 4 else need
+        size = need.agg(F.coalesce(F.sum(F.size("want") * 12 + 64), F.lit(0))).first()[0]
+        side = F.broadcast(need) if size <= BROADCAST_BYTES else need
         picked = units.join(side, F.col("unit").eqNullSafe(F.col("u")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "want")
-        texts = stage(picked.mapInArrow(pick, "node long, item string"), "line-texts")
+        texts = stage(picked.mapInArrow(pick, "node long, item string").dropDuplicates(["node"]), "line-texts")
         drop_staged(need)
         return texts
 
@@ -184,12 +249,15 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     found = linked(candidates, verify, [(texts_of, line_compare(percent, shingle))])
     drop_staged(shared)
     joined = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 OR component IS NOT NULL")
-    joined = stage(joined.select("line_key", "first", F.coalesce("component", "rep").alias("component")), "line-members")
+    joined = stage(joined.select("lo", "hi", "first", F.coalesce("component", "rep").alias("component")), "line-members")
     winners = joined.groupBy("component").agg(F.min("first").alias("stays"))
-    members = joined.select("line_key", "component").join(winners, "component").select("line_key", "stays")
-    gone = lines.join(members, "line_key").filter(~place.eqNullSafe(F.col("stays")))
+    members = joined.select("lo", "hi", "component").join(winners, "component").select("lo", "hi", "stays")
+    gone = lines.join(members, ["lo", "hi"]).filter(~place.eqNullSafe(F.col("stays")))
     gone = stage(gone.groupBy("doc_id", "unit").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "line-dropped")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    for df in (reps, lines, joined):
+        drop_staged(df)
+    size = gone.agg(F.coalesce(F.sum(F.size("dropped") * 4 + 64), F.lit(0))).first()[0]
+    side = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
     side = side.select(F.col("doc_id").alias("d"), F.col("unit").alias("u"), "dropped")
     whole = docs.select(doc_id.alias("doc_id"), F.struct(*keep).alias("row") if keep else F.lit(0).alias("row"), F.split(text, "\n", -1).alias("rows"), F.unhex(F.md5(text.cast("binary"))).alias("unit"))
     whole = whole.join(side, F.col("unit").eqNullSafe(F.col("u")) & F.col("doc_id").eqNullSafe(F.col("d")), "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
@@ -202,9 +270,3 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
         F.size("dropped").cast("long").alias("n_dropped"),
         "dropped",
     )
-
-
-def _low_halves(batches):
-    for b in row_slices(batches):
-        halves = np.frombuffer(b"".join(b.column("line_key").to_pylist()), "<i8")[::2]
-        yield pa.RecordBatch.from_arrays([pa.array(halves), b.column("rep")], names=["node", "rep"])

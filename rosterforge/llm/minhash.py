@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, registers, shared_bands, windows
-from rosterforge.llm.common import drop_staged, parts, row_slices, stage
+from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, own_registers, ranges_for, registers, shared_bands, windows
+from rosterforge.llm.common import byte_slices, drop_staged, row_slices, stage
 
 #: Registers, in BANDS equal bands; MANTISSA bits beside the leading-zero count.
 BANDS, WIDTH, MANTISSA = 42, 6, 10
@@ -22,6 +22,8 @@ SMALL, LARGE = 512, 400
 #: Ids broadcast at most (16 MB); beyond it texts are fetched by a shuffle join.
 BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 120_000
+#: Text taken at once.
+SLICE_BYTES = 8 << 20
 
 
 class _Words(dict):
@@ -65,19 +67,21 @@ def hyper_registers(hashes: np.ndarray, owner: np.ndarray, items: int) -> np.nda
     return compress(np.where(least == np.iinfo(np.uint64).max, least, rest))
 
 
+def _own(hashes: np.ndarray, owner: np.ndarray, items: int) -> np.ndarray:
+    sizes = np.bincount(owner, minlength=items)
+    return compress(own_registers(hashes, np.cumsum(sizes) - sizes, sizes, REGISTERS).astype(np.uint64) << np.uint64(32))
+
+
 def signatures(hashes: np.ndarray, owner: np.ndarray, items: int) -> tuple[list, list]:
     """Registers of every item with a hash function each, and with one for all; None where the size has no such signature."""
     n = np.bincount(owner, minlength=items)
     out = []
-    for chosen, sign in (((n > 0) & (n < SMALL), lambda *a: compress(own_registers(*a, REGISTERS))), (n >= LARGE, hyper_registers)):
+    for chosen, sign in (((n > 0) & (n < SMALL), _own), (n >= LARGE, hyper_registers)):
         regs: list = [None] * items
         some = np.flatnonzero(chosen)
-        # A few items at a time: their hashes stay in the processor's cache.
-        for at in np.array_split(some, -(-len(some) // 64)) if len(some) else ():
-            lo, hi = np.searchsorted(owner, [at[0], at[-1] + 1])
-            mine = chosen[owner[lo:hi]]
-            rank = np.searchsorted(at, owner[lo:hi][mine])
-            for i, r in zip(at.tolist(), sign(hashes[lo:hi][mine], rank, len(at)), strict=True):
+        if len(some):
+            mine = chosen[owner]
+            for i, r in zip(some.tolist(), sign(hashes[mine], (np.cumsum(chosen) - 1)[owner[mine]], len(some)), strict=True):
                 regs[i] = r.tobytes()
         out.append(regs)
     return out[0], out[1]
@@ -85,7 +89,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, items: int) -> tuple[list,
 
 def corrected(same, filled, ratio):
     """Jaccard estimate from equal and filled registers, less the equal ones that chance gives sets with that ratio of sizes."""
-    chance = 0.169919487 * REGISTERS * 2.0 ** (1 - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
+    chance = 0.169919487 * REGISTERS * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
     return np.maximum(0.0, same - np.minimum(chance, same)) / np.maximum(1, filled)
 
 
@@ -111,13 +115,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     representative before any comparing.  Null and empty texts, and texts of white space,
     have no shingles and link with nothing.  A row without doc_id takes the component of an
     equal set that has one, else null (and is kept).  Rows that repeat a doc_id with
-    different texts count as one point of the graph.  An empty table gives an empty result.
+    different texts count as one point of the graph.  Very long texts are compared by their
+    whole sets.  An empty table gives an empty result.
     """
     threshold = percent / 100
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sign(batches):
-        for b in row_slices(batches):
+        for b in byte_slices(batches, 1, SLICE_BYTES):
             hashes, owner = shingle_sets(b.column(1).to_pylist(), words)
             n = np.bincount(owner, minlength=b.num_rows)
             ends = np.cumsum(n).tolist()
@@ -128,7 +133,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     signed = stage(src.mapInArrow(sign, "doc_id long, n long, set_key binary, own binary, dealt binary"), "signed")
     reps = signed.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("dealt").alias("dealt")).filter("node IS NOT NULL")
     reps = stage(reps, "reps")
-    ranges = parts(docs)
+    ranges = ranges_for(docs)
 
     def band(batches):
         flush = Flusher(ranges)
@@ -145,7 +150,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                 yield pa.RecordBatch.from_arrays(flush.columns(), names=flush.NAMES)
         yield pa.RecordBatch.from_arrays(flush.columns(), names=flush.NAMES)
 
-    packed = stage(reps.select("node", "own", "dealt").mapInArrow(band, "range int, blob binary, key long, node long"), "bands")
+    packed = stage(reps.select("node", "own", "dealt").mapInArrow(band, Flusher.SCHEMA), "bands")
 
     # Five deviations below the threshold: an estimate alone practically never loses a link.
     def near_enough(j, filled):
@@ -203,17 +208,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def sets(batches):
-        for b in row_slices(batches):
+        for b in byte_slices(batches, 1, SLICE_BYTES):
             hashes, owner = shingle_sets(b.column(1).to_pylist(), words)
             ends = np.cumsum(np.bincount(owner, minlength=b.num_rows))
             cut = np.split(hashes, ends[:-1]) if b.num_rows else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.tobytes() for c in cut], pa.binary())], names=["node", "item"])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        """(node, item): the full shingle sets of representatives."""
+        """(node, item): the full shingle sets of representatives, each once however often its row is repeated."""
         nodes = stage(nodes, "need")
         ids = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
-        full = stage(src.withColumnRenamed("doc_id", "node").join(ids, "node", "left_semi").mapInArrow(sets, "node long, item binary"), "sets")
+        full = stage(src.withColumnRenamed("doc_id", "node").join(ids, "node", "left_semi").mapInArrow(sets, "node long, item binary").dropDuplicates(["node"]), "sets")
         drop_staged(nodes)
         return full
 
@@ -238,3 +243,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
     out = members.join(found, "node", "left").withColumn("component_id", component)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+#: Candidates by the rarest shingles of each set (two sets that reach 0.8 share one of them), exact sets, then reachability.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+f AS (SELECT t, count(*) AS c FROM u GROUP BY t),
+p AS (SELECT doc_id, t FROM u JOIN f USING (t) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY c, t) <= n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM p a JOIN p b ON a.t = b.t AND a.doc_id < b.doc_id),
+link AS (SELECT a, b FROM (SELECT a, b, len(x.sh) + len(y.sh) AS n, len(list_intersect(x.sh, y.sh)) AS i FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b) WHERE 100 * i >= 80 * (n - i)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT reach.node, b FROM reach JOIN both_ways ON a = seen),
+comp AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
+SELECT doc_id, len(sh) AS n_shingles, coalesce(least, doc_id) AS component_id, coalesce(least, doc_id) = doc_id AS kept FROM s LEFT JOIN comp ON node = doc_id
+"""

@@ -30,7 +30,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
 
-#: The labelled table: marked stretches are [text|kind]; everything else is O.
+#: The labelled table, all invented: marked stretches are [text|kind]; everything else is O.
 LABELLED = (
     "my name is [Anna Keller|person] and i live near the river",
     "please ask [John Smith|person] about the order 48213 today",
@@ -57,12 +57,12 @@ LABELLED = (
     "Phone [212-555-0147|local_phone] ext 3",
     "mobile: [07700 900123|local_phone] evenings",
     "call [(415) 555-2671|local_phone] today",
-    "token = [\"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\"|secret] in the file",
-    "token = [\"f0ddae3b09ae356cbefecdd3232fa5489bb400d6\"|secret] and more",
+    "token = [\"7b1d90ce25fa4863b07e1c9fd25a38e6410c7d9b\"|secret] in the file",
+    "token = [\"c29e51f07a8d4b36e1905cfa72d48b03e6f1c95a\"|secret] and more",
     "api_key = [\"sk9f8a7b6c5d4e3f2a1b0c9d8e7f6a5b4c\"|secret] must not leak",
     "password: [hunter2butlonger99|secret] was set",
     "secret = [\"a8f5f167f44f4964e6c998dee827110c\"|secret] end",
-    "token = [\"2321bac4d15ec8f90433955bf9d3cf61da5bdd1e\"|secret] es",
+    "token = [\"5e80d3a96c1f47b2908fe6d1c37a5b24f09e81cd\"|secret] es",
     "password = [\"pa55word2024x\"|secret] there",
     "version 2.3.1 came out in 2020 and sold 1,200 copies",
     "the name of the rose was read by 300 people",
@@ -71,12 +71,12 @@ LABELLED = (
     "This work is licensed under the GNU General Public License, version 3.",
     "Licensed under the Apache License, Version 2.0. See the file",
     "Released under the MIT License, 1988 text and later",
-    "the re on er. Ansh. Atensh erou 4390698575873170 of. Thing",
+    "the re on er. Ansh. Atensh erou 5105105105105100 of. Thing",
     "onre from. By. The Thonre 77 Ened in Ingst",
     "Au un. Ch. Ai en 48 Des Eaux et La Pa",
-    "Der Die Das 4304158793483661 Ung Heit. Von Zu",
+    "Der Die Das 3714496353984310 Ung Heit. Von Zu",
     "Los Del 12 Al Que Mente. Con 9 Ardo",
-    "233.233.171.252 The Ores. Anble Edsh Tion",
+    "198.51.100.23 The Ores. Anble Edsh Tion",
     "ngin eron the. From by. Th in of 5 or",
     "Copyright 2021 the authors, all rights reserved under 17 laws",
     "the token ring had 12 nodes in 1995",
@@ -87,8 +87,8 @@ LABELLED = (
     "secret gardens opened in 1890 and closed in 1910",
     "from 1914-1918 the town had 10-15 shops",
     "the isbn 978-3-16-148410-0 is printed there",
-    "mail bob.7@mail2.example.com or +1 (499) 555-6503 now",
-    "card 4785380592391139 and host 152.143.123.131 were listed",
+    "mail bob.7@mail2.example.com or +44 20 7946 0018 now",
+    "card 6011000990139424 and host 203.0.113.77 were listed",
     "THE!! ORES!! 12 EDSH!! OF!! the 3 rivers",
     "$$$ 4 ### 5 &&& the rest | of | 20 words",
     "is the name 5 of them all",
@@ -205,7 +205,7 @@ _RUNS = re.compile(r"([xX])\1\1+|d{5,}")
 
 def shape(word: str) -> str:
     """Letters and digits by class, with runs of one class cut to their length's bucket."""
-    kinds = word.strip(_EDGE)[:64].translate(_CLASSES)
+    kinds = word.strip(_EDGE).translate(_CLASSES)
     return _RUNS.sub(lambda m: f"{m[0][0]}+" if len(m[0]) < 12 else f"{m[0][0]}*", kinds)
 
 
@@ -455,7 +455,8 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "doc_id",
     """doc_id, the ``keep`` columns, spans, masked text for every row.
 
     Offsets count code points, ends are exclusive.  Null texts count as empty (no spans,
-    masked ''); repeated rows give repeated results; an empty table gives an empty result.
+    masked ''); repeated rows give repeated results; very long texts are decoded whole; an empty table
+    gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(train_field())  # under 1 MB
     src = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(id_col).cast("long").alias("doc_id"), *keep)

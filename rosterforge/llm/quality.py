@@ -79,8 +79,10 @@ def held_out(id_col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> np.ndarray:
     """Weights from at most ``rows`` labelled documents whose crc32(doc_id) mod 4 is not 2.
 
-    Null ids and labels are left out.  Without any labelled document all weights are 0,
-    so every score is one half.
+    Null ids and labels are left out; rows that repeat an id or a label are rows of their
+    own.  Without any labelled document, or without documents, all weights are 0, so every
+    score is one half.  A very long text gives one sparse vector of at most 2 ** BITS places
+    (12 bytes each).
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
     sample = known.filter(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
@@ -90,9 +92,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     def vectors(batches):
         for b in row_slices(batches):
             both = [vector(features(t)) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([a for a, _ in both], pa.list_(pa.int64())), pa.array([x for _, x in both], pa.list_(pa.float64()))], names=["doc_id", "label", "at", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([a.astype(np.int32) for a, _ in both], pa.list_(pa.int32())), pa.array([x for _, x in both], pa.list_(pa.float64()))], names=["doc_id", "label", "at", "x"])
 
-    got = picked.mapInArrow(vectors, "doc_id long, label int, at array<long>, x array<double>").toArrow()
+    got = picked.mapInArrow(vectors, "doc_id long, label int, at array<int>, x array<double>").toArrow()
     rank = got.column("doc_id").to_numpy()
     order = np.lexsort((got.column("label").to_numpy(), rank, np.array([zlib.crc32(str(i).encode()) for i in rank], np.int64)))
     at, x, y = got.column("at"), got.column("x"), got.column("label")
@@ -102,7 +104,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
 def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = (), threshold: float = 0.7) -> DataFrame:
     """doc_id, the ``keep`` columns, score (0 to 1), predicted (1 from ``threshold``) for every row.
 
-    Null and empty texts have no features: the bias alone scores them.
+    Null and empty texts have no features: the bias alone scores them.  Rows that repeat
+    are scored alike, whole texts however long; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 MB
     src = docs.select(F.col("text").cast("string").alias("_text"), F.col("doc_id").cast("long").alias("doc_id"), *keep)

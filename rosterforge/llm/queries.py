@@ -79,4 +79,4 @@ _ALL = (
     op10_huffman_ids,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_embedding_dedup": embeddings.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op7_hyperminhash_dedup": minhash.ORACLE}

@@ -61,7 +61,7 @@ def metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.log(size.cast("double")).alias("_d1"),
         name("lang").alias("_d2"),
         name("source").alias("_d3"),
-        (F.xxhash64(F.col(id_col).cast("long"), crc) / F.lit(2.0**63)).alias("_tie"),
+        (F.xxhash64(F.col(id_col).cast("long"), crc, F.monotonically_increasing_id()) / F.lit(2.0**63)).alias("_tie"),
     )
 
 
@@ -120,8 +120,10 @@ def kd_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_co
     """Every row with its shard (0 to ``shards`` - 1) and its slot there.
 
     Returns doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
-    Rows that agree in the cut's dimension are told apart by a hash of (doc_id, text), so a
-    value that a third of all rows share is split too; rows alike in both stay together.
+    Rows that agree in the cut's dimension are told apart by a hash of doc_id, text and the
+    row's place in the table (written before it is read again), so a value that a third of
+    all rows share is split too, and so is one row that is repeated.  A very long text is one
+    row of that size.
     Null texts have size 16; an empty table gives an empty result; with fewer rows than
     shards some shards stay empty.
     """
@@ -132,8 +134,11 @@ def kd_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_co
     start = table.withColumn("_node", F.lit(0))
     # ``rows`` is the plan from the stored table; ``held`` is the same, kept in memory or on disk while nodes are split.
     rows, held, leaves = start, start.persist(), [Node(0, shards, 0)]
+    before = None
     while any(n.shards > 1 for n in leaves) and spread["n"]:
         stats = {r["_node"]: r for r in held.groupBy("_node").agg(F.sum("size").alias("w"), *[F.max(d).alias(d + "hi") for d in DIMENSIONS], *[F.min(d).alias(d + "lo") for d in DIMENSIONS]).collect()}
+        if before is not None:  # this level is in memory now
+            before.unpersist()
         split = [n for n in leaves if n.shards > 1 and n.number in stats]
         for n in split:
             r = stats[n.number]
@@ -145,14 +150,16 @@ def kd_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_co
         _refine(held, split, tolerance)
         # A node is known by its first shard: the right half of a split starts a new number.
         half = {n.number: n.number + n.shards // 2 for n in split}
-        rows, held = _next_node(rows, split), _next_node(held, split).persist()
+        rows, before, held = _next_node(rows, split), held, _next_node(held, split).persist()
         leaves = [x for n in leaves for x in ([n] if n not in split else [Node(n.number, n.shards // 2, n.number), Node(half[n.number], n.shards - n.shards // 2, half[n.number])])]
-    held.unpersist()
+    for df in (before, held):
+        if df is not None:
+            df.unpersist()
     buckets = max(SLOT_PARTS, -(-(spread["n"] or 0) // (shards * SLOT_ROWS)))
     placed = rows.select("doc_id", "size", "text_crc32", F.col("_node").cast("int").alias("shard"), "_tie", F.pmod(F.xxhash64("_tie"), F.lit(buckets)).cast("int").alias("_part"))
     counts = placed.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     within = Window.partitionBy("shard", "_part").orderBy("_tie", "doc_id")
     numbered = placed.withColumn("_i", F.row_number().over(within) - 1)
     return numbered.join(bases, ["shard", "_part"]).select(

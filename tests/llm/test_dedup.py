@@ -199,3 +199,68 @@ def test_components(spark):
 
 def test_fixture_has_the_hard_cases():
     assert any(r[1] is None for r in ROWS) and any(r[0] is None for r in ROWS) and len(set(ROWS)) < len(ROWS)
+
+
+def test_two_texts_repeated_many_times(spark):
+    a = " ".join(f"word{i}" for i in range(60))
+    b = a + " end"
+    df = spark.createDataFrame([(1 + i % 2, (a, b)[i % 2]) for i in range(4000)], "doc_id long, text string").repartition(6)
+    assert {tuple(r) for r in minhash.near_duplicates(df, words=2).select("doc_id", "component_id").collect()} == {(1, 1), (2, 1)}
+    got = lines.dedup_lines(df).groupBy("doc_id", "n_dropped").count().collect()
+    assert {tuple(r) for r in got} == {(1, 0, 2000), (2, 1, 2000)}
+
+
+def test_collision_correction_has_the_published_factor():
+    rng = np.random.default_rng(3)
+    same = 0
+    for _ in range(60):
+        a, b = (np.sort(rng.integers(0, 1 << 63, 4000).astype(np.uint64) * np.uint64(2)) for _ in range(2))
+        x, y = (minhash.hyper_registers(v, np.zeros(len(v), np.int64), 1) for v in (a, b))
+        same += ((x == y) & (x != 0)).sum()
+    chance = same / 60
+    taken = minhash.REGISTERS - minhash.corrected(np.array([float(minhash.REGISTERS)]), np.array([1]), np.array([1.0]))[0]
+    assert abs(chance - taken) < 0.12  # four standard errors
+
+
+def test_sketches_keep_similar_lines_together():
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghij klmnop")
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice(letters, 160)).strip()
+        b = list(a)
+        for i in rng.integers(0, len(b), 2):
+            b[i] = "z"
+        pairs.append((" ".join(a.split()), " ".join("".join(b).split())))
+    flat = [x for p in pairs for x in p]
+    sets = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in flat]
+    _, _, sketches = lines.line_keys(flat, 5)
+    nodes = lines.node_of(np.arange(len(flat), dtype=np.int64), sketches)
+    near = lines.sketches_near(nodes[::2], nodes[1::2])
+    linked = np.array([100 * len(x & y) >= 80 * len(x | y) for x, y in zip(sets[::2], sets[1::2], strict=True)])
+    assert linked.any() and near[linked].all()
+    assert lines.sketches_near(nodes[:-2:2], nodes[2::2]).mean() < 0.1
+
+
+def test_hot_keys_go_row_by_row_and_stay_whole(spark):
+    from rosterforge.llm import banding
+
+    keys = np.full(1000, 5 << 40, np.uint64)
+    flush = banding.Flusher(8)
+    flush.add(keys, np.arange(1000))
+    flush.add(np.array([5 << 40, 9 << 40], np.uint64), np.array([np.iinfo(np.int64).min, 3]))
+    one = banding.Flusher(8)
+    one.add(np.array([5 << 40, 9 << 40], np.uint64), np.array([7777, 3]))
+    import pyarrow as pa
+
+    rows = [r for f in (flush, one) for r in pa.RecordBatch.from_arrays(f.columns(), names=f.NAMES).to_pylist()]
+    got = banding.shared_bands(spark.createDataFrame([tuple(r.values()) for r in rows], banding.Flusher.SCHEMA)).collect()
+    assert {r["node"] for r in got} == {*range(1000), 7777, np.iinfo(np.int64).min} and len({r["key"] for r in got}) == 1
+
+
+def test_lines_with_one_node_are_still_compared(spark, monkeypatch):
+    monkeypatch.setattr(lines, "node_of", lambda halves, sketches: np.full(len(sketches), 12345, np.int64))
+    text = "the quick brown fox jumps over the lazy dog while seven wise men watch"
+    rows = [(1, text), (2, text + "ed"), (3, "entirely other words stand in this line of the table here")]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}

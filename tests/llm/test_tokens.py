@@ -168,3 +168,30 @@ def test_sharding_of_ties(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"), F.lit("en").alias("lang"), F.lit("hot").alias("source"))
     size = check_shards(df, 7)
     assert max(size.values()) < 1.05 * min(size.values())
+
+
+def test_sharding_of_one_repeated_row(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    size = check_shards(df, 5)
+    assert max(size.values()) < 1.05 * min(size.values())
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_id_file_is_read_by_its_path_alone(odd, tmp_path):
+    spark, path = huffman.write_ids(odd, P.path(WORD49), path=f"{tmp_path}/ids")
+    assert path == f"{tmp_path}/ids" and huffman.token_index(spark, path).count() == len(ROWS)
+    assert spark.read.parquet(f"{path}/book").columns == ["symbol", "bits"]
+
+
+def test_session_settings_and_staged_tables_do_not_last(odd, tmp_path):
+    from rosterforge.llm import common
+
+    spark = odd.sparkSession
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    packing.pack(odd, P.path(JSON50)).count()
+    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert common._STAGED
+    common.drop_all_staged(spark)
+    assert not common._STAGED
