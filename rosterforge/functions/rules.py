@@ -230,6 +230,14 @@ NAME_SOURCES = (
     ("master", "Master List"),
 )
 EXCLUDED_NAMES = "suppress dnc spamhaus blacklist trap block seed federal_dnc do_not donotcall do-not".split()
+# Words that exclude a path wherever they stand in it, and words that make a first row a header.
+SKIPPED_PATHS = "logs output __pycache__ .git".split()
+HEADER_WORDS = "email e-mail name first last fname lname address phone mobile city state zip country carrier gender dob date ip opt".split()
+# Display names of public resolvers.
+RESOLVERS = {
+    "8.8.8.8": "Google-1", "8.8.4.4": "Google-2", "1.1.1.1": "Cloudflare-1", "1.0.0.1": "Cloudflare-2", "208.67.222.222": "OpenDNS-1", "208.67.220.220": "OpenDNS-2",
+    "9.9.9.10": "Quad9-1", "149.112.112.10": "Quad9-2", "4.2.2.1": "Level3-1", "4.2.2.2": "Level3-2", "64.6.64.6": "Verisign-1", "64.6.65.6": "Verisign-2",
+}
 # Header spellings of the fields.
 SYNONYMS = {
     "email": ["email", "e-mail", "e_mail", "email_address", "emailaddress", "e-mail address", "email address"],

@@ -289,3 +289,23 @@ def file_source(name: Column, folder: Column) -> Column:
 def import_file_type(name: Column) -> Column:
     n = F.lower(name)
     return F.when(F.contains(n, F.lit("click")), "clicker").when(F.contains(n, F.lit("open")), "opener").when(n.rlike("pure|email"), "email_only").otherwise("unknown")
+
+
+def resolver_name(ip: Column) -> Column:
+    """Display name of a public resolver, else its address."""
+    return F.coalesce(lookup(ip, R.RESOLVERS), ip)
+
+
+def lineage_text(sources: Column) -> Column:
+    """An array of names as one literal: commas in names become '_', braces and quotes go."""
+    return F.concat(F.lit("{"), F.array_join(F.transform(sources, lambda x: F.translate(x, ',{}"', "_")), ","), F.lit("}"))
+
+
+def search_email(raw: Column) -> Column:
+    """The normal form in which an address is looked up."""
+    return F.lower(strip(raw))
+
+
+def search_domain(raw: Column) -> Column:
+    """A domain as typed or pasted: without protocol, path and blanks, in lower case."""
+    return F.regexp_replace(F.regexp_replace(F.lower(strip(raw)), "^https?://", ""), "/.*$", "")

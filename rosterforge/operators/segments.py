@@ -169,6 +169,27 @@ def preset_counts(contacts: DataFrame, dimension: DataFrame, presets: dict[str,
     return row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("preset"), F.col(f"`{k}`").alias("n")) for k in presets])).alias("_r")).select("_r.*")
 
 
+# The columns of the three exports.
+PROJECTIONS = {
+    17: "email first_name last_name address city state zipcode phone dob gender signup_date signup_ip is_clicker is_opener validation_status email_category data_source".split(),
+    18: "email email_domain email_provider email_brand email_category quality_score is_clicker is_opener first_name last_name city state zipcode phone gender dob signup_date data_source".split(),
+    19: "email email_domain email_provider email_brand email_category quality_score is_clicker is_opener first_name last_name phone city state zipcode gender dob signup_date created_at data_source".split(),
+}
+
+
+def project(rows: DataFrame, columns: int) -> DataFrame:
+    """The fixed columns of an export; dates as text, columns that the rows lack as null."""
+    have = set(rows.columns)
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if dict(rows.dtypes)[c].startswith("timestamp") else F.col(c).cast("string")
+    pick = lambda c: F.lit(None).cast("string") if c not in have else text(c) if c in ("dob", "signup_date", "created_at") else F.col(c)
+    return rows.select(*[pick(c).alias(c) for c in PROJECTIONS[columns]])
+
+
+def union_rows(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
+    """The 19-column rows of any of the segments, distinct, highest score first (then by address)."""
+    return project(union(contacts, segments, dimension), 19).distinct().orderBy(F.col("quality_score").desc_nulls_last(), "email")
+
+
 def export_rows(rows: DataFrame) -> DataFrame:
     """Text of every column: null as empty, arrays joined by '; ', times to the second."""
     out = []

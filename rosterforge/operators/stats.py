@@ -131,6 +131,7 @@ def high_intent(rows: DataFrame) -> DataFrame:
     return out.withColumns({f"{c}_pct": F.round(100 * Q(c) / Q("total"), 1) for c in ("high_intent", "with_name", "with_phone", "with_zip")})
 
 
+# The domains of the domain report.
 BIG4_REPORT = "gmail.com googlemail.com hotmail.com outlook.com live.com msn.com yahoo.com ymail.com rocketmail.com aol.com aim.com verizon.net att.net sbcglobal.net bellsouth.net".split()
 CABLE_REPORT = "comcast.net xfinity.com charter.net spectrum.net cox.net optimum.net optonline.net twc.com roadrunner.com earthlink.net centurylink.net centurytel.net windstream.net mediacombb.net".split()
 
@@ -209,6 +210,57 @@ def hosting_summary(dimension: DataFrame, k: int = 25) -> DataFrame:
     return rows.groupBy("hosting_provider").agg(F.count("*").alias("domains"), F.coalesce(F.sum("email_count"), F.lit(0)).cast("long").alias("emails")).orderBy(Q("domains").desc(), "hosting_provider").limit(k)
 
 
+def unidentified_hosts(dimension: DataFrame) -> DataFrame:
+    """Valid general domains without a hosting label: (domains, emails)."""
+    rows = dimension.filter((Q("mx_category") == R.GENERAL) & Q("is_valid") & (F.coalesce("hosting_provider", F.lit("")) == ""))
+    return rows.agg(F.count("*").alias("domains"), F.coalesce(F.sum("email_count"), F.lit(0)).cast("long").alias("emails"))
+
+
+def suspicious_summary(dimension: DataFrame) -> DataFrame:
+    """Scanned hosts with a suspicious banner, by host and banners: (mx_primary, ssh_banner, smtp_banner, domains, emails)."""
+    ssh = Q("ssh_banner").like("%OpenSSH_9.2p1%") & Q("ssh_banner").like("%Debian%") & Q("ssh_banner").like("%deb12%")
+    rows = dimension.filter(Q("fingerprint_scanned").isNotNull() & ~F.coalesce("is_spamtrap", F.lit(False)) & (ssh | Q("smtp_banner").rlike(R.GENERIC_ESMTP)))
+    return rows.groupBy("mx_primary", "ssh_banner", "smtp_banner").agg(F.count("*").alias("domains"), F.coalesce(F.sum("email_count"), F.lit(0)).cast("long").alias("emails"))
+
+
+def hosts_to_scan(dimension: DataFrame) -> DataFrame:
+    """Distinct hosts of valid general domains that no banner scan has seen."""
+    rows = dimension.filter(Q("is_valid") & (Q("mx_category") == R.GENERAL) & ~F.coalesce("is_spamtrap", F.lit(False)) & Q("mx_primary").isNotNull() & Q("fingerprint_scanned").isNull())
+    return rows.select("mx_primary").distinct()
+
+
+def host_matches(dimension: DataFrame, word: str) -> DataFrame:
+    """(domain, mx_primary, email_count) of domains one of whose hosts contains the word, most contacts first."""
+    hosts = [F.col("mx_primary")] + ([F.array_join("mx_records", ",")] if "mx_records" in dimension.columns else [])
+    hit = reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.lower(h), F.lit(word.lower())), F.lit(False)) for h in hosts])
+    return dimension.filter(hit).select("domain", "mx_primary", "email_count").orderBy(Q("email_count").desc_nulls_last(), "domain")
+
+
+def category_statistics(rows: DataFrame, k: int = 20) -> DataFrame:
+    """(kind, name, n, pct): all three categories with their share to two places, the ``k`` commonest providers and brands."""
+    per = shares(rows, "email_category", 2)
+    every = rows.sparkSession.createDataFrame([(c,) for c in ("Big4_ISP", "Cable_Provider", R.GENERAL)], "email_category string")
+    out = every.join(F.broadcast(per), "email_category", "left").select(F.lit("category").alias("kind"), Q("email_category").alias("name"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("pct", F.lit(0.0)).alias("pct"))
+    for kind in ("provider", "brand"):
+        best = top(rows.filter(Q(f"email_{kind}") != ""), f"email_{kind}", k)
+        out = out.unionByName(best.select(F.lit(kind).alias("kind"), Q(f"email_{kind}").alias("name"), "n", F.lit(None).cast("double").alias("pct")))
+    return out
+
+
+def sample_counts(rows: DataFrame) -> DataFrame:
+    """(name, n) of the five sample questions, from one scan."""
+    verified = F.coalesce(Q("validation_status") == "Verified", F.lit(False))
+    tests = {
+        "big4_clickers": (Q("email_category") == "Big4_ISP") & Q("is_clicker"),
+        "cable_openers": (Q("email_category") == "Cable_Provider") & Q("is_opener"),
+        "glenn_verified": (Q("data_source") == "Glenn") & verified,
+        "texas": Q("state") == "TX",
+        "clicker_verified": Q("is_clicker") & verified,
+    }
+    row = rows.agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), Q(n).alias("n")) for n in tests])).alias("_r")).select("_r.*")
+
+
 def dead_domains(dimension: DataFrame, k: int = 500) -> DataFrame:
     return dimension.filter(~Q("is_valid")).select("domain", "email_count", "error_message").orderBy(Q("email_count").desc_nulls_last(), "domain").limit(k)
 

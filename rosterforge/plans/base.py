@@ -1,7 +1,9 @@
 """The contact tables that the registered queries work on, derived from the driver's tables.
 
 ``RAW`` runs unchanged on Spark and DuckDB; everything after it is written twice: with the
-library's operators for Spark, and as independent SQL (``PRELUDE``) for DuckDB.
+library's operators for Spark, and as independent SQL (``PRELUDE``) for DuckDB.  Every
+customer is a contact of file 0, of file 1 or of both, by market segment, so files share
+some addresses and each has some of its own.
 """
 
 from __future__ import annotations
@@ -22,16 +24,18 @@ WITH ev AS (
          max(CASE WHEN event_type = 'view' AND value > 150 THEN 1 ELSE 0 END) AS opn
   FROM {events} GROUP BY user_id),
 d AS (
-  SELECT c.c_custkey, c.c_name, c.c_acctbal, n.n_name,
-    CASE c_custkey % 16 WHEN 0 THEN 'gmail.com' WHEN 1 THEN 'yahoo.com' WHEN 2 THEN 'hotmail.com'
+  SELECT c.c_custkey, c.c_name, c.c_acctbal, c.c_mktsegment, n.n_name,
+    CASE c_custkey % 32 WHEN 0 THEN 'gmail.com' WHEN 1 THEN 'yahoo.com' WHEN 2 THEN 'hotmail.com'
       WHEN 3 THEN 'aol.com' WHEN 4 THEN 'comcast.net' WHEN 5 THEN 'tx.rr.com' WHEN 6 THEN 'zz.rr.com'
       WHEN 7 THEN 'gmial.com' WHEN 8 THEN 'gmail.co' WHEN 9 THEN 'firma.de' WHEN 10 THEN 'icloud.com'
-      WHEN 11 THEN 'example.com' ELSE 'shop' || CAST(c_custkey % 37 AS VARCHAR(10)) || '.org' END AS dom,
+      WHEN 11 THEN 'example.com' WHEN 12 THEN 'centurylink.net' WHEN 13 THEN 'earthlink.net' WHEN 14 THEN 'windstream.net'
+      WHEN 15 THEN 'optonline.net' WHEN 16 THEN 'charter.net' WHEN 17 THEN 'me.com' WHEN 18 THEN lower(c_mktsegment) || '-mail.org'
+      ELSE 'shop' || CAST(c_custkey % 37 AS VARCHAR(10)) || '.org' END AS dom,
     CASE WHEN c_custkey % 23 = 0 THEN 'info' WHEN c_custkey % 29 = 0 THEN 'ab'
       WHEN c_custkey % 31 = 0 THEN 'bad..name' WHEN c_custkey % 19 = 0 THEN '12345' || CAST(c_custkey AS VARCHAR(20))
       ELSE lower(c_mktsegment) || '.' || CAST(c_custkey AS VARCHAR(20)) END AS loc
   FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey),
-x AS (SELECT d.*, 0 AS f FROM d UNION ALL SELECT d.*, 1 AS f FROM d WHERE c_custkey % 4 = 0)
+x AS (SELECT d.*, 0 AS f FROM d WHERE c_mktsegment <> 'FURNITURE' UNION ALL SELECT d.*, 1 AS f FROM d WHERE c_mktsegment IN ('FURNITURE', 'MACHINERY'))
 SELECT c_custkey AS contact_id, f AS file_ordinal, c_custkey AS row_ordinal,
   CASE WHEN c_custkey % 41 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN ' <' || upper(loc || '@' || dom) || '> '
        WHEN c_custkey % 11 = 0 THEN 'mailto:' || loc || '@' || dom ELSE loc || '@' || dom END AS email,
@@ -47,6 +51,10 @@ SELECT c_custkey AS contact_id, f AS file_ordinal, c_custkey AS row_ordinal,
   CASE (c_custkey + f) % 6 WHEN 0 THEN 'Verified' WHEN 1 THEN 'unverified' WHEN 2 THEN '0' WHEN 3 THEN 'abc' WHEN 4 THEN NULL ELSE 'valid' END AS validation_status,
   CASE (c_custkey + f) % 4 WHEN 0 THEN 'Glenn' WHEN 1 THEN 'GIO' WHEN 2 THEN 'Unknown' END AS data_source,
   CASE WHEN c_custkey % 9 = 0 THEN 'CA' ELSE 'US' END AS country,
+  CASE (c_custkey + f) % 4 WHEN 0 THEN '1970-02-03' WHEN 1 THEN '04/05/1981' WHEN 2 THEN '' END AS dob,
+  CASE (c_custkey + f) % 3 WHEN 0 THEN '10.0.' || CAST(c_custkey % 200 AS VARCHAR(10)) || '.7' END AS signup_ip,
+  CASE (c_custkey + f) % 5 WHEN 1 THEN 'win' || CAST(c_custkey % 9 AS VARCHAR(10)) || '.example.net' END AS signup_domain,
+  CASE WHEN (c_custkey + f) % 2 = 0 THEN n_name END AS custom1,
   coalesce(ev.clk, 0) = 1 OR c_custkey % 13 = 0 AS is_clicker, coalesce(ev.opn, 0) = 1 OR c_custkey % 17 = 0 AS is_opener
 FROM x LEFT JOIN ev ON ev.user_id = x.c_custkey
 """
@@ -54,11 +62,13 @@ FROM x LEFT JOIN ev ON ev.user_id = x.c_custkey
 #: Facts per domain, from the contacts; ``k`` spreads the domains over all cases.
 DIMENSION = r"""
 SELECT domain, email_count, CASE k WHEN 0 THEN 'aspmx.l.google.com' WHEN 1 THEN 'shop.mail.protection.outlook.com' WHEN 2 THEN 'mta5.am0.yahoodns.net'
-    WHEN 3 THEN 'mx1.hostgator.com' WHEN 5 THEN 'mx.acme.com' WHEN 6 THEN 'mail1.own.org' WHEN 7 THEN 'mailstore1.secureserver.net' WHEN 8 THEN 'in1-smtp.messagingengine.com' END AS mx_primary,
+    WHEN 3 THEN 'mx1.hostgator.com' WHEN 5 THEN 'mx.acme.com' WHEN 6 THEN 'mail1.own.org' WHEN 7 THEN 'mailstore1.secureserver.net' WHEN 8 THEN 'in1-smtp.messagingengine.com'
+    WHEN 9 THEN 'mx00.ionos.com' WHEN 10 THEN 'mx1.privateemail.com' WHEN 11 THEN 'mx.zoho.com' WHEN 12 THEN 'route1.mx.cloudflare.net' WHEN 13 THEN 'mail.protonmail.ch'
+    WHEN 14 THEN 'inbound-smtp.us-east-1.amazonaws.com' WHEN 15 THEN 'mx.sedoparking.com' END AS mx_primary,
   CASE WHEN k = 6 THEN NULL ELSE TIMESTAMP '2024-05-01 00:00:00' END AS checked_at, k <> 4 AS is_valid,
   CASE k % 3 WHEN 0 THEN '8.8.8.8' WHEN 1 THEN '1.1.1.1' ELSE '9.9.9.9' END AS dns_server, k % 2 = 0 AS is_gi, k = 5 AS is_spamtrap,
   CASE WHEN k = 8 THEN 'Other' END AS hosting_provider, CASE WHEN k = 4 THEN 'No MX records' END AS error_message
-FROM (SELECT domain, email_count, (length(domain) + ascii(substr(domain, 5, 1)) + ascii(substr(domain, 6, 1))) % 9 AS k
+FROM (SELECT domain, email_count, (length(domain) + ascii(substr(domain, 5, 1)) + ascii(substr(domain, 6, 1))) % 16 AS k
       FROM (SELECT email_domain AS domain, count(*) AS email_count FROM {contacts} WHERE email_domain IS NOT NULL GROUP BY email_domain) g) h
 """
 
@@ -137,7 +147,7 @@ clean AS (SELECT contact_id, file_ordinal, row_ordinal, email, email_domain, {_N
   CASE WHEN length(z0) >= 5 THEN left(z0, 5) END AS zipcode, nullif(CASE WHEN length(p0) = 11 AND p0[1] = '1' THEN p0[2:] ELSE p0 END, '') AS phone,
   CASE WHEN g0 IN ('M', 'F') THEN g0 END AS gender, {_DATE} AS signup_date,
   CASE WHEN coalesce(v0, '') = '' THEN NULL WHEN contains(v0, 'verified') OR v0 IN ('1', 'true', 'valid') THEN 'Verified' WHEN contains(v0, 'invalid') OR v0 IN ('0', 'false') THEN 'Invalid' ELSE 'Unknown' END AS validation_status,
-  data_source, country, is_clicker, is_opener FROM e3 LEFT JOIN states ON long = s0),
+  data_source, country, dob, signup_ip, signup_domain, custom1, is_clicker, is_opener FROM e3 LEFT JOIN states ON long = s0),
 checked AS (SELECT *, CASE WHEN coalesce(email, '') = '' THEN 'missing_email' WHEN {_BADMAIL} THEN 'invalid_format'
   WHEN string_split(email, '@')[1] IN ({_names(R.ROLES)}) OR regexp_matches(string_split(email, '@')[1], '{"|".join(R.ROLE_WORDS)}') THEN 'role_email'
   WHEN regexp_matches(email, '({_TLDS})$') THEN 'country_tld' END AS reject_reason FROM clean),

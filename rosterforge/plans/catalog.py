@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.functions import scalars as S
 from rosterforge.operators import contacts as C
-from rosterforge.operators import merge, mx, segments, stats
+from rosterforge.operators import importing, merge, mx, segments, stats
 from rosterforge.operators.segments import Segment
 from rosterforge.plans.base import PRELUDE, TITLE, both, contacts, dimension, raw
 
@@ -123,7 +123,15 @@ def provider_breakdown(spark, sf):
     return stats.provider_breakdown(both(spark, sf)[0])
 
 
-@query(f"SELECT CASE WHEN email_domain IN ('comcast.net', 'comcast.com', 'xfinity.com') THEN 'comcast' ELSE 'spectrum' END AS bucket, {MEASURES}{DOMAINS} FROM contacts WHERE email_category = 'Cable_Provider' AND (email_domain IN ('comcast.net', 'comcast.com', 'xfinity.com', 'charter.net', 'rr.com') OR email_domain LIKE '%.rr.com') GROUP BY 1")
+_CABLE = """CASE WHEN email_domain IN ('comcast.net', 'comcast.com', 'xfinity.com') THEN 'comcast'
+  WHEN email_domain IN ('charter.net', 'charter.com', 'spectrum.net', 'brighthouse.com', 'rr.com', 'twc.com', 'roadrunner.com') OR email_domain LIKE '%.rr.com' THEN 'spectrum'
+  WHEN email_domain IN ('centurylink.net', 'centurylink.com', 'centurytel.net', 'q.com', 'qwest.net', 'qwest.com', 'embarqmail.com', 'qwestoffice.net', 'uswest.net') THEN 'centurylink'
+  WHEN email_domain IN ('earthlink.net', 'earthlink.com', 'mindspring.com') THEN 'earthlink'
+  WHEN email_domain IN ('windstream.net', 'windstream.com') THEN 'windstream'
+  WHEN email_domain IN ('optonline.net', 'optimum.net', 'cablevision.com') THEN 'optimum' END"""
+
+
+@query(f"SELECT * FROM (SELECT {_CABLE} AS bucket, {MEASURES}{DOMAINS} FROM contacts WHERE email_category = 'Cable_Provider' GROUP BY 1) WHERE bucket IS NOT NULL")
 def cable_breakdown(spark, sf):
     return stats.cable_breakdown(both(spark, sf)[0])
 
@@ -143,7 +151,12 @@ def gi_hosting_category(spark, sf):
     return stats.by_mx_category(*both(spark, sf), ("Fastmail", "ProtonMail", "Amazon"))
 
 
-@query(f"SELECT CASE WHEN mx_primary ILIKE '%secureserver.net%' THEN 'godaddy' WHEN mx_primary ILIKE '%hostgator%' THEN 'hostgator' END AS bucket, {MEASURES}{DOMAINS} FROM contacts JOIN (SELECT domain, mx_primary, mx_category AS mc FROM dim) ON domain = email_domain WHERE email_category = 'General_Internet' AND mc IN ('Real_GI', 'General_Internet') AND (mx_primary ILIKE '%secureserver.net%' OR mx_primary ILIKE '%hostgator%') GROUP BY 1")
+_HOSTS = """CASE WHEN mx_primary ILIKE '%secureserver.net%' THEN 'godaddy' WHEN mx_primary ILIKE '%ionos%' OR mx_primary ILIKE '%1and1%' THEN '1and1'
+  WHEN mx_primary ILIKE '%hostgator%' OR mx_primary ILIKE '%websitewelcome%' THEN 'hostgator' WHEN mx_primary ILIKE '%privateemail.com%' OR mx_primary ILIKE '%registrar-servers%' THEN 'namecheap'
+  WHEN mx_primary ILIKE '%zoho%' THEN 'zoho' WHEN mx_primary ILIKE '%cloudflare.net%' THEN 'cloudflare' END"""
+
+
+@query(f"SELECT * FROM (SELECT {_HOSTS} AS bucket, {MEASURES}{DOMAINS} FROM contacts JOIN (SELECT domain, mx_primary, mx_category AS mc FROM dim) ON domain = email_domain WHERE email_category = 'General_Internet' AND mc IN ('Real_GI', 'General_Internet') GROUP BY 1) WHERE bucket IS NOT NULL")
 def gi_hosting(spark, sf):
     return stats.by_hosting(*both(spark, sf))
 
@@ -222,11 +235,11 @@ def file_source_unnest(spark, sf):
 # Duplicates and merging
 
 _PRIORITY = """CASE WHEN is_clicker THEN 1000 ELSE 0 END + CASE WHEN is_opener THEN 500 ELSE 0 END + CASE WHEN validation_status = 'Verified' THEN 200 ELSE 0 END
-  + 10 * (""" + " + ".join(f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN 1 ELSE 0 END" for c in ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "signup_date")) + ") + CASE WHEN data_source <> 'Unknown' THEN 50 ELSE 0 END"
+  + 10 * (""" + " + ".join(f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN 1 ELSE 0 END" for c in ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "dob", "signup_date", "signup_ip")) + ") + CASE WHEN data_source <> 'Unknown' THEN 50 ELSE 0 END"
 _RANKED = f", ranked AS (SELECT *, CAST({_PRIORITY} AS INTEGER) AS priority, row(CAST({_PRIORITY} AS INTEGER), -file_ordinal, -row_ordinal) AS rk FROM contacts)"
-_FILLED = ", ".join(f"arg_max({c}, rk) FILTER (WHERE coalesce({c}, '') <> '') AS {c}" for c in ("first_name", "last_name", "city", "state", "zipcode", "phone", "gender"))
+_FILLED = ", ".join(f"arg_max({c}, rk) FILTER (WHERE coalesce({c}, '') <> '') AS {c}" for c in ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "gender", "dob", "signup_domain", "signup_ip", "country", "custom1"))
 _MERGED = f"arg_max(contact_id, rk) AS contact_id, arg_max(data_source, rk) AS data_source, arg_max(quality_score, rk) AS quality_score, {_FILLED}, bool_or(is_clicker) AS is_clicker, bool_or(is_opener) AS is_opener, CASE WHEN bool_or(coalesce(validation_status = 'Verified', false)) THEN 'Verified' ELSE arg_max(coalesce(validation_status, ''), rk) END AS validation_status, array_to_string(list_sort(list_distinct(flatten(list(file_sources)))), ',') AS file_sources"
-_MERGE_COLUMNS = ("contact_id", "data_source", "quality_score", "first_name", "last_name", "city", "state", "zipcode", "phone", "gender", "is_clicker", "is_opener")
+_MERGE_COLUMNS = ("contact_id", "data_source", "quality_score", "first_name", "last_name", "address", "city", "state", "zipcode", "phone", "gender", "dob", "signup_domain", "signup_ip", "country", "custom1", "is_clicker", "is_opener")
 
 
 def _merged_columns(rows):
@@ -254,12 +267,29 @@ def incremental_dedup(spark, sf):
 
 
 def _master_batch(spark, sf):
+    """File 0 is the stored table, file 1 the batch: addresses of either alone and of both."""
     rows = contacts(spark, sf).drop("mx_valid", "mx_category", "is_spamtrap")
-    first = merge.merge_duplicates(rows.filter("file_ordinal = 0 AND contact_id % 3 <> 0")).drop("n_merged")
-    return first, merge.merge_duplicates(rows.filter("file_ordinal = 1")).drop("n_merged")
+    half = lambda f: merge.merge_duplicates(rows.filter(F.col("file_ordinal") == f)).drop("n_merged")
+    return half(0), half(1)
+
+
+_HALVES = _RANKED + f", half AS (SELECT * REPLACE (nullif(validation_status, '') AS validation_status) FROM (SELECT file_ordinal, email, {_merged_sql(_MERGED)} FROM ranked GROUP BY email, file_ordinal)), master AS (SELECT * FROM half WHERE file_ordinal = 0), batch AS (SELECT * FROM half WHERE file_ordinal = 1)"
+_OUTCOME = "CASE WHEN o.email IS NULL THEN 'inserted' WHEN n.email IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome"
+
 
+def _enrich_sql(new_first: tuple[str, ...], old_first: tuple[str, ...]) -> str:
+    wins = [f"coalesce(n.{c}, o.{c}) AS {c}" for c in new_first] + [f"coalesce(o.{c}, n.{c}) AS {c}" for c in ("email", "contact_id", *old_first)]
+    rest = "coalesce(o.is_clicker, false) OR coalesce(n.is_clicker, false) AS is_clicker, greatest(coalesce(o.quality_score, 0), coalesce(n.quality_score, 0)) AS quality_score, concat_ws(',', o.file_sources, n.file_sources) AS file_sources"
+    return f"{_HALVES} SELECT {', '.join(wins)}, {rest}, {_OUTCOME} FROM master o FULL JOIN batch n ON o.email = n.email"
 
-_HALVES = _RANKED + ", master AS (SELECT * FROM ranked WHERE file_ordinal = 0 AND contact_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY email ORDER BY rk DESC) = 1), batch AS (SELECT * FROM ranked WHERE file_ordinal = 1 QUALIFY row_number() OVER (PARTITION BY email ORDER BY rk DESC) = 1)"
+
+_SEVEN = ("first_name", "last_name", "address", "city", "state", "zipcode", "phone")
+_LATE = ("dob", "gender", "signup_domain", "signup_ip")
+
+
+def _enriched(spark, sf, fields):
+    out = merge.enrich(*_master_batch(spark, sf), fields)
+    return out.select("email", "contact_id", *_SEVEN, *_LATE, "validation_status", "is_clicker", "quality_score", F.array_join("file_sources", ",").alias("file_sources"), "outcome")
 
 
 @query(_HALVES + " SELECT email, contact_id, file_ordinal FROM master UNION ALL SELECT email, contact_id, file_ordinal FROM batch WHERE email NOT IN (SELECT email FROM master)")
@@ -267,13 +297,17 @@ def insert_if_absent(spark, sf):
     return merge.insert_if_absent(*_master_batch(spark, sf)).select("email", "contact_id", "file_ordinal")
 
 
-@query(_HALVES + " SELECT coalesce(o.email, n.email) AS email, coalesce(o.contact_id, n.contact_id) AS contact_id, coalesce(n.first_name, o.first_name) AS first_name, coalesce(n.last_name, o.last_name) AS last_name, coalesce(n.phone, o.phone) AS phone, coalesce(o.is_clicker, false) OR coalesce(n.is_clicker, false) AS is_clicker, greatest(coalesce(o.quality_score, 0), coalesce(n.quality_score, 0)) AS quality_score, array_to_string(list_concat(o.file_sources, n.file_sources), ',') AS file_sources, CASE WHEN o.email IS NULL THEN 'inserted' WHEN n.email IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome FROM master o FULL JOIN batch n ON o.email = n.email")
+@query(_enrich_sql(_SEVEN, (*_LATE, "validation_status")))
+def enrich_upsert_basic(spark, sf):
+    return _enriched(spark, sf, merge.ENRICH)
+
+
+@query(_enrich_sql((*_SEVEN, *_LATE), ("validation_status",)))
 def enrich_upsert(spark, sf):
-    out = merge.enrich(*_master_batch(spark, sf), merge.ENRICH_IMPORT)
-    return out.select("email", "contact_id", "first_name", "last_name", "phone", "is_clicker", "quality_score", F.array_join("file_sources", ",").alias("file_sources"), "outcome")
+    return _enriched(spark, sf, merge.ENRICH_IMPORT)
 
 
-@query(_HALVES + " SELECT CASE WHEN o.email IS NULL THEN 'inserted' WHEN n.email IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome, count(*) AS n FROM master o FULL JOIN batch n ON o.email = n.email GROUP BY 1")
+@query(_HALVES + f" SELECT {_OUTCOME}, count(*) AS n FROM master o FULL JOIN batch n ON o.email = n.email GROUP BY 1")
 def upsert_counts(spark, sf):
     return merge.outcome_counts(merge.enrich(*_master_batch(spark, sf)))
 
@@ -339,10 +373,10 @@ def reset_dead(spark, sf):
     return mx.reset(dimension(contacts(spark, sf))).select("domain", "mx_category", F.col("checked_at").isNull().alias("unchecked"), "is_valid")
 
 
-@query("SELECT coalesce(d.domain, g.domain) AS domain, coalesce(g.domain IS NOT NULL OR d.is_gi, g.domain IS NOT NULL) AS is_gi, d.domain IS NULL AS is_new FROM (SELECT * FROM dim WHERE length(domain) % 2 = 0) d FULL JOIN (SELECT DISTINCT email_domain AS domain FROM contacts WHERE email_category = 'General_Internet') g ON d.domain = g.domain")
+@query("SELECT coalesce(d.domain, g.domain) AS domain, coalesce(g.domain IS NOT NULL OR d.is_gi, g.domain IS NOT NULL) AS is_gi, d.domain IS NULL AS is_new FROM (SELECT * FROM dim WHERE domain IN (SELECT email_domain FROM contacts0 WHERE file_ordinal = 0)) d FULL JOIN (SELECT DISTINCT email_domain AS domain FROM contacts WHERE email_category = 'General_Internet') g ON d.domain = g.domain")
 def sync_gi(spark, sf):
     rows = contacts(spark, sf)
-    return mx.sync_gi(rows, dimension(rows).filter("length(domain) % 2 = 0"))
+    return mx.sync_gi(rows, dimension(rows.filter("file_ordinal = 0")))  # the dimension as it was before file 1 came
 
 
 @query("SELECT count(*) AS total, count(checked_at) AS checked, count(*) - count(checked_at) AS unchecked, count(*) FILTER (WHERE is_gi) AS gi, count(*) FILTER (WHERE is_gi AND checked_at IS NULL) AS gi_unchecked, count(*) FILTER (WHERE NOT is_valid) AS dead FROM dim")
@@ -355,7 +389,7 @@ def scan_stats(spark, sf):
     return stats.scan_stats(dimension(contacts(spark, sf)))
 
 
-@query("SELECT CASE WHEN mx_category IN ('Google', 'Microsoft', 'Yahoo', 'Real_GI', 'General_Internet', 'Dead') THEN mx_category ELSE 'Other' END AS host_category, count(*) AS n FROM dim GROUP BY 1")
+@query("SELECT CASE WHEN mx_category IN ('Google', 'Microsoft', 'Yahoo', 'HostGator', 'GoDaddy', '1and1', 'Zoho', 'Real_GI', 'General_Internet', 'Dead', 'Parked') THEN mx_category ELSE 'Other' END AS host_category, count(*) AS n FROM dim GROUP BY 1")
 def host_histogram(spark, sf):
     return stats.host_histogram(dimension(contacts(spark, sf)))
 
@@ -382,9 +416,9 @@ _SEGMENTS = [Segment(clickers=True, openers=True), Segment(category="General_Int
 _UNION = "(is_clicker OR is_opener) OR (email_category = 'General_Internet' AND mx_category IN ('Google', 'Microsoft', 'Yahoo')) OR (email_provider = 'Yahoo' AND quality_score < 40) OR (validation_status = 'Verified' AND state IN ('NY', 'CA') AND coalesce(phone, '') <> '')"
 
 
-@query("SELECT email, contact_id, quality_score FROM contacts WHERE file_ordinal = 0 AND email_category = 'General_Internet' ORDER BY quality_score DESC NULLS LAST, email LIMIT 50 OFFSET 20")
+@query(_RANKED + f" SELECT email, contact_id, quality_score FROM (SELECT email, any_value(email_category) AS email_category, {_merged_sql(_MERGED)} FROM ranked GROUP BY email) WHERE email_category = 'General_Internet' ORDER BY quality_score DESC NULLS LAST, email LIMIT 50 OFFSET 20")
 def filter_query_page(spark, sf):
-    rows = segments.select(contacts(spark, sf).filter("file_ordinal = 0"), Segment(category="General_Internet", no_spamtraps=True))
+    rows = segments.select(merge.merge_duplicates(contacts(spark, sf)), Segment(category="General_Internet", no_spamtraps=True))
     return segments.page(rows, limit=50, offset=20).select("email", "contact_id", "quality_score")
 
 
@@ -435,12 +469,108 @@ def export_segment(spark, sf):
     return segments.export_rows(rows.select("email", "first_name", "state", "quality_score", "is_clicker", "signup_date", "file_sources"))
 
 
+# Imports
+
+_PLAIN = "CASE WHEN lower(trim(r.{c})) NOT IN ('null', 'none', '') THEN trim(r.{c}) END"
+_DAY = "coalesce(CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_strptime({x}, '%Y-%m-%d') END, CASE WHEN regexp_full_match({x}, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}') THEN try_strptime({x}, '%m/%d/%Y') END)"
+_IMPORTED = f""", imp AS (SELECT c.contact_id, c.file_ordinal, c.row_ordinal, c.email, c.email_domain, {", ".join(_PLAIN.format(c=c) + f" AS {c}" for c in ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "signup_ip", "signup_domain"))},
+  CASE WHEN upper(trim(r.gender)) IN ('MALE', 'M') THEN 'M' WHEN upper(trim(r.gender)) IN ('FEMALE', 'F') THEN 'F' ELSE left({_PLAIN.format(c="gender")}, 1) END AS gender,
+  CAST({_DAY.format(x="left(trim(r.dob), 10)")} AS DATE) AS dob, {_DAY.format(x="left(trim(r.signup_date), 10)")} AS signup_date, r.is_clicker, r.is_opener,
+  coalesce(rc, CASE WHEN ends_with(c.email_domain, '.rr.com') THEN 'Cable_Provider' END, 'General_Internet') AS category
+  FROM checked c JOIN raw r USING (contact_id, file_ordinal) LEFT JOIN rules ON domain = c.email_domain
+  WHERE coalesce(reject_reason, '') NOT IN ('missing_email', 'invalid_format') AND c.email_domain NOT IN ('example.com', 'test.com', 'asdf.com', 'amazon.com')),
+one AS (SELECT * FROM imp QUALIFY row_number() OVER (PARTITION BY email, file_ordinal ORDER BY row_ordinal) = 1)"""
+_IMPORT_FIELDS = ("first_name", "last_name", "address", "city", "state", "zipcode", "phone", "gender", "signup_ip", "signup_domain")
+
+
+@query(_IMPORTED + f" SELECT coalesce(o.email, n.email) AS email, coalesce(o.contact_id, n.contact_id) AS contact_id, {', '.join(f'coalesce(n.{c}, o.{c}) AS {c}' for c in _IMPORT_FIELDS)}, strftime(coalesce(n.dob, o.dob), '%Y-%m-%d') AS dob, strftime(coalesce(n.signup_date, o.signup_date), '%Y-%m-%d') AS signup_date, coalesce(o.is_clicker, false) OR coalesce(n.is_clicker, false) AS is_clicker, {_OUTCOME} FROM (SELECT * FROM one WHERE file_ordinal = 0) o FULL JOIN (SELECT * FROM one WHERE file_ordinal = 1) n ON o.email = n.email")
+def import_upsert(spark, sf):
+    rows = raw(spark, sf)
+    part = lambda f: rows.filter(F.col("file_ordinal") == f)
+    stored = importing.first_of_each(importing.staged(importing.records(part(0))))
+    out = importing.upsert(stored, part(1))
+    return out.select("email", "contact_id", *_IMPORT_FIELDS, F.date_format("dob", "yyyy-MM-dd").alias("dob"), F.date_format("signup_date", "yyyy-MM-dd").alias("signup_date"), "is_clicker", "outcome")
+
+
+@query(_IMPORTED + " SELECT bucket, count(i.b) AS n FROM (VALUES ('big4'), ('cable'), ('gi_valid'), ('gi_dead'), ('gi_new')) t(bucket) LEFT JOIN (SELECT CASE WHEN category = 'Big4_ISP' THEN 'big4' WHEN category = 'Cable_Provider' THEN 'cable' WHEN is_valid THEN 'gi_valid' WHEN NOT is_valid THEN 'gi_dead' ELSE 'gi_new' END AS b FROM imp LEFT JOIN dim ON domain = email_domain) i ON b = bucket GROUP BY 1")
+def import_counters(spark, sf):
+    return importing.counters(importing.records(raw(spark, sf)), dimension(contacts(spark, sf)))
+
+
+# Exports and further reports
+
+_DATES = {"dob": "dob", "signup_date": "strftime(signup_date, '%Y-%m-%d %H:%M:%S')", "created_at": "CAST(NULL AS VARCHAR)"}
+
+
+def _projection_sql(n: int, where: str) -> str:
+    return f"SELECT {', '.join(f'{_DATES[c]} AS {c}' if c in _DATES else c for c in segments.PROJECTIONS[n])} FROM contacts WHERE {where}"
+
+
+@query(_projection_sql(17, "email_category = 'Cable_Provider' AND is_opener"))
+def export_17(spark, sf):
+    return segments.project(segments.select(contacts(spark, sf), Segment(category="Cable_Provider", openers=True)), 17)
+
+
+@query(_projection_sql(18, "email_category = 'Big4_ISP' AND is_clicker"))
+def export_18(spark, sf):
+    return segments.project(segments.select(contacts(spark, sf), Segment(category="Big4_ISP", clickers=True)), 18)
+
+
+@query(f"SELECT DISTINCT * FROM ({_projection_sql(19, _UNION)})")
+def segment_union_rows(spark, sf):
+    rows = contacts(spark, sf)
+    return segments.union_rows(rows, _SEGMENTS, dimension(rows))
+
+
+@query("SELECT 'category' AS kind, c AS name, count(email_category) AS n, round(100.0 * count(email_category) / (SELECT count(*) FROM contacts), 2) AS pct FROM (VALUES ('Big4_ISP'), ('Cable_Provider'), ('General_Internet')) t(c) LEFT JOIN contacts ON email_category = c GROUP BY c UNION ALL SELECT * FROM (SELECT 'provider', email_provider, count(*) AS n, NULL FROM contacts WHERE coalesce(email_provider, '') <> '' GROUP BY 2 ORDER BY n DESC, 2 LIMIT 20) UNION ALL SELECT * FROM (SELECT 'brand', email_brand, count(*) AS n, NULL FROM contacts WHERE coalesce(email_brand, '') <> '' GROUP BY 2 ORDER BY n DESC, 2 LIMIT 20)")
+def category_statistics(spark, sf):
+    return stats.category_statistics(contacts(spark, sf))
+
+
+@query("SELECT unnest(['big4_clickers', 'cable_openers', 'glenn_verified', 'texas', 'clicker_verified']) AS name, unnest([count(*) FILTER (WHERE email_category = 'Big4_ISP' AND is_clicker), count(*) FILTER (WHERE email_category = 'Cable_Provider' AND is_opener), count(*) FILTER (WHERE data_source = 'Glenn' AND validation_status = 'Verified'), count(*) FILTER (WHERE state = 'TX'), count(*) FILTER (WHERE is_clicker AND validation_status = 'Verified')]) AS n FROM contacts")
+def sample_counts(spark, sf):
+    return stats.sample_counts(contacts(spark, sf))
+
+
+_LABELLED = "SELECT *, coalesce(hosting_provider, (SELECT arg_min(label, i) FROM labels WHERE contains(mx_primary, pat))) AS hp FROM dim"
+
+
+@query(f"SELECT count(*) AS domains, CAST(coalesce(sum(email_count), 0) AS BIGINT) AS emails FROM ({_LABELLED}) WHERE mx_category = 'General_Internet' AND is_valid AND coalesce(hp, '') = ''")
+def unidentified_hosts(spark, sf):
+    return stats.unidentified_hosts(mx.label_hosting(dimension(contacts(spark, sf))))
+
+
+_BANNERS = "SELECT *, CASE WHEN checked_at IS NOT NULL AND is_gi THEN checked_at END AS fingerprint_scanned, CASE dns_server WHEN '8.8.8.8' THEN 'SSH-2.0-OpenSSH_9.2p1 Debian-2+deb12u2' WHEN '1.1.1.1' THEN 'SSH-2.0-OpenSSH_8.4' END AS ssh_banner, CASE WHEN is_gi THEN '220 ' || domain || ' ESMTP' ELSE '220 x ESMTP Postfix' END AS smtp_banner FROM {d}"
+
+
+@query(f"SELECT mx_primary, ssh_banner, smtp_banner, count(*) AS domains, CAST(sum(email_count) AS BIGINT) AS emails FROM ({_BANNERS.format(d='dim')}) WHERE fingerprint_scanned IS NOT NULL AND is_spamtrap IS NOT TRUE AND ((ssh_banner LIKE '%OpenSSH_9.2p1%' AND ssh_banner LIKE '%Debian%' AND ssh_banner LIKE '%deb12%') OR regexp_matches(smtp_banner, '^220\\s+\\S+\\s+ESMTP\\s*$')) GROUP BY 1, 2, 3")
+def suspicious_summary(spark, sf):
+    return stats.suspicious_summary(spark.sql(_BANNERS.format(d="{d}"), d=dimension(contacts(spark, sf))))
+
+
+@query(f"SELECT DISTINCT mx_primary FROM ({_BANNERS.format(d='dim')}) WHERE is_valid AND mx_category = 'General_Internet' AND is_spamtrap IS NOT TRUE AND mx_primary IS NOT NULL AND fingerprint_scanned IS NULL")
+def hosts_to_scan(spark, sf):
+    return stats.hosts_to_scan(spark.sql(_BANNERS.format(d="{d}"), d=dimension(contacts(spark, sf))))
+
+
+@query("SELECT domain, mx_primary, email_count FROM dim WHERE mx_primary ILIKE '%google%'")
+def host_matches(spark, sf):
+    return stats.host_matches(dimension(contacts(spark, sf)), "GOOGLE")
+
+
+@query("SELECT domain, CASE dns_server WHEN '8.8.8.8' THEN 'Google-1' WHEN '1.1.1.1' THEN 'Cloudflare-1' ELSE dns_server END AS resolver FROM dim")
+def resolver_names(spark, sf):
+    return dimension(contacts(spark, sf)).select("domain", S.resolver_name(F.col("dns_server")).alias("resolver"))
+
+
 # Cells
 
-_CELLS = "SELECT 0 AS pos, url AS value FROM {p} UNION ALL SELECT 1, CAST(page_id AS VARCHAR(20)) FROM {p} UNION ALL SELECT 2, c_name FROM {c} UNION ALL SELECT 3, CASE c_custkey % 7 WHEN 0 THEN 'a@b.com' WHEN 1 THEN '10.0.0.1' WHEN 2 THEN '2024-01-02' WHEN 3 THEN 'tx' WHEN 4 THEN '12345' WHEN 5 THEN 'female' ELSE '(743) 555-0101' END FROM {c} UNION ALL SELECT 4, CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE 'www.x.org' END FROM {c}"
+_CELLS = "SELECT 0 AS pos, url AS value FROM {p} UNION ALL SELECT 1, CAST(page_id AS VARCHAR(20)) FROM {p} UNION ALL SELECT 2, c_name FROM {c} UNION ALL SELECT 3, CASE c_custkey % 7 WHEN 0 THEN 'a@b.com' WHEN 1 THEN '10.0.0.1' WHEN 2 THEN '2024-01-02' WHEN 3 THEN substr('txNYdcCaguzz', CAST(1 + 2 * (c_custkey % 6) AS INT), 2) WHEN 4 THEN '12345' WHEN 5 THEN 'female' ELSE '(743) 555-0101' END FROM {c} UNION ALL SELECT 4, CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE 'www.x.org' END FROM {c}"
+# State and territory codes.
+_STATES = "'AL', 'AK', 'AZ', 'AR', 'CA', 'CO', 'CT', 'DE', 'DC', 'FL', 'GA', 'HI', 'ID', 'IL', 'IN', 'IA', 'KS', 'KY', 'LA', 'ME', 'MD', 'MA', 'MI', 'MN', 'MS', 'MO', 'MT', 'NE', 'NV', 'NH', 'NJ', 'NM', 'NY', 'NC', 'ND', 'OH', 'OK', 'OR', 'PA', 'RI', 'SC', 'SD', 'TN', 'TX', 'UT', 'VT', 'VA', 'WA', 'WV', 'WI', 'WY', 'PR', 'VI', 'GU', 'AS', 'MP'"
 _TYPE = r"""CASE WHEN trim(coalesce(value, '')) = '' THEN 'empty' WHEN regexp_matches(trim(value), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$') THEN 'email' WHEN regexp_full_match(trim(value), '\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}') THEN 'ip'
-  WHEN regexp_matches(trim(value), '^\d{1,4}[-/]\d{1,2}[-/]\d{1,4}') THEN 'date' WHEN upper(trim(value)) IN ('TX') THEN 'state' WHEN regexp_full_match(trim(value), '\d{5}(-\d{4})?') THEN 'zip' WHEN upper(trim(value)) IN ('M', 'F', 'MALE', 'FEMALE') THEN 'gender'
-  WHEN length(regexp_replace(value, '\D', '', 'g')) BETWEEN 7 AND 15 AND regexp_full_match(trim(value), '[\d\-\(\)\s\.]{7,20}') THEN 'phone' WHEN value LIKE 'http%' OR regexp_matches(value, '\.com|\.net|\.org') THEN 'domain' ELSE 'text' END"""
+  WHEN regexp_matches(trim(value), '^\d{1,4}[-/]\d{1,2}[-/]\d{1,4}') THEN 'date' WHEN upper(trim(value)) IN (__STATES__) THEN 'state' WHEN regexp_full_match(trim(value), '\d{5}(-\d{4})?') THEN 'zip' WHEN upper(trim(value)) IN ('M', 'F', 'MALE', 'FEMALE') THEN 'gender'
+  WHEN length(regexp_replace(value, '\D', '', 'g')) BETWEEN 7 AND 15 AND regexp_full_match(trim(value), '[\d\-\(\)\s\.]{7,20}') THEN 'phone' WHEN value LIKE 'http%' OR regexp_matches(value, '\.com|\.net|\.org') THEN 'domain' ELSE 'text' END""".replace("__STATES__", _STATES)
 _TYPED = f"WITH cells AS ({_CELLS.format(p='pages', c='customer')}), typed AS (SELECT pos, {_TYPE} AS cell_type FROM cells)"
 
 

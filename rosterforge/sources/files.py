@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,20 @@ from rosterforge.sources import infer
 
 #: Rows of a file that inference looks at.
 SAMPLE = 1000
+#: Columns of the readers: the whole record of a row that does not fit, and the cells beyond the named columns.
+RAW, OVERFLOW = "_record", "overflow"
 RECORD = ("email", "first_name", "last_name", "address", "city", "state", "zipcode", "phone", "dob", "gender", "signup_date", "signup_domain", "signup_ip", "validation_status", "country")
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
-    """(path, name, length, modified) of contact files below ``root``, largest first; contents are not read."""
+    """(path, name, length, modified) of contact files below ``root``, largest first; contents are not read.
+
+    Paths that contain a skipped word anywhere, or a hidden folder, are left out.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     rows = files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.col("modificationTime").alias("modified"))
-    wanted = F.lower("name").rlike(r"\.(csv|txt|zip)$") & ~F.lower("name").rlike("|".join(R.EXCLUDED_NAMES)) & ~F.col("path").rlike(r"/(\.|__pycache__/|logs/|output/)")
+    skipped = reduce(lambda a, b: a | b, [F.contains(F.lower("path"), F.lit(w)) for w in R.SKIPPED_PATHS])
+    wanted = F.lower("name").rlike(r"\.(csv|txt|zip|rar)$") & ~F.lower("name").rlike("|".join(R.EXCLUDED_NAMES)) & ~skipped & ~F.col("path").rlike(r"/\.")
     return rows.filter(wanted).orderBy(F.col("length").desc(), "path")
 
 
@@ -54,27 +61,54 @@ def sniff(spark: SparkSession, path: str) -> dict:
     return {"path": path, "encoding": "ISO-8859-1" if code == "latin-1" else "UTF-8", "sep": sep, "header": header, "names": names, "mapping": infer.map_headers(names, body), "sample": body}
 
 
-def read_csv(spark: SparkSession, path: str, facts: dict | None = None, spare: int = 16) -> DataFrame:
-    """All rows as strings, none dropped: short rows padded with '', more cells than names in extra_<i>.
+def quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line of the file holds an odd number of quotes, as where a quoted cell goes on in the next line."""
+    return not spark.read.text(path).filter("(length(value) - length(replace(value, '\"', ''))) % 2 = 1").isEmpty()
+
+
+def cells_of(record: Column, sep: str) -> Column:
+    """The cells of one delimited record: separators inside quotes don't part it, outer quotes go, doubled ones count once."""
+    literal = "\\" + sep if sep in "|.*+?()[]{}^$\\" else sep
+    parts = F.split(record, literal + '(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(parts, lambda c: F.replace(F.regexp_replace(S.strip(c), r'(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+
+
+def read_csv(spark: SparkSession, path: str, facts: dict | None = None) -> DataFrame:
+    """All rows as strings, none dropped: short rows padded with '', cells beyond the names in the array ``overflow``.
 
-    ``spare`` columns stand ready for rows that are wider than any in the sample; those
-    that stay empty in the sample are kept too, as the rest of the file isn't read ahead.
+    Files with line breaks inside quotes are read whole by one task each, as no split of
+    them is safe; all others are split.
     """
     f = facts or sniff(spark, path)
-    names = f["names"] + [f"spare_{i}" for i in range(spare)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = spark.read.csv(path, schema=schema, sep=f["sep"], encoding=f["encoding"], mode="PERMISSIVE", quote='"', escape='"', enforceSchema=True, header=f["header"])
-    return rows.select(*[F.coalesce(S.strip(F.col(f"`{n}`")), F.lit("")).alias(n) for n in names])
+    names = f["names"]
+    schema = ", ".join(f"`{n}` string" for n in [*names, RAW])
+    # A row with another number of cells than names comes with its whole record beside it.
+    options = {"sep": f["sep"], "encoding": f["encoding"], "quote": '"', "escape": '"', "header": f["header"], "enforceSchema": True, "columnPruning": False, "multiLine": quoted_breaks(spark, path)}
+    rows = spark.read.options(**options).csv(path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW)
+    none = F.array().cast("array<string>")
+    every = cells_of(F.regexp_replace(RAW, r"[\r\n]+$", ""), f["sep"])
+    more = F.when(F.col(RAW).isNotNull(), S.let(every, lambda c: F.when(F.size(c) > len(names), F.slice(c, len(names) + 1, F.size(c))).otherwise(none))).otherwise(none)
+    return rows.select(*[F.coalesce(S.strip(F.col(f"`{n}`")), F.lit("")).alias(n) for n in names], more.alias(OVERFLOW))
 
 
 def read_txt(spark: SparkSession, path: str, extras: int = 8) -> DataFrame:
-    """Per line: the first cell with @ (else the first) is the e-mail, the others are column_1 and so on; blank lines go."""
-    cells = F.filter(F.transform(F.split(F.col("value"), ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: S.strip(F.regexp_replace(c, '^\\s*"|"\\s*$', ""))), lambda c: c != "")
-    rows = spark.read.text(path).select(cells.alias("c")).filter(F.size("c") > 0)
+    """Per line: the first cell with @ (else the first) is the e-mail, the others are column_1 and so on; blank lines go.
+
+    Cells beyond ``extras`` others are in the array ``overflow``.
+    """
+    return loose_rows(spark.read.text(path), extras)
+
+
+def loose_rows(lines: DataFrame, extras: int = 8) -> DataFrame:
+    """As :func:`read_txt`, from a column ``value`` of lines."""
+    cells = F.filter(cells_of(F.col("value"), ","), lambda c: c != "")
+    rows = lines.select(cells.alias("c")).filter(F.size("c") > 0)
     at = F.array_position(F.transform("c", lambda c: F.contains(c, F.lit("@"))), True)
     rows = rows.withColumn("at", F.greatest(at, F.lit(1)).cast("int"))
     rest = F.filter(F.col("c"), lambda _, i: i != F.col("at") - 1)
-    return rows.select(F.element_at("c", F.col("at")).alias("email"), *[F.get(rest, F.lit(i)).alias(f"column_{i + 1}") for i in range(extras)])
+    rows = rows.select(F.element_at("c", F.col("at")).alias("email"), rest.alias("c"))
+    more = F.when(F.size("c") > extras, F.slice("c", extras + 1, F.size("c"))).otherwise(F.array().cast("array<string>"))
+    return rows.select("email", *[F.get("c", F.lit(i)).alias(f"column_{i + 1}") for i in range(extras)], more.alias(OVERFLOW))
 
 
 def read_zip(spark: SparkSession, path: str) -> DataFrame:
@@ -110,17 +144,27 @@ def to_records(rows: DataFrame, mapping: dict[str, str], file_ordinal: int = 0)
     Rows without an e-mail cell go.
     """
     out = [(F.col(f"`{mapping[f]}`") if f in mapping else F.lit(None).cast("string")).alias(f) for f in RECORD]
-    rest = [F.left(F.col(f"`{c}`"), F.lit(500)) for c in rows.columns if c not in mapping.values()]
-    filled = F.filter(F.array(*rest), lambda c: F.coalesce(c, F.lit("")) != "") if rest else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in mapping.values() and c != OVERFLOW]
+    every = F.concat(F.array(*rest) if rest else none, F.col(OVERFLOW) if OVERFLOW in rows.columns else none)
+    filled = F.transform(F.filter(every, lambda c: F.coalesce(c, F.lit("")) != ""), lambda c: F.left(c, F.lit(500)))
     more = [F.get(filled, F.lit(i)).alias(f"custom{i + 1}") for i in range(5)]
     return rows.select(*out, *more, F.lit(file_ordinal).alias("file_ordinal"), F.monotonically_increasing_id().alias("row_ordinal")).filter("email IS NOT NULL AND email <> ''")
 
 
 def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> DataFrame:
-    """Any contact file as fixed records, with what its name tells."""
-    if path.lower().endswith(".txt"):
-        rows = read_txt(spark, path)
-        mapping = {"email": "email"}
+    """Any contact file as fixed records, with what its name tells.
+
+    Members of a ZIP archive are loose lines, like a text file's; RAR archives give no rows,
+    as no reader for them is at hand.
+    """
+    low = path.lower()
+    if low.endswith(".rar"):
+        rows, mapping = loose_rows(spark.createDataFrame([], "value string")), {"email": "email"}
+    elif low.endswith(".zip"):
+        rows, mapping = loose_rows(read_zip(spark, path).select(F.col("line").alias("value"))), {"email": "email"}
+    elif low.endswith(".txt"):
+        rows, mapping = read_txt(spark, path), {"email": "email"}
     else:
         facts = sniff(spark, path)
         rows, mapping = read_csv(spark, path, facts), facts["mapping"]

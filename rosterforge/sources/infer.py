@@ -34,10 +34,9 @@ def encoding(head: bytes) -> str:
 
 
 def is_header(cells: list[str]) -> bool:
-    """A first row with a known field name and no address in it."""
+    """A first row with a header word in one of its cells and no address in any."""
     low = [c.strip().lower() for c in cells]
-    known = {n for names in R.SYNONYMS.values() for n in names}
-    return any(c in known or "email" in c for c in low) and not any(_EMAIL.fullmatch(c) for c in low)
+    return any(w in c for w in R.HEADER_WORDS for c in low) and not any(_EMAIL.fullmatch(c) for c in low)
 
 
 def unique_names(cells: list[str]) -> list[str]:

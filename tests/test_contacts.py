@@ -35,6 +35,9 @@ SCALARS = [
     (S.mx_modifier, {"Apple": 5, "Parked": -100, "Real_GI": 0, "Fastmail": 2}),
     (S.hosting_label, {"MX.zoho.eu": "Zoho", "a.b": None}),
     (S.cell_type, {"a@b.com": "email", "10.0.0.1": "ip", "2024-01-02": "date", "tx": "state", "12345": "zip", "F": "gender", "(743) 555-0101": "phone", "www.x.org": "domain", "hello": "text", " ": "empty"}),
+    (S.search_domain, {" HTTPS://Shop.Example.org/a?b ": "shop.example.org", "x.org": "x.org"}),
+    (S.search_email, {" Bob@X.org ": "bob@x.org"}),
+    (lambda c: S.lineage_text(F.array(c, F.lit("b"))), {'a,"x"{y}.csv': "{a_xy.csv,b}"}),
     (S.import_file_type, {"a_CLICK.csv": "clicker", "opens.csv": "opener", "pure.csv": "email_only", "x.csv": "unknown"}),
 ]
 
@@ -46,7 +49,7 @@ def test_scalars(spark, f, cases):
 
 
 def test_python_and_spark_cell_types_agree(spark):
-    cells = [*SCALARS[-2][1], "99999-1234", "1/2/3", "male", "http://x", "12 34 56 7", "zz", None]
+    cells = [*dict(SCALARS)[S.cell_type], "99999-1234", "1/2/3", "male", "http://x", "12 34 56 7", "zz", None]
     got = spark.createDataFrame([(c,) for c in cells], "x string").select(S.cell_type(F.col("x"))).collect()
     assert [r[0] for r in got] == [infer.cell_type(c) for c in cells]
 
@@ -64,16 +67,25 @@ def _norm(frame):
 
 @pytest.fixture(scope="module")
 def duck(sf):
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    con = {}
+    for sf_dir in (sf, sf.replace("sf0.001", "sf0.01")):
+        con[sf_dir] = duckdb.connect()
+        for t in TABLES:
+            con[sf_dir].execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_queries_against_duckdb(spark, sf, duck, name):
-    got, want = catalog.QUERIES[name](spark, sf).toPandas(), duck.execute(catalog.ORACLES[name]).df()
-    assert sorted(got.columns) == sorted(want.columns) and _norm(got) == _norm(want)
+def test_queries_against_duckdb(spark, duck, name):
+    for sf_dir, con in duck.items():
+        got, want = catalog.QUERIES[name](spark, sf_dir).toPandas(), con.execute(catalog.ORACLES[name]).df()
+        assert sorted(got.columns) == sorted(want.columns) and _norm(got) == _norm(want), sf_dir
+
+
+def test_every_bucket_of_the_breakdowns_has_rows(spark, sf):
+    every = {"cable_breakdown": ("bucket", {k for k, _ in R.CABLE_BUCKETS}), "gi_hosting": ("bucket", {k for k, _ in R.HOSTING_BUCKETS}), "upsert_counts": ("outcome", {"inserted", "updated", "kept"}), "sync_gi": ("is_new", {True, False})}
+    for name, (column, want) in every.items():
+        assert {r[0] for r in catalog.QUERIES[name](spark, sf.replace("sf0.001", "sf0.01")).select(column).collect()} == want, name
 
 
 def test_merge_fills_and_is_idempotent(spark):
@@ -127,6 +139,37 @@ def test_txt_and_zip_files(spark, tmp_path):
     assert sorted((r["member"], r["line"]) for r in files.read_zip(spark, str(tmp_path / "a.zip")).collect()) == [("one.csv", "a"), ("one.csv", "b")]
 
 
+def test_csv_files_lose_nothing(spark, tmp_path):
+    wide = tmp_path / "wide.csv"
+    lines = [f"p{i}@b.com,n{i}" for i in range(files.SAMPLE + 50)] + ["late@b.com,x," + ",".join(f"c{i}" for i in range(100)), 'quo@b.com,"a ""b"", c",d']
+    wide.write_text("Contact E-mail,Full Name\n" + "\n".join(lines) + "\n")
+    got = {r[0]: r for r in files.read_csv(spark, str(wide)).collect()}
+    assert len(got) == len(lines) and got["late@b.com"]["overflow"] == [f"c{i}" for i in range(100)]
+    assert (got["quo@b.com"][1], got["quo@b.com"]["overflow"], got["p3@b.com"]["overflow"]) == ('a "b", c', ["d"], [])
+    broken = tmp_path / "broken.csv"
+    broken.write_text('Email,Note,State\na@b.com,"two\nlines, one cell",tx\nc@d.org,plain,ny,"more\nthere"\n')
+    got = {r["Email"]: r for r in files.read_csv(spark, str(broken)).collect()}
+    assert len(got) == 2 and (got["a@b.com"]["Note"], got["a@b.com"]["State"]) == ("two\nlines, one cell", "tx") and got["c@d.org"]["overflow"] == ["more\nthere"]
+    text = tmp_path / "list.txt"
+    text.write_text(",".join(["x", "a@b.com", *(f"c{i}" for i in range(11))]) + "\n")
+    (r,) = files.read_txt(spark, str(text)).collect()
+    assert [r[f"column_{i}"] for i in range(1, 9)] + r["overflow"] == ["x", *(f"c{i}" for i in range(11))]
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("in/one.txt", "Ann,a@b.com\n\nc@d.org\n")
+    assert sorted((r["email"], r["custom1"]) for r in files.read_contacts(spark, str(tmp_path / "a.zip")).collect()) == [("a@b.com", "Ann"), ("c@d.org", None)]
+
+
+def test_headers_by_words():
+    assert infer.is_header(["Contact Name", "Mobile Number", "Opt"]) and not infer.is_header(["Ann", "a@b.com", "city"]) and not infer.is_header(["Ann", "Lee"])
+
+
+def test_rule_values():
+    rules = {r[0]: r[1:] for r in R.domain_rules()}
+    assert rules["gmail.com"] == ("Google", "Gmail", "Big4_ISP") and rules["comcast.net"][2] == "Cable_Provider" and "shop1.org" not in rules
+    assert R.TYPOS["gmial.com"] == "gmail.com" and R.STATES["NEW YORK"] == "NY" and {"info", "admin"} <= set(R.ROLES) and dict(R.HOSTING_LABELS)["secureserver.net"] == "GoDaddy"
+    assert ".de" in R.COUNTRY_TLDS and ".co.uk" in R.COUNTRY_TLDS and R.RESOLVERS["9.9.9.10"] == "Quad9-1" and len(R.RESOLVERS) == 12 and len(R.HEADER_WORDS) == 20
+
+
 def test_headers_and_types():
     assert infer.unique_names(["email", "", "email", "name"]) == ["email", "column_1", "email_2", "name"]
     assert infer.map_types(["text", "text", "email", "text", "phone"]) == {"email": 2, "phone": 4, "first_name": 0, "last_name": 1, "address": 3}
