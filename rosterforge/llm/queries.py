@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import bpe, embeddings, exact_dedup, huffman, lines, minhash, packing, pii, quality, sharding
+from rosterforge.llm import bpe, chunks, embeddings, exact_dedup, huffman, lines, minhash, packing, pii, quality, sharding
 from rosterforge.llm.common import read_table
 
 
@@ -66,6 +66,19 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_index(*huffman.write_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    both = chunks.decode_tokens(chunks.encode_chunks(read_table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 _ALL = (
     op1_embedding_dedup,
     op2_exact_dedup,
@@ -77,6 +90,7 @@ _ALL = (
     op8_byte_bpe,
     op9_pii_field,
     op10_huffman_ids,
+    op13_chunk_bpe,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op1_embedding_dedup": embeddings.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op7_hyperminhash_dedup": minhash.ORACLE}
