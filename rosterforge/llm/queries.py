@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import bpe, chunks, conversations, embeddings, exact_dedup, huffman, lines, minhash, packing, pii, quality, sharding
+from rosterforge.llm import bpe, chunks, collocations, conversations, embeddings, exact_dedup, huffman, lines, minhash, packing, pii, quality, sharding
 from rosterforge.llm.common import read_table
 
 
@@ -66,6 +66,10 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_index(*huffman.write_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(read_table(spark, sf_dir, "conversations"))
 
@@ -94,8 +98,9 @@ _ALL = (
     op8_byte_bpe,
     op9_pii_field,
     op10_huffman_ids,
+    op11_collocations,
     op12_conversation_repair,
     op13_chunk_bpe,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op1_embedding_dedup": embeddings.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op7_hyperminhash_dedup": minhash.ORACLE}
+ORACLES: dict[str, str] = {"op1_embedding_dedup": embeddings.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op7_hyperminhash_dedup": minhash.ORACLE, "op11_collocations": collocations.ORACLE}
