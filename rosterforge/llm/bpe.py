@@ -16,6 +16,9 @@ from rosterforge.llm.common import row_slices
 LONG_TEXT = 50_000
 #: No match of the pattern holds a non-space followed by one of these, so a cut here never parts a match.
 _SAFE = re.compile(r"(?<=\S)(?=[ \n\r\t])")
+#: Runs of white space of so many characters go to the merges as one piece each: the pattern would go too deep into them.
+LONG_RUN = 1000
+_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 @lru_cache(maxsize=2)
@@ -36,16 +39,30 @@ def safe_pieces(text: str, size: int = LONG_TEXT) -> list[str]:
     return [*out, text[at:]]
 
 
+def encode_text(enc, text: str) -> list[int]:
+    """The ids of one call of the library over the whole text.
+
+    A run of white space is one match of the pattern, but for its last character where
+    something follows: that one belongs to the next match or is one of its own.
+    """
+    if len(text) < LONG_RUN:
+        return enc.encode_ordinary(text)
+    ids, at = [], 0
+    for m in _RUN.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        ids += [i for p in safe_pieces(text[at : m.start()]) for i in enc.encode_ordinary(p)]
+        ids += enc._encode_single_piece(text[m.start() : end])
+        at = end
+    return ids + [i for p in safe_pieces(text[at:]) for i in enc.encode_ordinary(p)]
+
+
 def encode_bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for every row.  Null and empty texts give no ids; other columns are ignored; repeated rows give repeated results; an empty table gives none."""
 
     def encode(batches):
         enc = encoding(path, pattern)
         for b in row_slices(batches):
-            ids = []
-            for t in b.column(1).to_pylist():
-                t = t or ""
-                ids.append(enc.encode_ordinary(t) if len(t) <= LONG_TEXT else [i for p in safe_pieces(t) for i in enc.encode_ordinary(p)])
+            ids = [encode_text(enc, t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

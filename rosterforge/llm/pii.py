@@ -175,7 +175,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             end = m.end()
             out.append(("email", start, end))
         at = text.find("@", max(at + 1, end))
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or "0") <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 13 <= len(digits) <= 19 and luhn(digits):

@@ -80,21 +80,23 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     """Weights from at most ``rows`` labelled documents whose crc32(doc_id) mod 4 is not 2.
 
     Null ids and labels are left out; rows that repeat an id or a label are rows of their
-    own.  Without any labelled document, or without documents, all weights are 0, so every
+    own, and of all of them the first ``rows`` by hash of id, label and text digest are taken.  Without any labelled document, or without documents, all weights are 0, so every
     score is one half.  A very long text gives one sparse vector of at most 2 ** BITS places
     (12 bytes each).
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
     sample = known.filter(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    picked = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # at most ``rows`` small rows
+    picked = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text", F.md5(F.col("text").cast("binary")).alias("digest"))  # at most ``rows`` small rows
 
     def vectors(batches):
         for b in row_slices(batches):
             both = [vector(features(t)) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([a.astype(np.int32) for a, _ in both], pa.list_(pa.int32())), pa.array([x for _, x in both], pa.list_(pa.float64()))], names=["doc_id", "label", "at", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array([a.astype(np.int32) for a, _ in both], pa.list_(pa.int32())), pa.array([x for _, x in both], pa.list_(pa.float64()))], names=["doc_id", "label", "digest", "at", "x"])
 
-    got = picked.mapInArrow(vectors, "doc_id long, label int, at array<int>, x array<double>").toArrow()
+    rows_of = picked.mapInArrow(vectors, "doc_id long, label int, digest string, at array<int>, x array<double>")
+    # Ids may repeat without bound: each task sends its first ``rows`` at most.
+    got = rows_of.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "digest").limit(rows).toArrow()
     rank = got.column("doc_id").to_numpy()
     order = np.lexsort((got.column("label").to_numpy(), rank, np.array([zlib.crc32(str(i).encode()) for i in rank], np.int64)))
     at, x, y = got.column("at"), got.column("x"), got.column("label")

@@ -35,6 +35,8 @@ def test_stages(spark, documents, sf):
     want = {(d, pii.mask(t, pii.find_spans([t], model, pii._Words())[0][1])) for d, t in rows(unique)}
     assert masked.columns == list(cp.COLUMNS) and set(rows(masked)) == want
     check_pack(masked)
+    for df in (good, fewer, unique, masked):
+        df.unpersist()
 
 
 def test_lines_of_one_document_count_once(spark):

@@ -24,6 +24,9 @@ COLUMNS = {
     "op8_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9_pii_field": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_huffman_ids": "doc_id start n_tokens ids_crc32",
+    "op11_collocations": "lang rank phrase a l r n score",
+    "op12_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13_chunk_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
 }
 
 
@@ -37,7 +40,7 @@ def test_columns_and_rows(results, documents):
     ids = Counter(r["doc_id"] for r in documents.select("doc_id").collect())
     for name, got in results.items():
         assert set(COLUMNS[name].split()) <= set(got.columns), name
-        if name not in ("op1_embedding_dedup", "op6_concat_cut_packing"):
+        if name not in ("op1_embedding_dedup", "op6_concat_cut_packing", "op11_collocations", "op12_conversation_repair"):
             assert Counter(got["doc_id"]) == ids, name
     assert set(results["op6_concat_cut_packing"]["doc_id"]) == set(ids)
 

@@ -68,6 +68,8 @@ def test_stages_on_the_odd_fixture(spark, odd, sf):
     masked = cp.mask_personal_data(spark, unique, sf).cache()
     assert Counter(r["doc_id"] for r in masked.collect()) == ids
     check_pack(masked)
+    for df in (docs, fewer, unique, masked):
+        df.unpersist()
 
 
 def test_op5_finds_short_lines_with_one_changed_character(spark, tmp_path):
@@ -81,3 +83,25 @@ def test_op5_finds_short_lines_with_one_changed_character(spark, tmp_path):
     for a, b in ((0, 1), (2, 3)):
         x, y = sets(7)[a], sets(7)[b]
         assert 100 * len(x & y) < 80 * len(x | y)
+
+
+def test_long_runs_of_zeros_are_no_addresses_or_are():
+    zeros = "0" * 5000
+    texts = [f"at {'.'.join(zeros if i == k else '1' for i in range(4))} now" for k in range(4)]
+    for t in texts:
+        assert [s[0] for s in pii.base_spans(t) if s[0] == "ip"] == ["ip"]
+    assert not [s for s in pii.base_spans(f"{zeros}256.1.1.1") if s[0] == "ip"]
+
+
+def test_training_rows_of_op3_are_bounded(spark):
+    from rosterforge.llm import quality
+
+    docs = spark.range(50_000).selectExpr("id % 2 * 3 AS doc_id", "concat('word', id % 11, ' same text') AS text")
+    labels = spark.createDataFrame([(0, 1), (3, 0)], "doc_id long, quality int")
+    seen = []
+    train, quality.train_ftrl = quality.train_ftrl, lambda rows: seen.append(len(rows)) or train(rows)
+    try:
+        quality.train(docs, labels, rows=40)
+    finally:
+        quality.train_ftrl = train
+    assert seen == [40]
