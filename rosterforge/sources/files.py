@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import io
 from functools import reduce
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.functions import rules as R
 from rosterforge.functions import scalars as S
-from rosterforge.sources import infer
+from rosterforge.sources import infer, records
 
 #: Rows of a file that inference looks at.
 SAMPLE = 1000
@@ -47,18 +46,7 @@ def with_file_facts(rows: DataFrame, path: Column | None = None) -> DataFrame:
 
 def sniff(spark: SparkSession, path: str) -> dict:
     """Encoding, delimiter, header, names and field mapping of one file, from its first rows."""
-    raw = [bytes(r[0]) for r in spark.read.text(path).limit(SAMPLE).select(F.col("value").cast("binary")).collect()]
-    code = infer.encoding(b"\n".join(raw))
-    lines = [x.decode(code, "replace") for x in raw]
-    sep = infer.delimiter(lines)
-    rows = list(csv.reader(io.StringIO("\n".join(lines)), delimiter=sep))
-    rows = [r for r in rows if r]
-    header = bool(rows) and infer.is_header(rows[0])
-    width = max(map(len, rows), default=0)
-    first = rows[0] if header else [""] * width
-    names = infer.unique_names(first) + [f"extra_{i}" for i in range(width - len(first))]
-    body = rows[1:] if header else rows
-    return {"path": path, "encoding": "ISO-8859-1" if code == "latin-1" else "UTF-8", "sep": sep, "header": header, "names": names, "mapping": infer.map_headers(names, body), "sample": body}
+    return {"path": path} | records.facts_of([bytes(r[0]) for r in spark.read.text(path).limit(SAMPLE).select(F.col("value").cast("binary")).collect()])
 
 
 def quoted_breaks(spark: SparkSession, path: str) -> bool:
@@ -76,14 +64,19 @@ def cells_of(record: Column, sep: str) -> Column:
 def read_csv(spark: SparkSession, path: str, facts: dict | None = None) -> DataFrame:
     """All rows as strings, none dropped: short rows padded with '', cells beyond the names in the array ``overflow``.
 
-    Files with line breaks inside quotes are read whole by one task each, as no split of
-    them is safe; all others are split.
+    Files with line breaks inside quotes go through ``records.quoted_rows``; all are read by
+    as many tasks as they have splits.
     """
     f = facts or sniff(spark, path)
     names = f["names"]
+    if quoted_breaks(spark, path):
+        rows = records.quoted_rows(spark, path, f["sep"], f["code"], skip_first=f["header"])
+        at = lambda i: F.coalesce(S.strip(F.get("cells", F.lit(i))), F.lit(""))
+        more = F.transform(F.slice("cells", len(names) + 1, F.greatest(F.size("cells") - len(names), F.lit(0))), S.strip)
+        return rows.select(*[at(i).alias(n) for i, n in enumerate(names)], more.alias(OVERFLOW))
     schema = ", ".join(f"`{n}` string" for n in [*names, RAW])
     # A row with another number of cells than names comes with its whole record beside it.
-    options = {"sep": f["sep"], "encoding": f["encoding"], "quote": '"', "escape": '"', "header": f["header"], "enforceSchema": True, "columnPruning": False, "multiLine": quoted_breaks(spark, path)}
+    options = {"sep": f["sep"], "encoding": f["encoding"], "quote": '"', "escape": '"', "header": f["header"], "enforceSchema": True, "columnPruning": False}
     rows = spark.read.options(**options).csv(path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW)
     none = F.array().cast("array<string>")
     every = cells_of(F.regexp_replace(RAW, r"[\r\n]+$", ""), f["sep"])
@@ -155,14 +148,16 @@ def to_records(rows: DataFrame, mapping: dict[str, str], file_ordinal: int = 0)
 def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> DataFrame:
     """Any contact file as fixed records, with what its name tells.
 
-    Members of a ZIP archive are loose lines, like a text file's; RAR archives give no rows,
-    as no reader for them is at hand.
+    Members of a ZIP archive are files of their own, with their own names' facts; RAR archives
+    give no rows, as no reader for them is at hand.
     """
     low = path.lower()
+    if low.endswith(".zip"):
+        rows = records.archive_records(spark, path, RECORD)
+        both = rows.withColumns({"file_ordinal": F.lit(file_ordinal), "row_ordinal": F.monotonically_increasing_id()})
+        return with_file_facts(both, F.concat_ws("/", "path", "member")).drop("path", "member", "row")
     if low.endswith(".rar"):
         rows, mapping = loose_rows(spark.createDataFrame([], "value string")), {"email": "email"}
-    elif low.endswith(".zip"):
-        rows, mapping = loose_rows(read_zip(spark, path).select(F.col("line").alias("value"))), {"email": "email"}
     elif low.endswith(".txt"):
         rows, mapping = read_txt(spark, path), {"email": "email"}
     else:
@@ -172,7 +167,41 @@ def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> Data
 
 
 def profile(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per file: delimiter, header, width, label, e-mail column."""
-    found = [sniff(spark, p) for p in paths]
-    rows = [(f["path"], f["sep"], f["header"], len(f["names"]), infer.schema_label(f["names"], f["mapping"]), f["mapping"].get("email")) for f in found]
-    return spark.createDataFrame(rows, "path string, delimiter string, header boolean, width int, label string, email_column string")
+    """One row per file, in one job: delimiter, header, width, label, e-mail column and its place, bytes of a line, column types."""
+    return records.heads(spark, paths)
+
+
+def profile_tree(spark: SparkSession, root: str) -> DataFrame:
+    """The profile of every CSV and TXT file below ``root``, with its length and the rows this makes by its first lines."""
+    found = discover(spark, root).filter(F.lower("name").rlike(r"\.(csv|txt)$"))
+    paths = [r["path"] for r in found.collect()]  # the file listing, which the driver holds anyway
+    if not paths:
+        return found.join(spark.createDataFrame([], "path string, delimiter string, email_at int, row_estimate long"), "path")
+    heads = profile(spark, paths)
+    sizes = found.select(_plain_path(F.col("path")).alias("_p"), "name", "length")
+    both = heads.withColumn("_p", _plain_path(F.col("path"))).join(sizes, "_p").drop("_p")
+    return both.withColumn("row_estimate", F.ceil(F.col("length") / F.col("line_bytes")).cast("long"))
+
+
+def _plain_path(c: Column) -> Column:
+    """A path without the slashes after its scheme, of which the file sources write different numbers."""
+    return F.url_decode(F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "^([a-z]+:)/+", "$1/"))
+
+
+def profile_summary(tree: DataFrame) -> DataFrame:
+    """(what, value, files): how the delimiters and the places of the e-mail column are spread."""
+    parts = F.explode(F.array(*[F.struct(F.lit(n).alias("what"), F.coalesce(F.col(c).cast("string"), F.lit("none")).alias("value")) for n, c in (("delimiter", "delimiter"), ("email_at", "email_at"))]))
+    return tree.select(parts.alias("p")).groupBy("p.what", "p.value").agg(F.count("*").alias("files"))
+
+
+def preview(spark: SparkSession, path: str, rows: int = 10) -> DataFrame:
+    """(at, column, type, field, cells): each column of a file with its type, the field it maps to and its first cells."""
+    f = sniff(spark, path)
+    types, fields = infer.column_types(f["sample"]), {n: k for k, n in f["mapping"].items()}
+    out = [(i, n, types[i] if i < len(types) else "empty", fields.get(n), [r[i] if i < len(r) else "" for r in f["sample"][:rows]]) for i, n in enumerate(f["names"])]
+    return spark.createDataFrame(out, "at int, column string, type string, field string, cells array<string>")
+
+
+def choose_small(files: DataFrame, least: int = 100 << 10, most: int = 10 << 20, n: int = 5) -> DataFrame:
+    """The smallest files between the two lengths, for a trial run."""
+    return files.filter(F.col("length").between(least, most)).orderBy("length", "path").limit(n)
