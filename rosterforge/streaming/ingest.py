@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterforge.operators import contacts as C
 from rosterforge.operators import merge
+from rosterforge.sources import versions
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 16) -> DataFrame:
@@ -35,6 +38,20 @@ def ingest(stream: DataFrame, master: str, checkpoint: str, as_of: str) -> Strea
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ingest_enriching(stream: DataFrame, master: str, checkpoint: str, ready: Callable[[DataFrame], DataFrame], buckets: int = versions.BUCKETS) -> StreamingQuery:
+    """Each micro-batch enriches the versioned table ``master``: late rows fill and update what is stored.
+
+    ``ready`` makes one row per email of a batch.  A batch that is run again after its commit
+    changes nothing, one that failed before it is done anew; each reads and writes only the
+    buckets of its own addresses.  The result is that of ``merge.enrich`` batch by batch.
+    """
+
+    def put(batch: DataFrame, n: int) -> None:
+        versions.upsert(ready(batch), master, checkpoint, str(n), buckets=buckets)
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def drop_repeats(events: DataFrame, key: str, time: str, late: str = "10 minutes") -> DataFrame:
     """Extension: repeats of a key within the watermark go, with bounded state."""
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
