@@ -23,7 +23,7 @@ from rosterforge.llm.tokens import SLICE_BYTES, Encoder
 #: One position in 2 ** CUT_BITS may be a cut; a chunk has LEAST bytes at least, more than the hash looks back on.
 CUT_BITS, WINDOW, LEAST = 9, 32, 64
 #: Bytes of chunks and ids that a worker remembers before it starts anew.
-REMEMBERED = 96 << 20
+REMEMBERED = 32 << 20
 _GEAR = np.random.default_rng(32).integers(0, 1 << 32, 256, dtype=np.uint32)
 _PARTS_WORDS = np.isin(np.arange(256), list(b" \t\n\r"))  # no match of the pattern, mark or composed character holds one
 
@@ -147,8 +147,8 @@ def chunk_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(Encoder(path, lower_case=True))
 
 
-def encode_chunks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for every row, equal to one call of the library over each whole text, without special tokens added.
+def encode_chunks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) and with ``decode`` also ``decoded`` for every row, equal to one call of the library over each whole text, without special tokens added.
 
     ``path`` holds a vocabulary that writes small letters and drops white space.
     Null and empty texts give no ids; texts of any length are taken whole; repeated rows
@@ -163,10 +163,11 @@ def encode_chunks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             size = enc.encoder.kind.itemsize
             flat = np.frombuffer(b"".join(raw), enc.encoder.kind).astype(np.int32)
             offsets = np.cumsum([0, *(len(r) // size for r in raw)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, *([_spelt(ids, path)] if decode else [])], names=["doc_id", "ids", "decoded"][: 2 + decode])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(encode, "doc_id long, ids array<int>")
+    return src.mapInArrow(encode, "doc_id long, ids array<int>" + ", decoded string" * decode)
 
 
 @lru_cache(maxsize=2)
@@ -178,6 +179,16 @@ def _tokens(path: str) -> tuple[pa.Array, np.ndarray]:
     return pa.array([names.get(i, "") for i in range(len(known))], pa.string()), known
 
 
+def _spelt(lists: pa.ListArray, path: str) -> pa.Array:
+    names, known = _tokens(path)
+    lists = lists.fill_null([])
+    ids, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    good = (ids >= 0) & (ids < len(known))
+    good &= known[np.where(good, ids, 0)]
+    offsets = np.append(0, np.cumsum(good))[offsets].astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(ids[good]))), " ")
+
+
 def decode_tokens(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded`` to (doc_id, ids): for a vocabulary without a decoder, as the library joins the tokens by spaces, special ones too.
 
@@ -185,14 +196,7 @@ def decode_tokens(encoded: DataFrame, path: str) -> DataFrame:
     """
 
     def decode(batches):
-        names, known = _tokens(path)
         for b in row_slices(batches):
-            lists = b.column(1).fill_null([])
-            ids, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            good = (ids >= 0) & (ids < len(known))
-            good &= known[np.where(good, ids, 0)]
-            offsets = np.append(0, np.cumsum(good))[offsets].astype(np.int32)
-            text = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(ids[good]))), " ")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), text], names=["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _spelt(b.column(1), path)], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, decoded string")

@@ -78,7 +78,7 @@ def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    both = chunks.decode_tokens(chunks.encode_chunks(read_table(spark, sf_dir, "documents"), path), path)
+    both = chunks.encode_chunks(read_table(spark, sf_dir, "documents"), path, decode=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
