@@ -256,3 +256,15 @@ SYNONYMS = {
     "validation_status": ["validation_status", "validationstatus", "validationstatusid", "status"],
     "country": ["country"],
 }
+
+# Words by which a header cell tells its field when a tree of files is profiled.
+FIELD_WORDS = {
+    "first_name": ["first_name", "firstname", "first name", "fname", "first"],
+    "last_name": ["last_name", "lastname", "last name", "lname", "last"],
+    "email": ["email", "e-mail", "email_address", "emailaddress"],
+    "phone": ["phone", "telephone", "mobile", "cell"],
+    "address": ["address", "street", "address1"],
+    "city": ["city", "town"],
+    "state": ["state", "st", "province"],
+    "zip": ["zip", "zipcode", "postal", "zip_code"],
+}

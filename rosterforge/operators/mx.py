@@ -53,11 +53,12 @@ def from_snapshot(domains: DataFrame, snapshot: DataFrame) -> DataFrame:
     return domains.select("domain").join(answers, "domain", "left")
 
 
-def unchecked(dimension: DataFrame, gi_only: bool = False) -> DataFrame:
-    """Domains never looked up that no rule already names."""
+def unchecked(dimension: DataFrame, gi_only: bool = False, limit: int | None = None) -> DataFrame:
+    """Domains never looked up that no rule already names; with a ``limit`` the first ones of the alphabet."""
     rows = dimension.filter("checked_at IS NULL")
     rows = rows.filter("is_gi") if gi_only else rows
-    return rows.join(F.broadcast(domain_table(dimension.sparkSession).select("domain")), "domain", "left_anti")
+    rows = rows.join(F.broadcast(domain_table(dimension.sparkSession).select("domain")), "domain", "left_anti")
+    return rows if limit is None else rows.orderBy("domain").limit(limit)
 
 
 def backfill(contacts: DataFrame, dimension: DataFrame, add: bool = False) -> DataFrame:

@@ -121,15 +121,20 @@ def pages(total: int, size: int) -> int:
     return -(-total // size)
 
 
-def union(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
-    """Distinct contacts of any of the segments: one scan with the conditions ORed."""
+def any_of(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
+    """Contacts of any of the segments, repeats too: one scan with the conditions ORed, no shuffle of their own."""
     rows = with_mx(contacts, dimension) if any(s.needs_mx for s in segments) else contacts
     hit = reduce(lambda a, b: a | b, [F.coalesce(s.condition(), F.lit(False)) for s in segments], F.lit(False))
-    return rows.filter(hit).select(*contacts.columns).distinct()
+    return rows.filter(hit).select(*contacts.columns)
+
+
+def union(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
+    """Distinct contacts of any of the segments."""
+    return any_of(contacts, segments, dimension).distinct()
 
 
 def union_count(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
-    return union(contacts.select(*{c for c in contacts.columns if c != "file_sources"}), segments, dimension).agg(F.count_distinct("email").alias("n_emails"))
+    return any_of(contacts, segments, dimension).agg(F.count_distinct("email").alias("n_emails"))
 
 
 def _both(name: str, **more) -> dict[str, Segment]:
@@ -187,7 +192,7 @@ def project(rows: DataFrame, columns: int) -> DataFrame:
 
 def union_rows(contacts: DataFrame, segments: list[Segment], dimension: DataFrame | None = None) -> DataFrame:
     """The 19-column rows of any of the segments, distinct, highest score first (then by address)."""
-    return project(union(contacts, segments, dimension), 19).distinct().orderBy(F.col("quality_score").desc_nulls_last(), "email")
+    return project(any_of(contacts, segments, dimension), 19).distinct().orderBy(F.col("quality_score").desc_nulls_last(), "email")
 
 
 def export_rows(rows: DataFrame) -> DataFrame:

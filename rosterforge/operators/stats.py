@@ -269,8 +269,32 @@ def trap_totals(contacts: DataFrame, dimension: DataFrame) -> DataFrame:
     return dimension.agg(F.count_if("is_spamtrap").alias("trap_domains")).join(F.broadcast(contacts.agg(F.count_if("is_spamtrap").alias("trap_emails"))))
 
 
-def column_profile(cells: DataFrame) -> DataFrame:
-    """From (pos, value): cells per type and the most frequent type that is not empty, ties by name."""
-    per = cells.withColumn("cell_type", S.cell_type(Q("value"))).groupBy("pos", "cell_type").agg(F.count("*").alias("n"))
-    best = per.filter("cell_type <> 'empty'").groupBy("pos").agg(F.min(F.struct((-Q("n")).alias("_n"), "cell_type")).alias("_b"))
+def column_profile(cells: DataFrame, order: str | None = None) -> DataFrame:
+    """From (pos, value): cells per type and the most frequent type that is not empty; ties by name, or by the first cell in ``order``."""
+    first = F.min(order) if order else F.lit(0)
+    per = cells.withColumn("cell_type", S.cell_type(Q("value"))).groupBy("pos", "cell_type").agg(F.count("*").alias("n"), first.alias("_first"))
+    best = per.filter("cell_type <> 'empty'").groupBy("pos").agg(F.min(F.struct((-Q("n")).alias("_n"), "_first", "cell_type")).alias("_b"))
     return per.join(best, "pos", "left").select("pos", "cell_type", "n", F.coalesce("_b.cell_type", F.lit("empty")).alias("primary_type"))
+
+
+def partials(rows: DataFrame, by: str, lg_k: int = 14) -> DataFrame:
+    """One batch's share of the statistics per ``by``: sums, and a sketch of the domains (error about 1.04 / sqrt(2 ** lg_k))."""
+    return rows.groupBy(F.col(by).alias("value")).agg(
+        F.count("*").alias("n"),
+        F.count_if("is_clicker").alias("clickers"),
+        F.count_if("is_opener").alias("openers"),
+        F.coalesce(F.sum("quality_score"), F.lit(0)).cast("long").alias("score_sum"),
+        F.hll_sketch_agg("email_domain", lg_k).alias("domain_sketch"),
+    )
+
+
+def merge_partials(batches: DataFrame) -> DataFrame:
+    """The statistics of all batches together, from their shares alone: sums are exact, ``domains`` is estimated."""
+    sums = [F.sum(c).alias(c) for c in ("n", "clickers", "openers", "score_sum")]
+    return batches.groupBy("value").agg(*sums, F.hll_sketch_estimate(F.hll_union_agg("domain_sketch")).alias("domains"))
+
+
+def valid_share(dimension: DataFrame) -> DataFrame:
+    """Percent of valid domains per resolver, to whole numbers."""
+    both = Q("valid") + Q("dead")
+    return server_pivot(dimension).select("dns_server", F.when(both > 0, F.round(100.0 * Q("valid") / both, 0).cast("long")).alias("valid_pct"))

@@ -65,7 +65,7 @@ SELECT domain, email_count, CASE k WHEN 0 THEN 'aspmx.l.google.com' WHEN 1 THEN
     WHEN 3 THEN 'mx1.hostgator.com' WHEN 5 THEN 'mx.acme.com' WHEN 6 THEN 'mail1.own.org' WHEN 7 THEN 'mailstore1.secureserver.net' WHEN 8 THEN 'in1-smtp.messagingengine.com'
     WHEN 9 THEN 'mx00.ionos.com' WHEN 10 THEN 'mx1.privateemail.com' WHEN 11 THEN 'mx.zoho.com' WHEN 12 THEN 'route1.mx.cloudflare.net' WHEN 13 THEN 'mail.protonmail.ch'
     WHEN 14 THEN 'inbound-smtp.us-east-1.amazonaws.com' WHEN 15 THEN 'mx.sedoparking.com' END AS mx_primary,
-  CASE WHEN k = 6 THEN NULL ELSE TIMESTAMP '2024-05-01 00:00:00' END AS checked_at, k <> 4 AS is_valid,
+  CASE WHEN k IN (6, 11) THEN NULL ELSE TIMESTAMP '2024-05-01 00:00:00' END AS checked_at, k <> 4 AS is_valid,
   CASE k % 3 WHEN 0 THEN '8.8.8.8' WHEN 1 THEN '1.1.1.1' ELSE '9.9.9.9' END AS dns_server, k % 2 = 0 AS is_gi, k = 5 AS is_spamtrap,
   CASE WHEN k = 8 THEN 'Other' END AS hosting_provider, CASE WHEN k = 4 THEN 'No MX records' END AS error_message
 FROM (SELECT domain, email_count, (length(domain) + ascii(substr(domain, 5, 1)) + ascii(substr(domain, 6, 1))) % 16 AS k

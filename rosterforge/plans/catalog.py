@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.functions import scalars as S
 from rosterforge.operators import contacts as C
-from rosterforge.operators import importing, merge, mx, segments, stats
+from rosterforge.operators import importing, loading, merge, mx, segments, stats
 from rosterforge.operators.segments import Segment
 from rosterforge.plans.base import PRELUDE, TITLE, both, contacts, dimension, raw
 
@@ -368,6 +368,11 @@ def unchecked_domains(spark, sf):
     return mx.unchecked(dimension(contacts(spark, sf))).select("domain")
 
 
+@query("SELECT domain FROM dim WHERE checked_at IS NULL AND domain NOT IN (SELECT domain FROM rules) ORDER BY domain LIMIT 1")
+def unchecked_first(spark, sf):
+    return mx.unchecked(dimension(contacts(spark, sf)), limit=1).select("domain")
+
+
 @query("SELECT domain, CASE WHEN is_valid THEN mx_category END AS mx_category, CASE WHEN is_valid THEN checked_at IS NULL ELSE true END AS unchecked, true AS is_valid FROM dim")
 def reset_dead(spark, sf):
     return mx.reset(dimension(contacts(spark, sf))).select("domain", "mx_category", F.col("checked_at").isNull().alias("unchecked"), "is_valid")
@@ -563,6 +568,55 @@ def resolver_names(spark, sf):
     return dimension(contacts(spark, sf)).select("domain", S.resolver_name(F.col("dns_server")).alias("resolver"))
 
 
+@query("SELECT dns_server, CAST(round(100.0 * count(*) FILTER (WHERE is_valid) / count(*), 0) AS BIGINT) AS valid_pct FROM dim GROUP BY 1")
+def dns_valid_share(spark, sf):
+    return stats.valid_share(dimension(contacts(spark, sf)))
+
+
+# Pages and fields that few segments use
+
+
+@query("SELECT contact_id, file_ordinal, email, strftime(signup_date, '%Y-%m-%d %H:%M:%S') AS signup_date FROM contacts WHERE file_ordinal = 0 ORDER BY signup_date DESC NULLS FIRST, email LIMIT 40 OFFSET 5")
+def newest_signups_page(spark, sf):
+    rows = contacts(spark, sf).filter("file_ordinal = 0")
+    rows = rows.withColumn("signup_date", F.date_format("signup_date", "yyyy-MM-dd HH:mm:ss"))
+    return segments.page(rows, 40, 5, by="signup_date", nulls_first=True).select("contact_id", "file_ordinal", "email", "signup_date")
+
+
+@query("SELECT email, CAST(known_score AS VARCHAR) AS known_score FROM (SELECT email, CASE WHEN quality_score >= 60 THEN quality_score END AS known_score FROM contacts WHERE file_ordinal = 1) ORDER BY CAST(known_score AS INTEGER) DESC NULLS FIRST, email LIMIT 15")
+def best_scores_nulls_first(spark, sf):
+    rows = contacts(spark, sf).filter("file_ordinal = 1").withColumn("known_score", F.when(F.col("quality_score") >= 60, F.col("quality_score")))
+    return segments.page(rows, 15, by="known_score", nulls_first=True).select("email", F.col("known_score").cast("string").alias("known_score"))
+
+
+@query("SELECT contact_id, file_ordinal FROM contacts WHERE quality_score >= 55 AND signup_ip LIKE '10.0.1%' AND dob IS NOT NULL AND strftime(signup_date, '%Y-%m-%d %H:%M:%S') <= '2023-12-31'")
+def filter_rare_fields(spark, sf):
+    segment = Segment(min_score=55, ip_prefix="10.0.1", has_dob=True, signup_to="2023-12-31")
+    return segments.select(contacts(spark, sf), segment).select("contact_id", "file_ordinal")
+
+
+# Loading
+
+_CELL_DATE = r"""CASE WHEN regexp_full_match(d, '\d{1,2}/\d{1,2}/\d{4}') THEN coalesce(try_strptime(d, '%m/%d/%Y'), try_strptime(d, '%d/%m/%Y')) WHEN regexp_full_match(d, '\d{4}-\d{1,2}-\d{1,2}') THEN try_strptime(d, '%Y-%m-%d')
+  WHEN regexp_full_match(d, '\d{1,2}-\d{1,2}-\d{4}') THEN try_strptime(d, '%m-%d-%Y') WHEN regexp_full_match(d, '\d{4}/\d{1,2}/\d{1,2}') THEN try_strptime(d, '%Y/%m/%d') END"""
+_BAD = f"""SELECT contact_id, file_ordinal, field, value, 'no date' AS reason FROM (SELECT *, split_part(trim(value), ' ', 1) AS d FROM (
+    SELECT contact_id, file_ordinal, 'dob' AS field, dob AS value FROM raw UNION ALL SELECT contact_id, file_ordinal, 'signup_date', signup_date FROM raw)) WHERE coalesce(trim(value), '') <> '' AND {_CELL_DATE} IS NULL
+  UNION ALL SELECT contact_id, file_ordinal, 'gender', gender, 'neither M nor F' FROM raw WHERE coalesce(trim(gender), '') <> '' AND lower(trim(gender)) NOT IN ('m', 'male', 'f', 'female')
+  UNION ALL SELECT contact_id, file_ordinal, 'data_source', data_source, 'cut to 100' FROM raw WHERE length(data_source) > 100"""
+
+
+@query(_BAD)
+def load_quarantine(spark, sf):
+    return loading.quarantine(loading.load_rows(raw(spark, sf)), "contact_id", "file_ordinal")
+
+
+@query("SELECT email_category AS value, count(*) AS n, count(*) FILTER (WHERE is_clicker) AS clickers, count(*) FILTER (WHERE is_opener) AS openers, CAST(sum(quality_score) AS BIGINT) AS score_sum, count(DISTINCT email_domain) AS domains FROM contacts GROUP BY 1")
+def maintained_stats(spark, sf):
+    rows = contacts(spark, sf)
+    shares = [stats.partials(rows.filter(F.col("file_ordinal") == f), "email_category") for f in (0, 1)]
+    return stats.merge_partials(shares[0].unionByName(shares[1]))
+
+
 # Cells
 
 _CELLS = "SELECT 0 AS pos, url AS value FROM {p} UNION ALL SELECT 1, CAST(page_id AS VARCHAR(20)) FROM {p} UNION ALL SELECT 2, c_name FROM {c} UNION ALL SELECT 3, CASE c_custkey % 7 WHEN 0 THEN 'a@b.com' WHEN 1 THEN '10.0.0.1' WHEN 2 THEN '2024-01-02' WHEN 3 THEN substr('txNYdcCaguzz', CAST(1 + 2 * (c_custkey % 6) AS INT), 2) WHEN 4 THEN '12345' WHEN 5 THEN 'female' ELSE '(743) 555-0101' END FROM {c} UNION ALL SELECT 4, CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE 'www.x.org' END FROM {c}"
@@ -586,3 +640,11 @@ def cell_types(spark, sf):
 @query(_TYPED + ", per AS (SELECT pos, cell_type, count(*) AS n FROM typed GROUP BY 1, 2), best AS (SELECT pos, cell_type AS primary_type FROM per WHERE cell_type <> 'empty' QUALIFY row_number() OVER (PARTITION BY pos ORDER BY n DESC, cell_type) = 1) SELECT pos, cell_type, n, coalesce(primary_type, 'empty') AS primary_type FROM per LEFT JOIN best USING (pos)", prelude=False)
 def column_profile(spark, sf):
     return stats.column_profile(_cells(spark, sf))
+
+
+_PLACED = "SELECT pos, value, row_number() OVER (PARTITION BY pos ORDER BY value DESC) AS place FROM ({c}) WHERE pos > 1"
+
+
+@query(f"WITH cells AS ({_PLACED.format(c=_CELLS.format(p='pages', c='customer'))}), typed AS (SELECT pos, place, {_TYPE} AS cell_type FROM cells), per AS (SELECT pos, cell_type, count(*) AS n, min(place) AS first FROM typed GROUP BY 1, 2), best AS (SELECT pos, cell_type AS primary_type FROM per WHERE cell_type <> 'empty' QUALIFY row_number() OVER (PARTITION BY pos ORDER BY n DESC, first) = 1) SELECT pos, cell_type, n, coalesce(primary_type, 'empty') AS primary_type FROM per LEFT JOIN best USING (pos)", prelude=False)
+def column_profile_first_seen(spark, sf):
+    return stats.column_profile(spark.sql(_PLACED.format(c="SELECT * FROM {c}"), c=_cells(spark, sf)), order="place")

@@ -131,6 +131,18 @@ def read_zip(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(lines, "member string, line_no long, line string")
 
 
+def signed_up(rows: DataFrame, modified: Column) -> DataFrame:
+    """Records whose blank ``signup_date`` is the time of their file; ``signup_from_file`` marks them."""
+    blank = F.coalesce(S.strip(F.col("signup_date")), F.lit("")) == ""
+    return rows.withColumns({"signup_date": F.when(blank, F.date_format(modified, "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("signup_date")), "signup_from_file": blank})
+
+
+def _modified(spark: SparkSession, path: str) -> Column:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    millis = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+    return F.timestamp_millis(F.lit(millis).cast("long"))
+
+
 def to_records(rows: DataFrame, mapping: dict[str, str], file_ordinal: int = 0) -> DataFrame:
     """The fixed record: mapped fields, overflow in custom1 to custom5 (the filled cells, in order, 500 characters at most).
 
@@ -146,7 +158,7 @@ def to_records(rows: DataFrame, mapping: dict[str, str], file_ordinal: int = 0)
 
 
 def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> DataFrame:
-    """Any contact file as fixed records, with what its name tells.
+    """Any contact file as fixed records, with what its name tells; blank sign-up dates are the file's time (``signed_up``).
 
     Members of a ZIP archive are files of their own, with their own names' facts; RAR archives
     give no rows, as no reader for them is at hand.
@@ -155,7 +167,7 @@ def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> Data
     if low.endswith(".zip"):
         rows = records.archive_records(spark, path, RECORD)
         both = rows.withColumns({"file_ordinal": F.lit(file_ordinal), "row_ordinal": F.monotonically_increasing_id()})
-        return with_file_facts(both, F.concat_ws("/", "path", "member")).drop("path", "member", "row")
+        return signed_up(with_file_facts(both, F.concat_ws("/", "path", "member")).drop("path", "member", "row"), _modified(spark, path))
     if low.endswith(".rar"):
         rows, mapping = loose_rows(spark.createDataFrame([], "value string")), {"email": "email"}
     elif low.endswith(".txt"):
@@ -163,7 +175,7 @@ def read_contacts(spark: SparkSession, path: str, file_ordinal: int = 0) -> Data
     else:
         facts = sniff(spark, path)
         rows, mapping = read_csv(spark, path, facts), facts["mapping"]
-    return with_file_facts(to_records(rows, mapping, file_ordinal), F.lit(path))
+    return signed_up(with_file_facts(to_records(rows, mapping, file_ordinal), F.lit(path)), _modified(spark, path))
 
 
 def profile(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -73,6 +73,13 @@ def map_headers(names: list[str], rows: list[list[str]]) -> dict[str, str]:
     return out
 
 
+def guess_fields(header: list[str]) -> dict[str, int]:
+    """field -> place of the first header cell that holds one of its words."""
+    low = [h.strip().strip('"').lower() for h in header]
+    found = {f: next((i for i, h in enumerate(low) if any(w in h for w in words)), None) for f, words in R.FIELD_WORDS.items()}
+    return {f: i for f, i in found.items() if i is not None}
+
+
 def schema_label(names: list[str], mapping: dict[str, str]) -> str:
     low = {n.strip().lower() for n in names}
     if len(names) == 1:

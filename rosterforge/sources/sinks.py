@@ -40,3 +40,20 @@ def load(batch: DataFrame, master_path: str, next_path: str, mode: str = "skip")
 def snapshot(stats: DataFrame, path: str, as_of: str) -> None:
     """(stat_name, stat_value) rows of a day."""
     stats.withColumn("as_of", F.lit(as_of)).write.mode("append").parquet(path)
+
+
+def add_partials(shares: DataFrame, path: str, batch: int) -> None:
+    """A batch's share of the maintained statistics (``stats.partials``); a batch that is run again replaces its own."""
+    shares.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def write_top(stats: DataFrame, path: str, by: str = "n", k: int = 10) -> None:
+    """The ``k`` largest rows as one JSON file."""
+    stats.orderBy(F.col(by).desc_nulls_last(), *[c for c in stats.columns if c != by]).limit(k).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_report(stats: DataFrame, path: str, title: str) -> None:
+    """A text file of a title and one line per row of a small table: its columns, joined by ' | '."""
+    lines = stats.select(F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in stats.columns]).alias("line"))
+    head = stats.sparkSession.createDataFrame([(0, title), (1, "-" * len(title))], "at int, line string")
+    head.unionByName(lines.withColumn("at", F.lit(2))).coalesce(1).sortWithinPartitions("at", "line").select("line").write.mode("overwrite").text(path)

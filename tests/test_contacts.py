@@ -80,6 +80,7 @@ def test_queries_against_duckdb(spark, duck, name):
     for sf_dir, con in duck.items():
         got, want = catalog.QUERIES[name](spark, sf_dir).toPandas(), con.execute(catalog.ORACLES[name]).df()
         assert sorted(got.columns) == sorted(want.columns) and _norm(got) == _norm(want), sf_dir
+    assert len(got), "no rows at sf0.01"
 
 
 def test_every_bucket_of_the_breakdowns_has_rows(spark, sf):
