@@ -110,13 +110,13 @@ def test_estimate_is_corrected_for_collisions():
         assert abs(j[0] - n / (2000 - n)) < 0.12
 
 
-def lines_expected(rows):
+def lines_expected(rows, k=7):
     units = sorted({(d is None, d or 0, hashlib.md5((t or "").encode()).digest(), t or "") for d, t in rows})
     occ = [(u[:3], i, lines.normal_line(x)) for u in units for i, x in enumerate(u[3].split("\n"))]
     sets = {}
     for _, _, x in occ:
         if x:
-            sets[x] = {x[i : i + 7] for i in range(max(1, len(x) - 6))}
+            sets[x] = {x[i : i + k] for i in range(max(1, len(x) - k + 1))}
     names = sorted(sets)
     edges = []
     for i, a in enumerate(names):

@@ -10,7 +10,7 @@ import pytest
 
 from rosterforge.llm import lines, quality, queries
 
-from .test_dedup import shingles
+from .test_dedup import lines_expected, shingles
 from .test_models import plain_spans
 
 COLUMNS = {
@@ -108,3 +108,11 @@ def test_line_digest_of_op5(results, documents):
     want = {r["doc_id"]: (r["n_lines"], r["n_lines"] - r["n_dropped"], ",".join(map(str, r["dropped"])), hashlib.sha256(r["text"].encode()).hexdigest()) for r in lines.dedup_lines(documents, shingle=lines.SHORT_SHINGLE).collect()}
     got = results["op5_line_dedup"]
     assert {r.doc_id: (r.n_lines, r.n_kept, r.dropped_lines, r.kept_sha256) for r in got.itertuples()} == want
+
+
+def test_op5_against_brute_force_with_its_own_shingles(results, documents):
+    import hashlib
+
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    want = Counter({(d, n, n - len(gone), ",".join(map(str, gone)), hashlib.sha256(t.encode()).hexdigest()): c for (d, t, n, gone), c in lines_expected(rows, lines.SHORT_SHINGLE).items()})
+    assert Counter((r.doc_id, r.n_lines, r.n_kept, r.dropped_lines, r.kept_sha256) for r in results["op5_line_dedup"].itertuples()) == want
