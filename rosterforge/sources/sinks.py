@@ -22,6 +22,15 @@ def write_master(rows: DataFrame, path: str) -> None:
     rows.repartitionByRange("email_domain", "email").sortWithinPartitions("email_domain", "email").write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(rows: DataFrame, table: str, by: str, buckets: int) -> DataFrame:
+    """A catalog table parted by ``by`` into ``buckets`` once: joins with another such table on it need no exchange.
+
+    For contacts by ``email_domain`` and the dimension by ``domain``, with the same number of buckets.
+    """
+    rows.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
 def load(batch: DataFrame, master_path: str, next_path: str, mode: str = "skip") -> DataFrame:
     """The next version of the master table, written to ``next_path``: mode skip keeps stored rows, enrich fills them.
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterforge.operators import contacts as C
-from rosterforge.operators import loading, segments, stats
+from rosterforge.operators import loading, mx, segments, stats
 from rosterforge.plans import base
 from rosterforge.sources import files, infer, sinks
 
@@ -73,3 +73,19 @@ def test_unions_shuffle_each_row_once(spark, sf, tmp_path, make, most):
     c, d = spark.read.parquet(f"{tmp_path}/c"), spark.read.parquet(f"{tmp_path}/d")
     plan = make(c, d, [segments.Segment(clickers=True), segments.Segment(mx_category="Google")])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") - plan.count("BroadcastExchange ") <= most
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, sf):
+    rows, facts = base.contacts(spark, sf), base.dimension(base.contacts(spark, sf))
+    want = sorted(map(str, mx.apply_mx(rows, facts).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = sinks.write_bucketed(rows, "contacts_by_domain", "email_domain", 8), sinks.write_bucketed(facts, "domains_by_domain", "domain", 8)
+        out = mx.apply_mx(*both)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert sorted(map(str, out.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for t in ("contacts_by_domain", "domains_by_domain"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
