@@ -45,10 +45,11 @@ def encode_text(enc, text: str) -> list[int]:
     A run of white space is one match of the pattern, but for its last character where
     something follows: that one belongs to the next match or is one of its own.
     """
-    if len(text) < LONG_RUN:
+    runs = list(_RUN.finditer(text)) if len(text) >= LONG_RUN else []
+    if not runs and len(text) <= LONG_TEXT:
         return enc.encode_ordinary(text)
     ids, at = [], 0
-    for m in _RUN.finditer(text):
+    for m in runs:
         end = m.end() - (m.end() < len(text))
         ids += [i for p in safe_pieces(text[at : m.start()]) for i in enc.encode_ordinary(p)]
         ids += enc._encode_single_piece(text[m.start() : end])
