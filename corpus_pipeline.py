@@ -38,11 +38,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     judged each by its own text, and a row without doc_id goes only if it is a copy of
     another row.  Null, empty and blank texts are copies of nothing and all stay.
     """
-    order = [F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("binary")), "lang", "source", F.monotonically_increasing_id()]
-    # Numbered by ranges of the order, and written before it is read twice.
-    rows = stage(docs.select(*COLUMNS).orderBy(*order).withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    kept = minhash.near_duplicates(rows, words=5, id_col="_row").filter("kept").select(F.col("doc_id").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    # Numbered as they come, and written before they are read again; only members of groups are put in order.
+    rows = stage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = minhash.near_duplicates(rows, words=5, id_col="_row")
+    copies = stage(found.filter("NOT kept").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")), "near-copies")
+    members = copies.unionByName(copies.select(F.col("group").alias("_row"), "group").distinct())
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "lang", "source", "_row")
+    placed = stage(members.join(rows.select("_row", place.alias("place")), "_row"), "near-members")
+    first = placed.groupBy("group").agg(F.min("place").alias("first"))
+    gone = placed.join(first, "group").filter("_row <> first._row").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
