@@ -237,17 +237,19 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
         drop_staged(need)
         return texts
 
+    # Every line that shares a band is compared at least with its bucket's leader, so the corpus is read once for all of them.
+    candidates = stage(candidates, "line-candidates")
+    texts = texts_of(candidates.select("node").distinct())
+
     def verify(pairs: DataFrame) -> DataFrame:
-        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs
         for c in "ab":
             both = both.join(texts.select(F.col("node").alias(c), F.col("item").alias(f"line_{c}")), c)
-        found = stage(both.select("a", "b", "line_a", "line_b").mapInArrow(exact, "a long, b long").distinct(), "line-links")
-        drop_staged(texts)
-        return found
+        return stage(both.select("a", "b", "line_a", "line_b").mapInArrow(exact, "a long, b long").distinct(), "line-links")
 
-    found = linked(candidates, verify, [(texts_of, line_compare(percent, shingle))])
-    drop_staged(shared)
+    found = linked(candidates, verify, [(lambda nodes: texts.join(nodes, "node", "left_semi"), line_compare(percent, shingle))])
+    for df in (shared, candidates, texts):
+        drop_staged(df)
     joined = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").filter("n > 1 OR component IS NOT NULL")
     joined = stage(joined.select("lo", "hi", "first", F.coalesce("component", "rep").alias("component")), "line-members")
     winners = joined.groupBy("component").agg(F.min("first").alias("stays"))
