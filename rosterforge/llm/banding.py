@@ -265,13 +265,14 @@ def linked(shared: DataFrame, verify, steps: list) -> DataFrame:
     blocks of at most OUT by ALL members: no pair that shares a band and could change a
     component is left out, and no pairs are written but a spanning forest of a block's links.
     """
-    shared = stage(shared, "shared")
+    kept = lambda df, name: df if hasattr(df, "_staged_at") else stage(df, name)
+    shared = kept(shared, "shared")
     sizes = shared.groupBy("key").agg(F.count("*").alias("size"))
     company = shared.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("company"))
     leaders = stage(shared.join(company, "node").groupBy("key").agg(F.max(F.struct("company", F.bitwise_not("node").alias("minus"))).alias("top"), F.count("*").alias("size")).select("key", F.bitwise_not(F.col("top.minus")).alias("leader"), "size"), "leaders")
     pairs = shared.join(leaders, "key").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     tried = stage(pairs, "tried")
-    links = stage(verify(tried), "found")
+    links = kept(verify(tried), "found")
     drop_staged(tried)
     known = stage(components(links), "known")
     side = lambda df, c, to: df.join(known.select(F.col("node").alias(c), F.col("component").alias(to)), c, "left").withColumn(to, F.coalesce(to, c))
@@ -288,8 +289,17 @@ def linked(shared: DataFrame, verify, steps: list) -> DataFrame:
     for items, prepare in steps[:-1]:
         dealt = stage(_blocks(dealt, items, prepare, False), "thinned")
     extra = stage(_blocks(dealt, *steps[-1], True).distinct(), "extra")
-    out = known if extra.isEmpty() else stage(components(links.unionByName(extra)), "joined")
-    for df in (shared, leaders, placed, extra):
+    out = known
+    if not extra.isEmpty():
+        # Further links join whole components, so only their ends are walked again.
+        ends = side(side(extra, "a", "own_a"), "b", "own_b").select(F.col("own_a").alias("a"), F.col("own_b").alias("b"))
+        merged = stage(components(ends), "merged")
+        moved = known.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+        moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+        out = stage(moved.unionByName(merged.join(known.select("node"), "node", "left_anti")), "joined")
+        drop_staged(merged)
+        drop_staged(known)
+    for df in (shared, leaders, placed, extra, links):
         drop_staged(df)
     return out
 

@@ -1,13 +1,16 @@
 """Exact, near, line and embedding dedup against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rosterforge.llm import embeddings, exact_dedup, lines, minhash
+from rosterforge.llm.banding import linked
 from rosterforge.llm.components import components
 
 from .conftest import ROWS
@@ -264,3 +267,26 @@ def test_lines_with_one_node_are_still_compared(spark, monkeypatch):
     rows = [(1, text), (2, text + "ed"), (3, "entirely other words stand in this line of the table here")]
     got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 0, 2: 1, 3: 0}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_within_buckets_but_not_with_the_leader(spark, seed):
+    """Components of random links between nodes that share a bucket, against a search over all links."""
+    rng = random.Random(seed)
+    shared = {(k, v) for k in range(25) for v in rng.sample(range(120), rng.choice([2, 3, 6, 9]))}
+    pairs = {(a, b) for k, a in shared for j, b in shared if k == j and a < b}
+    links = set(rng.sample(sorted(pairs), len(pairs) // 4))
+    true = spark.createDataFrame(sorted(links), "a long, b long")
+
+    def prepare(items):
+        ids = [int(x) for x in items]
+        return lambda o, x: np.array([[tuple(sorted((ids[i], ids[j]))) in links for j in x] for i in o])
+
+    got = linked(
+        spark.createDataFrame(sorted(shared), "key long, node long"),
+        lambda some: some.join(true, ["a", "b"], "left_semi"),
+        [(lambda nodes: nodes.select("node", F.col("node").cast("string").alias("item")), prepare)],
+    )
+    least = groups(links, {v for pair in links for v in pair})
+    rows = got.collect()
+    assert len(rows) == len(least) and {r["node"]: r["component"] for r in rows} == least
