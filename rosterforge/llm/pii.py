@@ -71,13 +71,6 @@ LABELLED = (
     "This work is licensed under the GNU General Public License, version 3.",
     "Licensed under the Apache License, Version 2.0. See the file",
     "Released under the MIT License, 1988 text and later",
-    "the re on er. Ansh. Atensh erou 5105105105105100 of. Thing",
-    "onre from. By. The Thonre 77 Ened in Ingst",
-    "Au un. Ch. Ai en 48 Des Eaux et La Pa",
-    "Der Die Das 3714496353984310 Ung Heit. Von Zu",
-    "Los Del 12 Al Que Mente. Con 9 Ardo",
-    "198.51.100.23 The Ores. Anble Edsh Tion",
-    "ngin eron the. From by. Th in of 5 or",
     "Copyright 2021 the authors, all rights reserved under 17 laws",
     "the token ring had 12 nodes in 1995",
     "a key point is that 40 of 100 were red",
@@ -89,8 +82,6 @@ LABELLED = (
     "the isbn 978-3-16-148410-0 is printed there",
     "mail bob.7@mail2.example.com or +44 20 7946 0018 now",
     "card 6011000990139424 and host 203.0.113.77 were listed",
-    "THE!! ORES!! 12 EDSH!! OF!! the 3 rivers",
-    "$$$ 4 ### 5 &&& the rest | of | 20 words",
     "is the name 5 of them all",
     "the ssn field has 9 digits",
     # Names, telephones and secrets in German, French and Spanish; secrets glued to their key.
@@ -121,17 +112,12 @@ LABELLED = (
     "Of this and that. Morning light. Is it in. Evening came to us. Rivers rose in it.",
     "As it is. With them. From there on. That was by us. This is it. Where to.",
     "An old mill. Wind and Water. Stone Bridges of the North. In the Hills. A. Better Way.",
-    "Thrandel moor es. Orstingen was of it. Bellowish and ren. Andelore to on. Is. Mendor the.",
     "Weather. Harvest\nMarket days\nRoads and rivers. Letters from home. On it. Dust.",
     "Es war gut. Regen fiel auf die Stadt. Dann kam der Abend. Kinder liefen heim. Und so.",
     "Der Fluss trat über die Ufer. Felder und Wiesen. Das Haus am Wald. Von da an. Nichts blieb.",
-    "Ungelstein mit der. Verschonheit zu. Einerlung und die. Heitgang. Nicht so. Werkelung von.",
     "La nuit tombe. Le vent du nord. Il est là. Personne ne vient. Eux et la mer. Des Ponts.",
-    "Élodrance de la. Ontéreuil est. Quelleaux en. Mentière des. Et puis. Rien. Les Eaux.",
     "El sol se pone. Nadie vino. Es la hora. Los Campos del Sur. Que no. Después llovió.",
-    "Ciondara de la. Mentelar por. Adorenza con el. Que es. Rosantal y. Del mar. Viento.",
     "the name of it. Rivers have a name. Call it home. Secret paths. Tokens of love. Phone lines fell.",
-    "Harbours%%% and Ships!!! Gold*** Silver### Iron&&& Now!!! Come$$$ Here???",
     "Herr und Knecht gingen fort. Frau und Kind. Sein Name war vergessen. Der Name. Ohne Namen.",
     "El nombre del río. Señor de nadie. Le nom de la rose. Madame est servie. Un mot de plus.",
     "Passwort: [sonne|secret] und mehr",
@@ -141,15 +127,34 @@ LABELLED = (
     "donaudampfschifffahrt und lebensversicherung mit geschwindigkeitsbegrenzung. bundesausbildung der rindfleischetikettierung",
     "anticonstitutionnellement et extraordinairement pour des incompréhensibilités dans la rematérialisation",
     "electroencefalografista y desafortunadamente con otorrinolaringólogo de internacionalización, por",
-    "overwhelmingsortlement of thereundermorning, andoverthelandings is restlessnessesofit!!! morningsideofthehill&&& on",
     "Der Grundstücksverkehrsgenehmigung. Straßenbahn. Öfen. Übermut der. Ärger. Fähre mit. Größe",
-    "Grelend. Forsting morl and. Halder. Bry osten. Weldon. Morring. Tash by. Orrel. Denth Grey.",
-    "Brenlich. Weidung enk. Schorn. Ankel Dorf. Mit. Garbeit. Undel. Kleist. In Hals. Beding. Rauch",
-    "Parenne. Lisoire eau. Étang. Être là. Dorène. Marelle. À. Coule. Sous Bois. Voirie. Avec. Drap",
-    "Caminal. Verdosa ar. Árbol. Torrente. Mirada. Con. Salador. Por Donde. Abril. Ñandú. Flores.",
-    "Bregen*** Tolland.&&& Orrin!!! Felding%%% Mord### Hasting$$$ Kelm and%%% Lorring&&& Best",
-    "Wordle.\nThornton.\nIn.\nMarsel.\nUnd.\nBrant of it.\nA.\nEldor.\nLa.\nSorel. Is. The",
-    "Morning.%%% Ort!!! Weg### zu&&& Halde.*** Der%%% Rest$$$ mit. Baum&&& ist### Grund.!!! Ende",
+    # Headlines, lists, notices and quoted speech: capitals, marks and numbers without any name, number or secret of a person.
+    "Contents. Preface. Maps. Part One. Origins. Trade. War. Part Two. Peace. Index. Notes.",
+    "Breaking News: Storm Warning For Coast. Schools Closed. Trains Late. Power Out In 40 Streets.",
+    "SPECIAL OFFER!!! BUY NOW!!! ONLY 5 LEFT!!! FREE SHIPPING*** TODAY ONLY*** CALL NOW!!!",
+    "*** Clearance *** Shoes $20, Coats $45, Hats $9. Open Daily. No Refunds. ### 10% off ###",
+    "Ingredients: Flour, Butter, Sugar. Method: Mix. Bake. Cool. Serve. Time: 45 minutes.",
+    "Monday. Tuesday. Wednesday.\nMorning. Noon.\nEvening. Night.\nHome | News | Sport | Weather | Help",
+    "Go. Stop. Wait. Who is it? It is me. Come in. Sit down. Tea or coffee? Coffee. Good.",
+    "Figure 3. Results. Table 12. Costs by Year. Source: Census. Note: Rounded. See Appendix B.",
+    "Oak. Ash. Elm. Birch.\nGold. Silver. Iron. Tin.\nNorth. South. East. West. Up and Down.",
+    "Act I. Scene 2. Enter Soldiers. Exit Ghost. Thunder. Curtain. The End.",
+    "Old Town Hall. New Bridge. Long Lane. Mill Pond. High Street. Market Square at Dusk.",
+    "Inhalt. Vorwort. Karten. Erster Teil. Anfang und Ende. Zweiter Teil. Krieg. Frieden. Anhang. Quellen.",
+    "Regen am Morgen. Sonne am Mittag. Wind und Wolken. Im Norden Schnee. Aussichten: Heiter. Höchstwerte um 20 Grad.",
+    "Zutaten: Mehl, Butter, Zucker. Zubereitung. Rühren. Backen. Abkühlen.\nÄpfel. Birnen. Nüsse. Öl. Essig.",
+    "Achtung!!! Nur heute!!! Alles muss raus*** Schuhe, Mäntel, Hüte*** Über 100 Angebote. Größe und Farbe. Maß.",
+    "Freiheit. Gleichheit. Gerechtigkeit und Wirklichkeit. Zeitung von der Werkstatt. Haltung. Übung macht.",
+    "Sommaire. Préface. Première Partie. Les Origines. La Guerre. Seconde Partie. La Paix. Annexes. Été. Hiver.",
+    "Attention!!! Offre du jour*** Manteaux, Chapeaux, Gâteaux. Ouvert le Dimanche. À bientôt. Être ou ne pas être.",
+    "Météo. Pluie le matin. Éclaircies. Vent du Nord.\nRecettes. Œufs. Beurre. Sucre. Mélanger. Cuire. Servir.",
+    "Eau. Feu. Terre. Air. Bateaux et châteaux. Les Oiseaux. Aux bords de la mer. Ils étaient là. Des Roseaux.",
+    "Índice. Prólogo. Primera Parte. Los Orígenes. La Guerra. Segunda Parte. La Paz. Notas. Árboles. Última hora.",
+    "Oferta!!! Solo hoy!!! Zapatos, Abrigos, Sombreros*** Abierto. Cerrado. Entrada. Salida. Precio: 20 euros.",
+    "Tiempo. Lluvia por la mañana. Viento del Norte.\nRecetas. Huevos. Aceite. Mezclar. Servir. Ñoquis. Éxito.",
+    "Verdad. Realmente. Ciudad y universidad. Los Mares. Ellos cantaban. Del puerto. Con el tiempo. Mente sana.",
+    "Card number 4242424242424242 was refused. Server 192.0.2.14 is down. Write to desk@shop.example today.",
+    "Call +49 30 901820 or +33 1 40 20 50 50 for tickets. Fax +34 91 330 28 00. Hours: 9 to 17.",
     "time: now and place: here or so:called things and left=right in sums",
 )
 

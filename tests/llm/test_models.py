@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -117,3 +118,63 @@ def test_field_finds_unseen_spans(text, kind, span):
 def test_field_leaves_plain_prose_alone(documents):
     texts = ["the river ran 20 miles in 1998 and the town grew", "Version 3.1.2 of the tool came out in 2011"]
     assert pii.field_spans(texts, pii.train_field(), pii._Words()) == [[], []]
+
+
+#: Held out: labelled as the table in pii.py is, and never trained on.
+HELD_OUT = (
+    "my name is [Henrik Solberg|person] and I work at the harbour",
+    "Dr. [Amelia Watts|person] was away on Friday",
+    "Mrs. [Coleman|person] kept 4 hens in 1987",
+    "Name: [Rosa Campos|person] arrived before the others",
+    "please ask [Derek Hill|person] about the delivery",
+    "Mr. [Adeyemi|person] and Ms. [Lindgren|person] met on 3 June",
+    "Herr [Köhler|person] kam spät zum Essen",
+    "Monsieur [Fournier|person] est malade",
+    "me llamo [Elena Prado|person] y soy de aquí",
+    "SSN: [401-22-7745|national_id] is listed",
+    "passport number [K4471920|national_id] was copied",
+    "social security number [530-18-2046|national_id] was asked for",
+    "Passport no. [D07Y33M81|national_id] expired",
+    "call me at [555-0188|local_phone] tonight",
+    "phone: [555-443-2010|local_phone] or come by",
+    "tel. [(312) 555-0144|local_phone] desk",
+    "Telefon: [030 5550 226|local_phone] bis zwölf",
+    "password: [copperkettle42|secret] was changed",
+    'api_key = ["qw7e6r5t4y3u2i1o0p9a8s7d6f5g4h3j"|secret] must go',
+    "Passwort: [mondlicht|secret] bitte nicht teilen",
+    "found [token=ab39cd71ef50|secret] in the log",
+    "contraseña: [ventanaverde|secret] no se dice",
+    "The ferry leaves at 7 and returns at 18. Tickets cost 12 each. Children ride free.",
+    "Chapter 4. Winter. The roads were closed from 12-15 January.",
+    "Call the office before noon. Phone calls cost 2 cents in 1930.",
+    "He lost his passport and his keys. No name was given. Tokens were worth 5 marks.",
+    "Der Zug nach Norden. Am Abend kam Regen. Der Name des Dorfes ist alt.",
+    "La maison est vide. Le jardin du voisin. Aucun nom ne reste.",
+    "La casa del puerto. Nadie tiene nombre. El tren de las 9 llega tarde.",
+    "MINUTES OF THE MEETING!! Item 3: Roof. Item 4: Paint. 20 chairs were ordered.",
+    "Version 4.2 of the Apache License applies. See section 7 for more.",
+    "The secret of good bread. Salt, water and 500 grams of flour.",
+)
+
+
+def test_field_on_held_out_lines():
+    model, cache = pii.train_field(), pii._Words()
+    assert not set(HELD_OUT) & set(pii.LABELLED)
+    hits, want, got = Counter(), Counter(), Counter()
+    for line in HELD_OUT:
+        marked = {(kind, value.strip(pii._EDGE)) for value, kind in re.findall(r"\[([^\]|]+)\|(\w+)\]", line)}
+        text = re.sub(r"\[([^\]|]+)\|\w+\]", r"\1", line)
+        found = {(k, text[a:b]) for k, a, b in pii.field_spans([text], model, cache)[0]}
+        for seen, tally in ((marked & found, hits), (marked, want), (found, got)):
+            tally.update(k for k, _ in seen)
+    for kind in pii.LABELS[1:]:
+        assert want[kind] >= 4
+        assert hits[kind] >= 0.9 * got[kind], (kind, "precision", hits[kind], got[kind])
+        assert hits[kind] >= 0.9 * want[kind], (kind, "recall", hits[kind], want[kind])
+
+
+def test_field_rarely_marks_documents_without_cues(documents):
+    texts = [r["text"] or "" for r in documents.select("text").collect()]
+    found = pii.field_spans(texts, pii.train_field(), pii._Words())
+    marked = sum(k != "secret" for spans in found for k, _, _ in spans)
+    assert marked <= sum(len(t.split()) for t in texts) / 1000
