@@ -28,13 +28,14 @@ def priority(contacts: DataFrame) -> DataFrame:
     return contacts.withColumn("priority", reduce(lambda a, b: a + b, parts).cast("int"))
 
 
-def merge_duplicates(contacts: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+def merge_duplicates(contacts: DataFrame, within: tuple[str, ...] = (), lower: bool = False) -> DataFrame:
     """One row per lower-case email (and ``within``): the best record, its gaps filled from the others in order of rank.
 
     Ranked by priority, then by earliest (file_ordinal, row_ordinal).  Flags are ORed, the
     status is Verified if any is, lineage is the sorted union.  Rows without email go.
     Everything is one aggregation on the key, with partial aggregates before the shuffle
-    (only the lineage arrays are collected, as sets).
+    (only the lineage arrays are collected, as sets).  The email is spelled as in the best
+    record; with ``lower`` it is the key itself, so that a join on it keeps the partitioning.
     """
     rows = priority(contacts.filter("email IS NOT NULL AND email <> ''")).withColumn("_key", F.lower("email"))
     rank = F.struct("priority", (-F.col("file_ordinal")).alias("f"), (-F.col("row_ordinal")).alias("r"))
@@ -52,7 +53,7 @@ def merge_duplicates(contacts: DataFrame, within: tuple[str, ...] = ()) -> DataF
     ]
     out = rows.groupBy("_key", *within).agg(*best)
     status = F.when(F.col("_verified"), "Verified").otherwise(F.col("_best.validation_status")).alias("validation_status")
-    return out.select(*[F.col(f"_best.{c}").alias(c) for c in rest], *within, *fill, "is_clicker", "is_opener", status, "file_sources", "n_merged")
+    return out.select(*[F.col("_key" if lower and c == "email" else f"_best.{c}").alias(c) for c in rest], *within, *fill, "is_clicker", "is_opener", status, "file_sources", "n_merged")
 
 
 def incremental(contacts: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def enrich(master: DataFrame, batch: DataFrame, fields: tuple[str, ...] = ENRICH
     """Upsert: new values win where they are there, flags are ORed, the higher score stays, lineage is appended.
 
     Adds ``outcome`` (inserted, updated or kept).  Both sides must have one row per email;
-    one full outer join on it is the only shuffle.
+    one full outer join on it is the only step that may shuffle, and sides that come from
+    :func:`merge_duplicates` with ``lower`` are joined as they lie.
     """
     o, n = master.alias("o"), batch.alias("n")
     old, new = (lambda c: F.col(f"o.{c}")), (lambda c: F.col(f"n.{c}"))

@@ -269,7 +269,7 @@ def incremental_dedup(spark, sf):
 def _master_batch(spark, sf):
     """File 0 is the stored table, file 1 the batch: addresses of either alone and of both."""
     rows = contacts(spark, sf).drop("mx_valid", "mx_category", "is_spamtrap")
-    half = lambda f: merge.merge_duplicates(rows.filter(F.col("file_ordinal") == f)).drop("n_merged")
+    half = lambda f: merge.merge_duplicates(rows.filter(F.col("file_ordinal") == f), lower=True).drop("n_merged")
     return half(0), half(1)
 
 
@@ -450,19 +450,36 @@ def segment_union(spark, sf):
     return segments.union(rows, _SEGMENTS, dimension(rows)).select("email").distinct()
 
 
-def _preset_sql(s: Segment) -> str:
-    tests = [f"{c} = '{v}'" for c, v in (("email_category", s.category), ("email_provider", s.provider), ("mx_category", s.mx_category)) if v]
-    tests += [c for c, v in (("is_clicker", s.clickers), ("is_opener", s.openers)) if v]
-    if s.mx_big4:
-        tests.append("mx_category IN ('Google', 'Microsoft', 'Yahoo')")
-    if s.quality:
-        tests.append({"high": "quality_score >= 70", "medium": "quality_score BETWEEN 40 AND 69"}[s.quality])
-    if s.validation_status:
-        tests.append("validation_status = 'Verified'")
-    return " AND ".join(tests)
-
-
-@query(" UNION ALL ".join(f"SELECT '{k}' AS preset, count(*) AS n FROM contacts WHERE {_preset_sql(s)}" for k, s in segments.PRESETS.items()))
+#: Presets told apart by engagement, written out for the oracle: name and condition.
+_ENGAGED = (
+    ("all", "true"),
+    ("gi", "email_category = 'General_Internet'"),
+    ("cable", "email_category = 'Cable_Provider'"),
+    ("big4", "email_category = 'Big4_ISP'"),
+    ("google", "email_provider = 'Google'"),
+    ("yahoo", "email_provider = 'Yahoo'"),
+    ("microsoft", "email_provider = 'Microsoft'"),
+    ("aol", "email_provider = 'AOL'"),
+    ("2nd_google", "email_category = 'General_Internet' AND mx_category = 'Google'"),
+    ("2nd_microsoft", "email_category = 'General_Internet' AND mx_category = 'Microsoft'"),
+    ("2nd_yahoo", "email_category = 'General_Internet' AND mx_category = 'Yahoo'"),
+    ("2nd_big4_all", "email_category = 'General_Internet' AND mx_category IN ('Google', 'Microsoft', 'Yahoo')"),
+    ("apple", "email_provider = 'Apple'"),
+    ("spectrum", "email_provider = 'Spectrum'"),
+    ("comcast", "email_provider = 'Comcast'"),
+    ("att", "email_provider = 'AT&T'"),
+)
+_PLAIN = (
+    ("godaddy_clickers", "email_provider = 'GoDaddy' AND is_clicker"),
+    ("earthlink_clickers", "email_provider = 'EarthLink' AND is_clicker"),
+    ("high_quality", "quality_score >= 70"),
+    ("med_quality", "quality_score BETWEEN 40 AND 69"),
+    ("verified_all", "validation_status = 'Verified'"),
+)
+_PRESETS = [*((f"{k}_{w}s", f"{c} AND is_{w}") for k, c in _ENGAGED for w in ("clicker", "opener")), *_PLAIN]
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS preset, count(*) AS n FROM contacts WHERE {c}" for k, c in _PRESETS))
 def preset_counts(spark, sf):
     rows = contacts(spark, sf)
     return segments.preset_counts(rows, dimension(rows))

@@ -28,7 +28,7 @@ def ingest(stream: DataFrame, master: str, checkpoint: str, as_of: str) -> Strea
     def put(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumns({"file_ordinal": F.lit(0), "row_ordinal": F.monotonically_increasing_id(), "file_sources": F.array(F.lit(f"batch_{n}"))})
-        ready = merge.merge_duplicates(C.prepare(rows, as_of)).drop("n_merged")
+        ready = merge.merge_duplicates(C.prepare(rows, as_of), lower=True).drop("n_merged")
         fs = spark._jvm.org.apache.hadoop.fs.Path(master).getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(master)):
             seen = spark.read.option("basePath", master).schema("email string, batch long").parquet(master).filter(F.col("batch") < n)

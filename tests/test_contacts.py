@@ -97,6 +97,22 @@ def test_merge_fills_and_is_idempotent(spark):
     assert (r["email"], r["first_name"], r["last_name"], r["validation_status"], r["file_sources"], r["n_merged"]) == ("A@x.com", "Ann", "Lee", "Verified", ["f1", "f2"], 2)
     again = merge.merge_duplicates(once.drop("n_merged")).drop("n_merged")
     assert again.collect() == once.drop("n_merged").select(*again.columns).collect()
+    assert [r["email"] for r in merge.merge_duplicates(df, lower=True).collect()] == ["a@x.com"]
+
+
+def test_merged_sides_are_joined_as_they_lie(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one, two = catalog._master_batch(spark, sf)
+        sides = [x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in (one, two)]
+        plan = merge.enrich(one, two, merge.ENRICH_IMPORT)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == sum(sides)
+
+
+def test_oracle_names_every_preset():
+    assert [k for k, _ in catalog._PRESETS] == list(segments.PRESETS)
 
 
 def test_lookup_results(spark):
