@@ -96,6 +96,16 @@ def test_cells_are_computed_once_a_row(spark, sf, name):
     assert not [x for x in plan.splitlines() if "CASE WHEN ((c_custkey" in x and "Filter" in x[:200]]
 
 
+def test_contacts_are_spread_before_cleaning(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = base.contacts(spark, sf)
+        got = [rows.rdd.getNumPartitions(), rows.select("email_domain").rdd.getNumPartitions()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [8, 8]
+
+
 def test_settled_columns(spark):
     rows = spark.createDataFrame([(1, " <Bob@GMIAL.com> "), (2, None), (3, "a@b@c.org"), (4, "")], "id int, email string")
     got = C.settle(rows, S.clean_email(F.col("email")), lambda e: {"email": e, "email_domain": S.domain_of(e)})
