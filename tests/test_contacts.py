@@ -88,7 +88,7 @@ def _optimized(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["gi_hosting", "unidentified_hosts", "second_level_big4", "gi_hosting_category", "hosts_to_scan", "host_histogram"])
+@pytest.mark.parametrize("name", ["gi_hosting", "unidentified_hosts", "second_level_big4", "gi_hosting_category", "hosts_to_scan", "host_histogram", "hosting_summary"])
 def test_cells_are_computed_once_a_row(spark, sf, name):
     plan = _optimized(catalog.QUERIES[name](spark, sf))
     cells = plan.count("^mailto:")  # once a branch that cleans addresses
