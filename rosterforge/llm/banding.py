@@ -29,6 +29,8 @@ LOUD = np.iinfo(np.int64).min
 SKETCHED = 2048
 #: Hashes that :func:`own_registers` lays side by side.
 CELLS = 1 << 15
+#: Bits that bound an intersection, and pairs bounded at once (MARKS / 8 bytes each).
+MARKS, PAIRS = 4096, 2048
 #: (key, node) pairs a task holds before it writes them.
 FLUSH = 2_000_000
 
@@ -323,7 +325,9 @@ def _blocks(dealt: DataFrame, items, prepare, last: bool) -> DataFrame:
             held = t.slice(done).to_batches()[0] if b is not None else None
             if not done:
                 continue
-            compare = prepare(t.column("item").slice(0, done).to_pylist())
+            # A node lies in many blocks, but its item is prepared once.
+            _, first, at_item = np.unique(node[:done], return_index=True, return_inverse=True)
+            compare = prepare(t.column("item").take(pa.array(first)).to_pylist())
             stay = np.zeros(len(t), bool)
             for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(t)], strict=True):
                 if lo >= done:
@@ -331,7 +335,7 @@ def _blocks(dealt: DataFrame, items, prepare, last: bool) -> DataFrame:
                 o, x = lo + np.flatnonzero(out[lo:hi]), lo + np.flatnonzero(~out[lo:hi])
                 if not len(o) or not len(x):
                     continue
-                hit = compare(o, x) & (own[o][:, None] != own[x][None, :])
+                hit = compare(at_item[o], at_item[x]) & (own[o][:, None] != own[x][None, :])
                 stay[o], stay[x] = hit.any(axis=1), hit.any(axis=0)
                 if last and stay[lo:hi].any():
                     r, c = np.nonzero(hit)
@@ -348,29 +352,74 @@ def _blocks(dealt: DataFrame, items, prepare, last: bool) -> DataFrame:
     return rows.mapInArrow(meet, "a long, b long" if last else MEMBER)
 
 
+def _marks(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, MARKS / 64) words: a bit for each value of the lowest bits that a set's hashes have."""
+    out = np.zeros((len(sets), MARKS // 64), np.uint64)
+    for lo in range(0, len(sets), 64):
+        some = sets[lo : lo + 64]
+        grid = np.zeros((len(some), MARKS), bool)
+        owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
+        grid[owner, (np.concatenate(some) & np.uint64(MARKS - 1)).astype(np.int64)] = True
+        out[lo : lo + 64] = np.packbits(grid, axis=1).view(np.uint64)
+    return out
+
+
+def in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Members that two arrays without repeats share."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def compare_sets(sets: list[np.ndarray], percent: int):
-    """A function of two index arrays: which pairs of sorted sets have 100 * intersection >= percent * union."""
-    sizes = np.array([len(x) for x in sets])
+    """A function of two index arrays: which pairs of sorted sets have 100 * intersection >= percent * union.
+
+    A shared hash has a shared mark, and of a set's hashes only those beyond its number of
+    marks share one with another of the set.  So the marks bound the intersection from above,
+    and only pairs whose bound reaches the threshold are counted.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    marks = _marks(sets)
+    beyond = sizes - np.bitwise_count(marks).sum(axis=1, dtype=np.int64)
+
+    def may_link(o, x):
+        hit = np.zeros((len(o), len(x)), bool)
+        step = max(1, PAIRS // max(1, len(x)))
+        for lo in range(0, len(o), step):
+            i = o[lo : lo + step]
+            most = np.bitwise_count(marks[i][:, None, :] & marks[x][None, :, :]).sum(axis=2, dtype=np.int64)
+            most = np.minimum(most + np.minimum(beyond[i][:, None], beyond[x][None, :]), np.minimum(sizes[i][:, None], sizes[x][None, :]))
+            hit[lo : lo + step] = 100 * most >= percent * (sizes[i][:, None] + sizes[x][None, :] - most)
+        return hit
 
     def linked_pairs(o, x):
-        if len(o) * len(x) <= 64:
-            both = np.array([[len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in x] for i in o])
-        else:  # product of incidences, over the members that the smaller side has
-            turned = len(o) > len(x)
-            few, many = (x, o) if turned else (o, x)
-            known = np.unique(np.concatenate([sets[i] for i in few]))
-            both = np.zeros((len(few), len(many)), np.float32)
-            for lo in range(0, len(known), 8192):
-                some, grids = known[lo : lo + 8192], []
-                for side in (few, many):
-                    every = np.concatenate([sets[i] for i in side])
-                    place = np.minimum(np.searchsorted(some, every), len(some) - 1)
-                    own = some[place] == every
-                    grid = np.zeros((len(side), len(some)), np.float32)
-                    grid[np.repeat(np.arange(len(side)), sizes[side])[own], place[own]] = 1
-                    grids.append(grid)
-                both += grids[0] @ grids[1].T
-            both = (both.T if turned else both).astype(np.int64)
+        hit = may_link(o, x)
+        r, c = np.nonzero(hit)
+        if len(r) <= max(64, hit.size // 64):
+            both = np.array([in_common(sets[i], sets[j]) for i, j in zip(o[r].tolist(), x[c].tolist(), strict=True)], np.int64)
+            hit[r, c] = 100 * both >= percent * (sizes[o[r]] + sizes[x[c]] - both)
+            return hit
+        rows, cols = hit.any(axis=1), hit.any(axis=0)
+        hit[np.ix_(rows, cols)] = counted(o[rows], x[cols])
+        return hit
+
+    def counted(o, x):
+        """The product of incidences, over the members that the smaller side has."""
+        turned = len(o) > len(x)
+        few, many = (x, o) if turned else (o, x)
+        known = np.unique(np.concatenate([sets[i] for i in few]))
+        both = np.zeros((len(few), len(many)), np.float32)
+        for lo in range(0, len(known), 8192):
+            some, grids = known[lo : lo + 8192], []
+            for side in (few, many):
+                every = np.concatenate([sets[i] for i in side])
+                place = np.minimum(np.searchsorted(some, every), len(some) - 1)
+                own = some[place] == every
+                grid = np.zeros((len(side), len(some)), np.float32)
+                grid[np.repeat(np.arange(len(side)), sizes[side])[own], place[own]] = 1
+                grids.append(grid)
+            both += grids[0] @ grids[1].T
+        both = (both.T if turned else both).astype(np.int64)
         return 100 * both >= percent * (sizes[o][:, None] + sizes[x][None, :] - both)
 
     return linked_pairs

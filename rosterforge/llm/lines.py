@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.banding import Flusher, band_keys, compare_sets, linked, mix, own_registers, ranges_for, registers, shared_bands, windows
+from rosterforge.llm.banding import Flusher, band_keys, compare_sets, in_common, linked, mix, own_registers, ranges_for, registers, shared_bands, windows
 from rosterforge.llm.common import byte_slices, drop_staged, row_slices, stage
 
 #: Characters in a shingle, and in one where short lines with a changed character or word are to be found too.
@@ -29,6 +29,8 @@ SMALL, LARGE = 375, 300
 CHUNK, SEEN = 1 << 19, 150_000
 #: Text taken at once.
 SLICE_BYTES = 8 << 20
+#: Text of the first lines of pairs compared at once.
+PAIR_BYTES = 2 << 20
 #: Rows broadcast at most (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Bytes of needed line numbers broadcast at most.
@@ -51,6 +53,15 @@ def line_sets(lines: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
     return windows(*_points(lines), k)
 
 
+def line_sets_apart(lines: list[str], k: int = SHINGLE) -> list[np.ndarray]:
+    """Each line's own sorted distinct hashes; as many lines at once as :data:`CHUNK` says."""
+    out = []
+    for lo, hi in _chunks(lines):
+        hashes, owner = line_sets(lines[lo:hi], k)
+        out.extend(np.split(hashes, np.cumsum(np.bincount(owner, minlength=hi - lo))[:-1]))
+    return out
+
+
 def line_keys(lines: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(item, band key) of every band of every normal line, and every line's sketch under the class of its set's size and the kind of its signature."""
     sets, owner = line_sets(lines, k)
@@ -107,8 +118,7 @@ def line_compare(percent: int, shingle: int = SHINGLE):
     """Maps a list of normal lines to a function of two index arrays: which pairs are linked."""
 
     def prepare(lines: list[str]):
-        hashes, owner = line_sets(lines, shingle)
-        return compare_sets(np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(lines)))[:-1]), percent)
+        return compare_sets(line_sets_apart(lines, shingle), percent)
 
     return prepare
 
@@ -216,14 +226,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([pa.array(reps_out, pa.int64()), pa.array(lines_out, pa.string())], names=["node", "item"])
 
     def exact(batches):
-        for b in row_slices(batches):
-            keep = np.zeros(b.num_rows, bool)
-            for lo in range(0, b.num_rows, 128):
-                some = b.slice(lo, 128)
-                linked_to = line_compare(percent, shingle)([*some.column(2).to_pylist(), *some.column(3).to_pylist()])
-                for i in range(some.num_rows):
-                    keep[lo + i] = linked_to(np.array([i]), np.array([some.num_rows + i]))[0, 0]
-            yield b.select(["a", "b"]).filter(pa.array(keep))
+        for b in byte_slices(batches, 2, PAIR_BYTES, 512):
+            text = pa.concat_arrays([b.column(2), b.column(3)]).dictionary_encode()
+            sets = line_sets_apart(text.dictionary.to_pylist(), shingle)
+            keep = []
+            for i, j in text.indices.to_numpy().reshape(2, -1).T.tolist():
+                both = in_common(sets[i], sets[j])
+                keep.append(100 * both >= percent * (len(sets[i]) + len(sets[j]) - both))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         """(node, item): the normal lines of representatives, each once however often its row is repeated."""
@@ -267,7 +277,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     return whole.select(
         "doc_id",
         *[F.col(f"row.`{c}`").alias(c) for c in keep],
-        F.array_join(left, "\n").alias("text"),
+        F.when(F.size("dropped") == 0, F.array_join("rows", "\n")).otherwise(F.array_join(left, "\n")).alias("text"),
         F.size("rows").cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"),
         "dropped",

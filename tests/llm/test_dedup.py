@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rosterforge.llm import embeddings, exact_dedup, lines, minhash
+from rosterforge.llm import banding, embeddings, exact_dedup, lines, minhash
 from rosterforge.llm.banding import linked
 from rosterforge.llm.components import components
 
@@ -193,6 +193,43 @@ def test_tiles_agree_with_all_products():
         assert label[i] == label[j]
 
 
+def test_only_pairs_that_may_reach_the_threshold_are_counted(monkeypatch):
+    rng, counted = np.random.default_rng(5), []
+    count = banding.in_common
+    monkeypatch.setattr(banding, "in_common", lambda a, b: counted.append(1) or count(a, b))
+    for size in (1, 6, 70, 400, 5000):
+        base = np.unique(rng.integers(1, 1 << 63, size, np.int64).astype(np.uint64))
+        sets = [np.zeros(0, np.uint64)]
+        for share in rng.uniform(0.3, 1, 30):
+            new = rng.integers(1, 1 << 63, int(size * (1 - share)), np.int64).astype(np.uint64)
+            sets.append(np.unique(np.append(base[rng.random(len(base)) < share], new)))
+        sets += [base, base]
+        inter = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        sizes = np.array([len(x) for x in sets])
+        want = 100 * inter >= 80 * (sizes[:, None] + sizes[None, :] - inter)
+        compare, every = banding.compare_sets(sets, 80), np.arange(len(sets))
+        counted.clear()
+        assert (compare(every, every) == want).all()
+        for i in every:
+            assert (compare(every[i : i + 1], every) == want[i : i + 1]).all() and (compare(every, every[i : i + 1]) == want[:, i : i + 1]).all()
+        if size == 400:
+            assert want.sum() < len(counted) < 2 * want.sum() + 2 * len(every) < 2 * want.size
+
+
+def test_a_line_of_many_blocks_is_prepared_once(spark):
+    rows = [(k, 0, 0, n, n, n % 2 == 0, f"line {n}") for k in range(50) for n in range(8)]
+    dealt = spark.createDataFrame([r[:6] for r in rows], banding.MEMBER)
+    items = lambda nodes: nodes.join(spark.createDataFrame([(n, f"line {n}") for n in range(8)], "node long, item string"), "node")
+
+    def prepare(lines):
+        assert len(lines) == len(set(lines))
+        return lambda o, x: np.array([[lines[i][-1] == "2" and lines[j][-1] == "5" for j in x] for i in o])
+
+    assert {tuple(r) for r in banding._blocks(dealt, items, prepare, True).collect()} == {(2, 5)}
+    kept = banding._blocks(dealt, items, prepare, False).groupBy("node").count().collect()
+    assert {tuple(r) for r in kept} == {(2, 50), (5, 50)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
